@@ -13,9 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenrank.operators import stats
+from screenrank.operators import collab, content, realtime, similarity, stats
 from screenrank.plans import oracle_views as V
 from screenrank.sources import fixtures as fx
+from screenrank.sources import text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,3 +104,170 @@ UNION ALL
 SELECT DISTINCT 'item' AS kind, mid AS id FROM star_ratings""")
 def q_distinct_users_items(spark, d):
     return stats.distinct_users_items(fx.star_ratings(spark, d))
+
+
+# ------------------------------------------------------------ recency / parse
+
+@register("recent_ratings", V.with_views(V.EVENT_RATINGS) + """
+SELECT uid, mid, score, rank FROM (
+  SELECT uid, mid, score,
+         CAST(row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, event_id DESC) AS INTEGER) AS rank
+  FROM event_ratings) t
+WHERE rank <= 20""")
+def q_recent_ratings(spark, d):
+    return realtime.recent_ratings(fx.event_ratings(spark, d), n=20)
+
+
+@register("message_parse", V.with_views(V.EVENT_RATINGS) + """
+SELECT uid, mid, score, "timestamp" FROM event_ratings""")
+def q_message_parse(spark, d):
+    good, _bad = text.parse_rating_messages(text.render_rating_messages(fx.event_ratings(spark, d)))
+    return good
+
+
+# ------------------------------------------------------------------- content
+
+@register("tfidf_vectors", V.with_views(V.PART_MOVIES, V.TFIDF) + """
+SELECT mid, idx, round(w, 6) AS weight FROM tfidf WHERE w <> 0""")
+def q_tfidf_vectors(spark, d):
+    long = content.tfidf_long(fx.part_movies(spark, d), num_features=50)
+    return long.select("mid", "idx", F.round("w", 6).alias("weight"))
+
+
+@register("content_similar", V.with_views(V.PART_MOVIES, V.CONTENT_SIM) + """
+SELECT mid, sim_mid, round(score, 6) AS score FROM sim""")
+def q_content_similar(spark, d):
+    edges = content.content_similar(fx.part_movies(spark, d), threshold=0.6)
+    return edges.select("mid", "sim_mid", F.round("score", 6).alias("score"))
+
+
+# ------------------------------------------------------ vectors and factors
+
+@register("vector_similar", V.with_views(V.EMBED) + """
+, n AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS norm FROM v)
+, c AS (
+  SELECT a.id AS mid, b.id AS sim_mid, list_dot_product(a.e, b.e) / nullif(a.norm * b.norm, 0) AS score
+  FROM n a JOIN n b ON a.id <> b.id)
+SELECT mid, sim_mid, round(score, 6) AS score FROM c WHERE score >= 0.3""")
+def q_vector_similar(spark, d):
+    edges = similarity.similar_items_dense(fx.vectors(spark, d), threshold=0.3, inclusive=True)
+    return edges.select("mid", "sim_mid", F.round("score", 6).alias("score"))
+
+
+@register("recommend_topn_fixed", V.with_views(V.EMBED) + """
+, u AS (SELECT id AS uid, e FROM v WHERE id % 2 = 0)
+, i AS (SELECT id AS mid, e FROM v WHERE id % 2 = 1)
+, s AS (SELECT u.uid, i.mid, list_dot_product(u.e, i.e) AS score FROM u CROSS JOIN i)
+SELECT uid, mid, round(score, 6) AS score, rank FROM (
+  SELECT uid, mid, score,
+         CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank
+  FROM s WHERE score > 0) t
+WHERE rank <= 20""")
+def q_recommend_topn_fixed(spark, d):
+    users, items = fx.fixed_factors(spark, d)
+    recs = similarity.recommend_topn(users, items, n=20, min_score=0.0)
+    return recs.select("uid", "mid", F.round("score", 6).alias("score"), "rank")
+
+
+# ---------------------------------------------------- hold-out evaluation
+
+GRID_SHRINKAGE = (0.0, 1.0, 2.0, 5.0, 10.0, 25.0, 50.0)
+
+
+@register("split_md5", V.with_views(V.STAR_RATINGS, V.SPLIT) + """
+SELECT uid, mid, score, "timestamp", split FROM sp""")
+def q_split_md5(spark, d):
+    return collab.split_ratings(fx.star_ratings(spark, d), 0.8)
+
+
+def _train_test(spark, d):
+    sp = collab.split_ratings(fx.star_ratings(spark, d), 0.8)
+    return sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test")
+
+
+@register("rmse_item_mean", V.with_views(V.STAR_RATINGS, V.SPLIT) + """
+, pred AS (SELECT mid, sum(score) / count(score) AS prediction FROM tr GROUP BY mid)
+, p AS (SELECT DISTINCT te.uid, te.mid, pred.prediction FROM te JOIN pred ON te.mid = pred.mid)
+SELECT round(sqrt(avg((te.score - p.prediction) * (te.score - p.prediction))), 6) AS rmse,
+       count(*) AS n
+FROM te JOIN p ON te.uid = p.uid AND te.mid = p.mid""")
+def q_rmse_item_mean(spark, d):
+    train, test = _train_test(spark, d)
+    pred = collab.item_mean_predictions(train, test.select("uid", "mid").distinct(), shrinkage=0.0)
+    r = collab.rmse(test, pred)
+    return r.select(F.round("rmse", 6).alias("rmse"), "n")
+
+
+@register("grid_argmin", V.with_views(V.STAR_RATINGS, V.SPLIT) + f"""
+, st AS (SELECT mid, sum(score) AS s, count(score) AS c FROM tr GROUP BY mid)
+, gm AS (SELECT avg(score) AS gm FROM tr)
+, g AS (SELECT unnest(CAST([{", ".join(repr(x) for x in GRID_SHRINKAGE)}] AS DOUBLE[])) AS reg)
+, pr AS (SELECT st.mid, g.reg, (st.s + g.reg * gm.gm) / (st.c + g.reg) AS prediction
+         FROM st CROSS JOIN gm CROSS JOIN g)
+, r AS (SELECT pr.reg, sqrt(avg((te.score - pr.prediction) * (te.score - pr.prediction))) AS rmse
+        FROM te JOIN pr ON te.mid = pr.mid GROUP BY pr.reg)
+SELECT reg, round(rmse, 6) AS rmse,
+       CASE WHEN reg = (SELECT arg_min(reg, rmse) FROM r) THEN 1 ELSE 0 END AS best
+FROM r""")
+def q_grid_argmin(spark, d):
+    train, test = _train_test(spark, d)
+    g = collab.item_mean_grid(train, test, GRID_SHRINKAGE)
+    return g.select("reg", F.round("rmse", 6).alias("rmse"), "best")
+
+
+# ------------------------------------------------------ real-time (batch twin)
+
+def _stream_inputs(spark, d):
+    ev = fx.event_ratings(spark, d)
+    sim = content.content_similar(fx.part_movies(spark, d), threshold=0.6)
+    cur = realtime.latest_per_user(ev)
+    cands = realtime.stream_candidates(cur, sim, ev.select("uid", "mid"), n=20)
+    return ev, sim, cands
+
+
+@register("stream_candidates", V.with_views(V.EVENT_RATINGS, V.PART_MOVIES, V.CONTENT_SIM,
+                                            V.STREAM_INPUTS) + """
+SELECT uid, mid, score, rank FROM cands""")
+def q_stream_candidates(spark, d):
+    _ev, _sim, cands = _stream_inputs(spark, d)
+    return cands.select("uid", "mid", "score", "rank")
+
+
+@register("stream_scores", V.with_views(V.EVENT_RATINGS, V.PART_MOVIES, V.CONTENT_SIM,
+                                        V.STREAM_INPUTS) + """
+, pairs AS (SELECT c.uid, c.mid AS q, r.mid AS r, r.score AS rating
+            FROM cands c JOIN recent r ON c.uid = r.uid)
+, gated AS (SELECT p.uid, p.q, p.rating, s.score AS sim
+            FROM pairs p JOIN sim s ON s.mid = p.q AND s.sim_mid = p.r WHERE s.score > 0.7)
+SELECT uid, q AS mid,
+       round(avg(sim * rating)
+             + ln(greatest(1, count(*) FILTER (WHERE rating > 3))) / ln(10)
+             - ln(greatest(1, count(*) FILTER (WHERE rating <= 3))) / ln(10), 6) AS score
+FROM gated GROUP BY uid, q""")
+def q_stream_scores(spark, d):
+    ev, sim, cands = _stream_inputs(spark, d)
+    recent = realtime.recent_ratings(ev, n=20)
+    return realtime.stream_scores(cands, recent, sim)
+
+
+# ------------------------------------------- model training (rows-only checks)
+
+@register("als_user_recs")
+def q_als_user_recs(spark, d):
+    model = collab.train_als(fx.star_ratings(spark, d), rank=10, max_iter=5, reg=0.1)
+    recs = collab.als_user_recs(model, n=20)
+    return recs.select("uid", "mid", F.round("score", 6).alias("score"), "rank")
+
+
+@register("als_item_similar")
+def q_als_item_similar(spark, d):
+    model = collab.train_als(fx.star_ratings(spark, d), rank=10, max_iter=5, reg=0.1)
+    edges = collab.als_item_similar(model, threshold=0.6)
+    return edges.select("mid", "sim_mid", F.round("score", 6).alias("score"))
+
+
+@register("als_grid")
+def q_als_grid(spark, d):
+    train, test = _train_test(spark, d)
+    g = collab.als_grid(train.drop("split"), test.drop("split"), ranks=(5, 10), regs=(0.01, 0.1, 1.0))
+    return g.select("rank", "reg", F.round("rmse", 6).alias("rmse"), "best")

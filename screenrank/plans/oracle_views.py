@@ -36,3 +36,80 @@ PART_MOVIES = """part_movies AS (
 
 def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n"
+
+# HashingTF(numFeatures=50) bucket of every term the part-movie
+# fixture produces (Spark ML murmur3, measured; DuckDB has no such hash).
+HASHING_TF_50_BUCKETS = {
+    "anvil": 44, "blue": 18, "bolt": 40, "cold": 20, "economy": 17, "gear": 45, "gizmo": 42,
+    "hot": 43, "large": 22, "medium": 42, "new": 35, "old": 33, "plate": 25, "promo": 49,
+    "red": 2, "ring": 46, "rod": 32, "small": 22, "standard": 17, "widget": 19,
+}
+
+
+def _bucket_values() -> str:
+    rows = ", ".join(f"('{t}', {b})" for t, b in HASHING_TF_50_BUCKETS.items())
+    return f"(SELECT * FROM (VALUES {rows}) AS b(term, idx))"
+
+
+# TF-IDF of part movies (Tokenizer -> HashingTF(50) -> IDF fitted on all parts).
+TFIDF = f"""buckets AS {_bucket_values()},
+toks AS (
+  SELECT mid, unnest(string_split(lower(replace(genres, '|', ' ')), ' ')) AS term FROM part_movies),
+tf AS (
+  SELECT t.mid, b.idx, count(*) AS tf FROM toks t JOIN buckets b ON t.term = b.term
+  GROUP BY t.mid, b.idx),
+ndoc AS (SELECT count(*) AS n FROM part_movies),
+dfreq AS (SELECT idx, count(*) AS df FROM tf GROUP BY idx),
+tfidf AS (
+  SELECT tf.mid, tf.idx, tf.tf * ln((ndoc.n + 1.0) / (dfreq.df + 1.0)) AS w
+  FROM tf JOIN dfreq ON tf.idx = dfreq.idx CROSS JOIN ndoc)"""
+
+# Content similarity edges, cosine > 0.6, both directions, no self pairs.
+CONTENT_SIM = TFIDF + """,
+nz AS (SELECT mid, idx, w FROM tfidf WHERE w <> 0),
+norms AS (SELECT mid, sqrt(sum(w * w)) AS norm FROM nz GROUP BY mid),
+dots AS (
+  SELECT a.mid, b.mid AS sim_mid, sum(a.w * b.w) AS dot
+  FROM nz a JOIN nz b ON a.idx = b.idx AND a.mid <> b.mid GROUP BY a.mid, b.mid),
+sim AS (
+  SELECT * FROM (
+    SELECT d.mid, d.sim_mid, d.dot / nullif(na.norm * nb.norm, 0) AS score
+    FROM dots d JOIN norms na ON d.mid = na.mid JOIN norms nb ON d.sim_mid = nb.mid) c
+  WHERE score > 0.6)"""
+
+# Stream batch twin inputs: the latest event of each user, every event as the
+# seen set, the 20 latest events as recent ratings, candidates (top 20 unseen
+# similar items of the latest event's item).
+STREAM_INPUTS = """cur AS (
+  SELECT uid, mid FROM (
+    SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, event_id DESC) AS rn
+    FROM event_ratings) t WHERE rn = 1),
+seen AS (SELECT DISTINCT uid, mid FROM event_ratings),
+recent AS (
+  SELECT uid, mid, score FROM (
+    SELECT uid, mid, score,
+           row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, event_id DESC) AS rn
+    FROM event_ratings) t WHERE rn <= 20),
+cand_all AS (
+  SELECT cur.uid, s.sim_mid AS mid, round(s.score, 6) AS score
+  FROM cur JOIN sim s ON cur.mid = s.mid),
+fresh AS (
+  SELECT * FROM cand_all c
+  WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.uid = c.uid AND seen.mid = c.mid)),
+cands AS (
+  SELECT * FROM (
+    SELECT uid, mid, score,
+           CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank
+    FROM fresh) t WHERE rank <= 20)"""
+
+EMBED = """v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
+
+SPLIT = """sp AS (
+  SELECT uid, mid, score, "timestamp",
+         CASE WHEN CAST('0x' || substr(md5(concat_ws('|', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR),
+                         CAST(CAST(score * 2 AS BIGINT) AS VARCHAR), CAST("timestamp" AS VARCHAR))), 1, 8)
+                   AS UBIGINT) % 10 < 8
+              THEN 'train' ELSE 'test' END AS split
+  FROM star_ratings),
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+te AS (SELECT * FROM sp WHERE split = 'test')"""

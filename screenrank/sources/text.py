@@ -56,7 +56,7 @@ def parse_movie_lines(lines: DataFrame, mode: str = "fail") -> tuple[DataFrame,
     """``mid^name^...^directors`` (10 fields, ``^``-separated)."""
     f = _fields(F.col("value"), r"\^")
     parsed = lines.select("value", f.alias("_f"))
-    cols = {"mid": F.try_cast(F.col("_f")[0], "bigint")}
+    cols = {"mid": (F.col("_f")[0]).try_cast("bigint")}
     for i, name in enumerate(MOVIE_TEXT_FIELDS, start=1):
         cols[name] = jvm_trim(F.col("_f")[i])
     parsed = parsed.select("value", "_f", *[v.alias(k) for k, v in cols.items()])
@@ -71,10 +71,10 @@ def parse_rating_lines(lines: DataFrame, mode: str = "fail", sep: str = ",") ->
     f = _fields(F.col("value"), "\\" + sep if sep in "|^.$*+?()[]{}\\" else sep)
     parsed = lines.select("value", f.alias("_f")).select(
         "value", "_f",
-        F.try_cast(F.col("_f")[0], "bigint").alias("uid"),
-        F.try_cast(F.col("_f")[1], "bigint").alias("mid"),
-        F.try_cast(jvm_trim(F.col("_f")[2]), "double").alias("score"),
-        F.try_cast(F.col("_f")[3], "bigint").alias("timestamp"))
+        (F.col("_f")[0]).try_cast("bigint").alias("uid"),
+        (F.col("_f")[1]).try_cast("bigint").alias("mid"),
+        (jvm_trim(F.col("_f")[2])).try_cast("double").alias("score"),
+        (F.col("_f")[3]).try_cast("bigint").alias("timestamp"))
     checks = [(F.size("_f") >= 4, "fewer than 4 fields"),
               (F.col("uid").isNotNull(), "uid is not an integer"),
               (F.col("mid").isNotNull(), "mid is not an integer"),
@@ -89,10 +89,10 @@ def parse_tag_lines(lines: DataFrame, mode: str = "fail") -> tuple[DataFrame, Da
     f = _fields(F.col("value"), ",")
     parsed = lines.select("value", f.alias("_f")).select(
         "value", "_f",
-        F.try_cast(F.col("_f")[0], "bigint").alias("uid"),
-        F.try_cast(F.col("_f")[1], "bigint").alias("mid"),
+        (F.col("_f")[0]).try_cast("bigint").alias("uid"),
+        (F.col("_f")[1]).try_cast("bigint").alias("mid"),
         jvm_trim(F.col("_f")[2]).alias("tag"),
-        F.try_cast(F.col("_f")[3], "bigint").alias("timestamp"))
+        (F.col("_f")[3]).try_cast("bigint").alias("timestamp"))
     checks = [(F.size("_f") >= 4, "fewer than 4 fields"),
               (F.col("uid").isNotNull(), "uid is not an integer"),
               (F.col("mid").isNotNull(), "mid is not an integer"),
@@ -131,5 +131,5 @@ def render_rating_messages(ratings: DataFrame) -> DataFrame:
 def parse_recent_entries(entries: Column) -> Column:
     """S7 list entries ``mid:score`` (array<string>) -> array<struct<mid, score>>."""
     return F.transform(entries, lambda e: F.struct(
-        F.try_cast(jvm_trim(F.split(e, ":")[0]), "bigint").alias("mid"),
-        F.try_cast(F.split(e, ":")[1], "double").alias("score")))
+        (jvm_trim(F.split(e, ":")[0])).try_cast("bigint").alias("mid"),
+        (F.split(e, ":")[1]).try_cast("double").alias("score")))

@@ -8,6 +8,7 @@ the query and its oracle; exact ones (means of half-point scores) are not.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -234,16 +235,8 @@ def q_stream_candidates(spark, d):
 
 
 @register("stream_scores", V.with_views(V.EVENT_RATINGS, V.PART_MOVIES, V.CONTENT_SIM,
-                                        V.STREAM_INPUTS) + """
-, pairs AS (SELECT c.uid, c.mid AS q, r.mid AS r, r.score AS rating
-            FROM cands c JOIN recent r ON c.uid = r.uid)
-, gated AS (SELECT p.uid, p.q, p.rating, s.score AS sim
-            FROM pairs p JOIN sim s ON s.mid = p.q AND s.sim_mid = p.r WHERE s.score > 0.7)
-SELECT uid, q AS mid,
-       round(avg(sim * rating)
-             + ln(greatest(1, count(*) FILTER (WHERE rating > 3))) / ln(10)
-             - ln(greatest(1, count(*) FILTER (WHERE rating <= 3))) / ln(10), 6) AS score
-FROM gated GROUP BY uid, q""")
+                                        V.STREAM_INPUTS, V.STREAM_SCORES) + """
+SELECT uid, mid, score FROM scores""")
 def q_stream_scores(spark, d):
     ev, sim, cands = _stream_inputs(spark, d)
     recent = realtime.recent_ratings(ev, n=20)
@@ -271,3 +264,49 @@ def q_als_grid(spark, d):
     train, test = _train_test(spark, d)
     g = collab.als_grid(train.drop("split"), test.drop("split"), ranks=(5, 10), regs=(0.01, 0.1, 1.0))
     return g.select("rank", "reg", F.round("rmse", 6).alias("rmse"), "best")
+
+
+# ------------------------------------------------------------ streaming job
+
+STREAM_SLICES = 4
+
+
+def run_stream_over_events(spark, d, slices: int = STREAM_SLICES) -> str:
+    """Replay the event ratings through the streaming job.
+
+    Events are rendered as ``uid|mid|score|timestamp`` text files in
+    ``slices`` consecutive time ranges; after each file lands the stream runs
+    with ``availableNow`` from the same checkpoint (one micro-batch per slice,
+    restarts included). Returns the output log path."""
+    from screenrank.session import scratch_path
+    from screenrank.streaming.recommender import RealtimeRecommender, start_realtime
+
+    root = scratch_path(spark, "stream")
+    ev = fx.event_ratings(spark, d)
+    sim_path = os.path.join(root, "sim")
+    content.content_similar(fx.part_movies(spark, d), threshold=0.6).write.parquet(sim_path)
+    bounds = ev.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    cuts = [lo + (hi - lo + 1) * i // slices for i in range(slices + 1)]
+    handler = RealtimeRecommender(sim_path=sim_path, history_path=os.path.join(root, "history"),
+                                  out_path=os.path.join(root, "recs"))
+    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
+    for i in range(slices):
+        part = ev.filter((F.col("timestamp") >= cuts[i]) & (F.col("timestamp") < cuts[i + 1]))
+        text.render_rating_messages(part).write.mode("append").text(src)
+        q = start_realtime(spark, src, handler, ckpt, trigger={"availableNow": True})
+        q.awaitTermination()
+    return handler.out_path
+
+
+@register("stream_recs", V.with_views(V.EVENT_RATINGS, V.PART_MOVIES, V.CONTENT_SIM,
+                                     V.STREAM_INPUTS_MSG, V.STREAM_SCORES) + """
+SELECT uid, mid, score,
+       CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank
+FROM scores""")
+def q_stream_recs(spark, d):
+    from screenrank.operators.topk import unnest_recs
+    from screenrank.streaming.recommender import current_recs
+
+    out = run_stream_over_events(spark, d)
+    return unnest_recs(current_recs(spark, out), "uid")

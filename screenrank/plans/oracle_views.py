@@ -80,15 +80,15 @@ sim AS (
 # Stream batch twin inputs: the latest event of each user, every event as the
 # seen set, the 20 latest events as recent ratings, candidates (top 20 unseen
 # similar items of the latest event's item).
-STREAM_INPUTS = """cur AS (
+STREAM_INPUTS_TMPL = """cur AS (
   SELECT uid, mid FROM (
-    SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, event_id DESC) AS rn
+    SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY {order}) AS rn
     FROM event_ratings) t WHERE rn = 1),
 seen AS (SELECT DISTINCT uid, mid FROM event_ratings),
 recent AS (
   SELECT uid, mid, score FROM (
     SELECT uid, mid, score,
-           row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, event_id DESC) AS rn
+           row_number() OVER (PARTITION BY uid ORDER BY {order}) AS rn
     FROM event_ratings) t WHERE rn <= 20),
 cand_all AS (
   SELECT cur.uid, s.sim_mid AS mid, round(s.score, 6) AS score
@@ -102,6 +102,22 @@ cands AS (
            CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank
     FROM fresh) t WHERE rank <= 20)"""
 
+# Batch twin: events ordered by (timestamp, event_id). Stream: messages carry
+# no event id, ties broken by (mid, score).
+STREAM_INPUTS = STREAM_INPUTS_TMPL.replace("{order}", '"timestamp" DESC, event_id DESC')
+STREAM_INPUTS_MSG = STREAM_INPUTS_TMPL.replace("{order}", '"timestamp" DESC, mid DESC, score DESC')
+
+STREAM_SCORES = """pairs AS (SELECT c.uid, c.mid AS q, r.mid AS r, r.score AS rating
+           FROM cands c JOIN recent r ON c.uid = r.uid),
+gated AS (SELECT p.uid, p.q, p.rating, s.score AS sim
+          FROM pairs p JOIN sim s ON s.mid = p.q AND s.sim_mid = p.r WHERE s.score > 0.7),
+scores AS (
+  SELECT uid, q AS mid,
+         round(avg(sim * rating)
+               + ln(greatest(1, count(*) FILTER (WHERE rating > 3))) / ln(10)
+               - ln(greatest(1, count(*) FILTER (WHERE rating <= 3))) / ln(10), 6) AS score
+  FROM gated GROUP BY uid, q)"""
+
 EMBED = """v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
 
 SPLIT = """sp AS (

@@ -1,0 +1,77 @@
+import math
+
+import pytest
+
+from screenrank.operators import realtime
+from screenrank.streaming.recommender import score_events
+
+R = "uid long, mid long, score double, timestamp long"
+E = "mid long, sim_mid long, score double"
+
+
+def sym(rows):
+    return rows + [(b, a, s) for a, b, s in rows]
+
+
+def test_formula_worked_example(spark):
+    # User 1 rates item 1 now; item 1's neighbours: 10 (0.9), 11 (0.8).
+    # Recent ratings: item 1 -> 5.0, item 2 -> 2.0, item 3 -> 4.0.
+    # sim(10, 1)=0.9, sim(10, 2)=0.75, sim(10, 3)=0.65 (below gate)
+    # sim(11, 1)=0.8
+    sim = spark.createDataFrame(sym([(1, 10, 0.9), (1, 11, 0.8), (2, 10, 0.75), (3, 10, 0.65)]), E)
+    events = spark.createDataFrame([(1, 1, 5.0, 30)], R)
+    history = spark.createDataFrame([(1, 2, 2.0, 10), (1, 3, 4.0, 20), (1, 1, 5.0, 30)], R)
+    recs = score_events(events, history, sim).collect()
+    got = {x.mid: x.score for x in recs[0].recs}
+    s10 = (0.9 * 5.0 + 0.75 * 2.0) / 2 + math.log10(1) - math.log10(1)
+    s11 = 0.8 * 5.0
+    assert got[10] == pytest.approx(round(s10, 6)) and got[11] == pytest.approx(round(s11, 6))
+    assert [x.mid for x in recs[0].recs] == [11, 10]  # sorted by score
+
+
+def test_like_dislike_counts(spark):
+    sim = spark.createDataFrame(sym([(1, 10, 0.9), (2, 10, 0.9), (3, 10, 0.9), (4, 10, 0.9)]), E)
+    cands = spark.createDataFrame([(1, 10, 0.9, 1)], "uid long, mid long, score double, rank int")
+    recent = spark.createDataFrame([(1, 1, 5.0, 1), (1, 2, 4.0, 2), (1, 3, 3.5, 3), (1, 4, 1.0, 4)],
+                                   "uid long, mid long, score double, rank int")
+    got = realtime.stream_scores(cands, recent, sim).first().score
+    mean = 0.9 * (5.0 + 4.0 + 3.5 + 1.0) / 4
+    assert got == pytest.approx(round(mean + math.log10(3) - math.log10(1), 6))
+
+
+def test_seen_items_excluded_before_cut(spark):
+    sim = spark.createDataFrame([(1, m, 1.0 - m / 100, ) for m in range(2, 30)], E)
+    cur = spark.createDataFrame([(1, 1)], "uid long, mid long")
+    seen = spark.createDataFrame([(1, m) for m in range(2, 12)], "uid long, mid long")
+    c = realtime.stream_candidates(cur, sim, seen, n=20).collect()
+    mids = sorted(x.mid for x in c)
+    assert mids == list(range(12, 30))[:20] and len(c) == 18
+
+
+def test_item_without_similar_items_gets_empty_list(spark):
+    sim = spark.createDataFrame(sym([(1, 10, 0.9)]), E)
+    events = spark.createDataFrame([(5, 99, 4.0, 1)], R)
+    out = score_events(events, events, sim).collect()
+    assert [(x.uid, list(x.recs)) for x in out] == [(5, [])]
+
+
+def test_user_without_surviving_candidate(spark):
+    sim = spark.createDataFrame(sym([(1, 10, 0.9)]), E)
+    events = spark.createDataFrame([(5, 1, 4.0, 2)], R)
+    history = spark.createDataFrame([(5, 10, 3.0, 1), (5, 1, 4.0, 2)], R)  # 10 already seen
+    out = score_events(events, history, sim).collect()
+    assert [(x.uid, list(x.recs)) for x in out] == [(5, [])]
+
+
+def test_two_events_of_one_user_last_wins(spark):
+    sim = spark.createDataFrame(sym([(1, 10, 0.9), (2, 20, 0.95)]), E)
+    events = spark.createDataFrame([(7, 1, 5.0, 100), (7, 2, 5.0, 200)], R)
+    out = score_events(events, events, sim).collect()
+    assert len(out) == 1 and [x.mid for x in out[0].recs] == [20]
+
+
+def test_recent_ratings_cut_and_order(spark):
+    rows = [(1, m, 1.0, m, m) for m in range(30)]
+    r = spark.createDataFrame(rows, R + ", event_id long")
+    got = realtime.recent_ratings(r, n=20).orderBy("rank").collect()
+    assert [x.mid for x in got] == list(range(29, 9, -1))

@@ -41,39 +41,75 @@ def recent_ratings(ratings: DataFrame, n: int = MAX_USER_RATINGS,
     return top.select("uid", "mid", "score", "rank")
 
 
+def sim_bucket(mid_col, buckets: int):
+    """Storage bucket of a similarity row: lets per-batch lookups read only
+    the buckets of the batch's items (dynamic partition pruning)."""
+    return F.pmod(F.xxhash64(F.col(mid_col) if isinstance(mid_col, str) else mid_col),
+                  F.lit(buckets)).cast("int")
+
+
+def write_similarity_table(edges: DataFrame, path: str, buckets: int = 64) -> None:
+    """Store (mid, sim_mid, score) partitioned by ``bucket`` of mid."""
+    (edges.select("mid", "sim_mid", "score", sim_bucket("mid", buckets).alias("bucket"))
+     .repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def _small(df: DataFrame, broadcast: bool) -> DataFrame:
+    return F.broadcast(df) if broadcast else df
+
+
 def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
-                      n: int = MAX_SIM_MOVIES, digits: int | None = SCORE_DIGITS) -> DataFrame:
+                      n: int = MAX_SIM_MOVIES, digits: int | None = SCORE_DIGITS,
+                      sim_buckets: int | None = None, broadcast: bool = False) -> DataFrame:
     """For each (uid, mid) event, the ``n`` most similar items of ``mid``
     the user has not rated yet -> (uid, mid, score, rank).
 
     ``sim``: (mid, sim_mid, score) edges; ``seen``: (uid, mid) ratings. The
     exclusion is applied before the cut (anti join, then rank). Scores are
     rounded to ``digits`` before ranking so equal similarities tie exactly and
-    fall back to the smaller mid."""
+    fall back to the smaller mid.
+
+    ``broadcast=True`` is for a caller that has checked the events are few
+    (a micro-batch): the event side is broadcast and the large tables are only
+    scanned, never shuffled. With ``sim_buckets`` the similarity table is the
+    bucketed layout of ``write_similarity_table`` and only touched buckets
+    are read."""
     ev = current.select("uid", F.col("mid").alias("src"))
     edges = sim.select(F.col("mid").alias("src"), F.col("sim_mid").alias("mid"),
-                       (F.round("score", digits) if digits is not None else F.col("score")).alias("score"))
-    cands = ev.join(edges, "src").select("uid", "mid", "score")
+                       (F.round("score", digits) if digits is not None else F.col("score")).alias("score"),
+                       *(["bucket"] if sim_buckets else []))
+    keys = ["src"]
+    if sim_buckets:
+        ev = ev.withColumn("bucket", sim_bucket("src", sim_buckets))
+        keys = ["bucket", "src"]
+    cands = edges.join(_small(ev, broadcast), keys).select("uid", "mid", "score")
     users = ev.select("uid").distinct()
-    seen_u = seen.select("uid", "mid").join(users, "uid", "left_semi")
+    seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
     fresh = cands.join(seen_u, ["uid", "mid"], "left_anti")
     return top_n_per_group(fresh, "uid", [F.desc("score"), F.asc("mid")], n)
 
 
 def stream_scores(cands: DataFrame, recent: DataFrame, sim: DataFrame, gate: float = SIM_GATE,
-                  like_above: float = LIKE_ABOVE, digits: int | None = SCORE_DIGITS) -> DataFrame:
+                  like_above: float = LIKE_ABOVE, digits: int | None = SCORE_DIGITS,
+                  sim_buckets: int | None = None, broadcast: bool = False) -> DataFrame:
     """Priority of each candidate from the user's recent ratings.
 
     score(u, q) = mean over gated r of sim(q, r) * rating(r)
                   + log10(max(1, #liked)) - log10(max(1, #disliked))
     where gated r are recent ratings with sim(q, r) > gate, liked means
     rating > like_above. Candidates with no gated rating produce no row.
-    -> (uid, mid, score)."""
+    -> (uid, mid, score). ``broadcast``: the caller has bounded the
+    candidate x recent pairs (<= 20 x 20 per user) to a broadcastable size."""
     c = cands.select("uid", F.col("mid").alias("q"))
     r = recent.select("uid", F.col("mid").alias("r"), F.col("score").alias("rating"))
     pairs = c.join(r, "uid")  # J10: candidates x recent, within one user
-    s = sim.select(F.col("mid").alias("q"), F.col("sim_mid").alias("r"), F.col("score").alias("sim"))
-    gated = pairs.join(s, ["q", "r"]).filter(F.col("sim") > gate)  # J9 + P10
+    s = sim.select(F.col("mid").alias("q"), F.col("sim_mid").alias("r"), F.col("score").alias("sim"),
+                   *(["bucket"] if sim_buckets else []))
+    keys = ["q", "r"]
+    if sim_buckets:
+        pairs = pairs.withColumn("bucket", sim_bucket("q", sim_buckets))
+        keys = ["bucket", "q", "r"]
+    gated = s.join(_small(pairs, broadcast), keys).filter(F.col("sim") > gate)  # J9 + P10
     liked = F.col("rating") > like_above
     agg = gated.groupBy("uid", "q").agg(
         F.avg(F.col("sim") * F.col("rating")).alias("_mean"),

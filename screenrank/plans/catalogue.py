@@ -296,6 +296,7 @@ def run_stream_over_events(spark, d, slices: int = STREAM_SLICES) -> str:
         text.render_rating_messages(part).write.mode("append").text(src)
         q = start_realtime(spark, src, handler, ckpt, trigger={"availableNow": True})
         q.awaitTermination()
+    handler.close()
     return handler.out_path
 
 

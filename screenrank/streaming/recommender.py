@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,19 +37,30 @@ from screenrank.sources.text import parse_rating_messages
 STREAM_ORDER = ("timestamp", "mid", "score")
 
 
+# Largest candidate x recent pair count (20 x 20 per user bound) for which a
+# micro-batch side is broadcast; beyond it the same joins run as shuffles.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
 def score_events(events: DataFrame, history: DataFrame, sim: DataFrame,
                  n_recent: int = realtime.MAX_USER_RATINGS, n_cands: int = realtime.MAX_SIM_MOVIES,
-                 gate: float = realtime.SIM_GATE, order=STREAM_ORDER) -> DataFrame:
+                 gate: float = realtime.SIM_GATE, order=STREAM_ORDER,
+                 sim_buckets: int | None = None, n_users: int | None = None) -> DataFrame:
     """New recommendation list of every user in ``events``.
 
     ``history`` must already contain ``events``. -> (uid, recs) where recs is
-    array<struct<mid, score>> sorted by score desc, mid asc (possibly empty)."""
+    array<struct<mid, score>> sorted by score desc, mid asc (possibly empty).
+    ``n_users`` (the checked number of distinct users in ``events``) enables
+    broadcasting the batch side when its proven bound is small."""
     cur = realtime.latest_per_user(events, order)
     users = cur.select("uid")
-    hist_u = history.join(users, "uid", "left_semi")
-    cands = realtime.stream_candidates(cur, sim, hist_u.select("uid", "mid"), n=n_cands)
+    small = n_users is not None and n_users * n_recent * n_cands <= BROADCAST_MAX_ROWS
+    hist_u = history.join(F.broadcast(users) if small else users, "uid", "left_semi")
+    cands = realtime.stream_candidates(cur, sim, hist_u.select("uid", "mid"), n=n_cands,
+                                       sim_buckets=sim_buckets, broadcast=small)
     recent = realtime.recent_ratings(hist_u, n=n_recent, order=order)
-    scores = realtime.stream_scores(cands, recent, sim, gate=gate)
+    scores = realtime.stream_scores(cands, recent, sim, gate=gate, sim_buckets=sim_buckets,
+                                    broadcast=small)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)
     nested = nest_recs(ranked, "uid")
     empty = F.array().cast("array<struct<mid:bigint,score:double>>")
@@ -62,6 +74,29 @@ class RealtimeRecommender:
     history_path: str
     out_path: str
     initial_history_path: str | None = None
+    sim_buckets: int | None = None
+    cache_sim: bool = True
+
+    def _sim(self, spark: SparkSession) -> DataFrame:
+        """The similarity table, loaded once per stream like the reference's
+        broadcast map, but kept distributed (cached on executors; lost blocks
+        are re-read from the table). With ``sim_buckets`` it is read per
+        batch instead, so tiny batches prune to the buckets they touch."""
+        if self.sim_buckets:
+            return spark.read.parquet(self.sim_path)
+        cached = getattr(self, "_sim_df", None)
+        if cached is None:
+            cached = spark.read.parquet(self.sim_path).select("mid", "sim_mid", "score")
+            if self.cache_sim:
+                cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
+            self._sim_df = cached
+        return cached
+
+    def close(self) -> None:
+        cached = getattr(self, "_sim_df", None)
+        if cached is not None and self.cache_sim:
+            cached.unpersist()
+        self._sim_df = None
 
     def _history(self, spark: SparkSession, upto: int) -> DataFrame:
         parts = []
@@ -81,10 +116,11 @@ class RealtimeRecommender:
         events = batch.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
         replace_by_key(events, self.history_path, batch_id)
         history = self._history(spark, batch_id)
-        sim = spark.read.parquet(self.sim_path)
-        replace_by_key(score_events(spark.read.parquet(os.path.join(
-            self.history_path, f"batch_id={int(batch_id)}")), history, sim),
-            self.out_path, batch_id)
+        sim = self._sim(spark)
+        mine = spark.read.parquet(os.path.join(self.history_path, f"batch_id={int(batch_id)}"))
+        n_users = mine.select("uid").distinct().count()  # size check of the batch side
+        replace_by_key(score_events(mine, history, sim, sim_buckets=self.sim_buckets,
+                                    n_users=n_users), self.out_path, batch_id)
 
 
 def start_realtime(spark: SparkSession, source_dir: str, handler: RealtimeRecommender,

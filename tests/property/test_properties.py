@@ -1,0 +1,64 @@
+"""Properties of results on the fixture tables and on random inputs."""
+
+import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from screenrank.operators import content, realtime
+from screenrank.operators.similarity import similar_items_dense, similar_items_lsh, similar_items_sparse
+from screenrank.plans.catalogue import QUERIES
+from screenrank.sources import fixtures as fx
+from tests.conftest import SF_SMALL
+
+
+def test_content_edges_symmetric_no_self_above_threshold(spark):
+    e = content.content_similar(fx.part_movies(spark, SF_SMALL))
+    rows = {(r.mid, r.sim_mid): r.score for r in e.collect()}
+    assert rows and all(a != b for a, b in rows)
+    assert all(s > 0.6 for s in rows.values())
+    assert all(abs(rows[(b, a)] - s) < 1e-12 for (a, b), s in rows.items())
+
+
+def test_top_n_lists_bounded_and_ranks_dense(spark):
+    for name, key, n in [("genre_top10", "genres", 10), ("recent_ratings", "uid", 20),
+                         ("recommend_topn_fixed", "uid", 20), ("stream_candidates", "uid", 20)]:
+        df = QUERIES[name](spark, SF_SMALL)
+        g = df.groupBy(key).agg(F.count("*").alias("c"), F.max("rank").alias("m"),
+                                F.countDistinct("rank").alias("d")).collect()
+        assert all(r.c <= n and r.m == r.c == r.d for r in g), name
+
+
+def test_stream_candidates_never_seen(spark):
+    ev = fx.event_ratings(spark, SF_SMALL)
+    c = QUERIES["stream_candidates"](spark, SF_SMALL)
+    assert c.join(ev.select("uid", "mid"), ["uid", "mid"]).count() == 0
+
+
+def test_lsh_edges_are_true_edges(spark):
+    v = fx.vectors(spark, SF_SMALL)
+    exact = {(r.mid, r.sim_mid) for r in similar_items_dense(v, threshold=0.3).collect()}
+    approx = {(r.mid, r.sim_mid) for r in similar_items_lsh(v, threshold=0.3).collect()}
+    assert approx <= exact
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.integers(0, 3), min_size=5, max_size=5), min_size=2, max_size=25),
+       st.sampled_from([0.3, 0.6, 0.9]))
+def test_sparse_equals_dense_random(spark, rows, t):
+    vecs = {i: np.array(r, dtype=float) for i, r in enumerate(rows)}
+    long = spark.createDataFrame([(i, j, float(w)) for i, v in vecs.items() for j, w in enumerate(v) if w],
+                                 "id long, idx int, w double") if any(v.any() for v in vecs.values()) else None
+    dense = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vecs.items()], "id long, vec array<double>")
+    d = {(r.mid, r.sim_mid): r.score for r in similar_items_dense(dense, t, inclusive=False, block_rows=4).collect()}
+    s = {} if long is None else {(r.mid, r.sim_mid): r.score for r in
+                                 similar_items_sparse(long, t, inclusive=False, chunk_rows=3).collect()}
+    assert set(d) == set(s)
+    assert all(abs(d[k] - s[k]) < 1e-9 for k in d)
+
+
+def test_latest_per_user_picks_last(spark):
+    r = spark.createDataFrame([(1, 5, 1.0, 10, 1), (1, 6, 1.0, 10, 2), (2, 7, 1.0, 3, 3)],
+                              "uid long, mid long, score double, timestamp long, event_id long")
+    got = {x.uid: x.mid for x in realtime.latest_per_user(r).collect()}
+    assert got == {1: 6, 2: 7}

@@ -7,6 +7,7 @@ Library code never creates a session on its own; it takes the caller's
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
@@ -62,3 +63,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_by_value(module_name: str) -> None:
+    """Serialise functions of ``module_name`` by value when Spark ships them
+    to Python workers (``mapInPandas`` etc.), so executors do not need this
+    package on their path."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

@@ -46,6 +46,9 @@ def test_scans_are_pruned(spark):
     assert "value" not in ev._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1][:200]
 
 
-def test_genre_theta_join_broadcasts_only_literal_list(spark):
-    p = plan(QUERIES["genre_top10"](spark, SF_SMALL))
-    assert "BroadcastNestedLoopJoin" in p  # the 12-row literal genre table
+def test_no_nested_loop_or_cartesian_join_anywhere(spark):
+    for name, fn in QUERIES.items():
+        if name in ("stream_recs", "als_grid", "als_user_recs", "als_item_similar"):
+            continue  # these run jobs while building; covered by unit tests
+        p = plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name

@@ -64,10 +64,17 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
     """For each (uid, mid) event, the ``n`` most similar items of ``mid``
     the user has not rated yet -> (uid, mid, score, rank).
 
-    ``sim``: (mid, sim_mid, score) edges; ``seen``: (uid, mid) ratings. The
-    exclusion is applied before the cut (anti join, then rank). Scores are
-    rounded to ``digits`` before ranking so equal similarities tie exactly and
-    fall back to the smaller mid.
+    ``sim``: (mid, sim_mid, score) edges; ``seen``: (uid, mid) ratings. Scores
+    are rounded to ``digits`` before ranking so equal similarities tie exactly
+    and fall back to the smaller mid.
+
+    Exact bound instead of the full neighbour list: at most |seen(u)| of an
+    item's ranked neighbours are already seen, so the ``n`` best unseen ones
+    are among its first k = n + |seen(u)|. Each event probes ranks 1..k of its
+    item by an equi-join on (item, rank); the work is linear in events plus
+    history, even for an item that is current for many users and similar to a
+    large part of the catalogue. Each item's neighbours are ranked with a
+    top-k window (WindowGroupLimit), restricted to the items of the events.
 
     ``broadcast=True`` is for a caller that has checked the events are few
     (a micro-batch): the event side is broadcast and the large tables are only
@@ -75,16 +82,27 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
     bucketed layout of ``write_similarity_table`` and only touched buckets
     are read."""
     ev = current.select("uid", F.col("mid").alias("src"))
+    users = ev.select("uid").distinct()
+    seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
+    seen_n = seen_u.groupBy("uid").agg(F.count(F.lit(1)).alias("_s"))
+    need = ev.join(seen_n, "uid", "left").select(
+        "uid", "src", (F.lit(n) + F.coalesce(F.col("_s"), F.lit(0))).cast("int").alias("_k"))
+    kmax = need.agg(F.max("_k")).first()[0]  # one scalar: the deepest probe
     edges = sim.select(F.col("mid").alias("src"), F.col("sim_mid").alias("mid"),
                        (F.round("score", digits) if digits is not None else F.col("score")).alias("score"),
                        *(["bucket"] if sim_buckets else []))
-    keys = ["src"]
+    srcs = ev.select("src").distinct()
     if sim_buckets:
-        ev = ev.withColumn("bucket", sim_bucket("src", sim_buckets))
-        keys = ["bucket", "src"]
-    cands = edges.join(_small(ev, broadcast), keys).select("uid", "mid", "score")
-    users = ev.select("uid").distinct()
-    seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
+        srcs = srcs.withColumn("bucket", sim_bucket("src", sim_buckets))
+        edges = edges.join(_small(srcs, broadcast), ["bucket", "src"], "left_semi").drop("bucket")
+    else:
+        edges = edges.join(_small(srcs, broadcast), "src", "left_semi")
+    if kmax is None:  # no events
+        return edges.select(F.lit(None).cast("bigint").alias("uid"), "mid", "score",
+                            F.lit(None).cast("int").alias("rank")).limit(0)
+    ranked = top_n_per_group(edges, "src", [F.desc("score"), F.asc("mid")], int(kmax), rank_col="_r")
+    probes = need.select("uid", "src", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_r"))
+    cands = ranked.join(probes, ["src", "_r"]).select("uid", "mid", "score")
     fresh = cands.join(seen_u, ["uid", "mid"], "left_anti")
     return top_n_per_group(fresh, "uid", [F.desc("score"), F.asc("mid")], n)
 

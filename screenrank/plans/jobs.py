@@ -28,7 +28,7 @@ from screenrank.schemas import MOVIE, RATING, TAG
 from screenrank.sinks.tables import overwrite_table, write_documents
 from screenrank.sources.tables import read_table
 from screenrank.sources.text import load_movies, load_ratings, load_tags
-from screenrank.streaming.recommender import RealtimeRecommender, start_realtime
+from screenrank.streaming.recommender import RealtimeRecommender, start_realtime, user_bucket
 
 # Table (collection) names of the recommender.
 MOVIE_T, RATING_T, TAG_T = "Movie", "Rating", "Tag"
@@ -44,14 +44,22 @@ def _t(root: str, name: str) -> str:
 
 
 def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path: str,
-             out_dir: str, mode: str = "fail", quarantine_dir: str | None = None) -> None:
+             out_dir: str, mode: str = "fail", quarantine_dir: str | None = None,
+             rating_user_buckets: int | None = None) -> None:
     """Text files -> Movie, Rating, Tag tables and the search documents
-    (movies with their ``|``-joined distinct tags, one document per mid)."""
+    (movies with their ``|``-joined distinct tags, one document per mid).
+
+    ``rating_user_buckets`` stores Rating partitioned by a hash bucket of uid
+    (column ``ub``), the layout the streaming job prunes per batch."""
     loaded = {MOVIE_T: load_movies(spark, movies_path, mode),
               RATING_T: load_ratings(spark, ratings_path, mode),
               TAG_T: load_tags(spark, tags_path, mode)}
     for name, (good, bad) in loaded.items():
-        overwrite_table(good, _t(out_dir, name))
+        if name == RATING_T and rating_user_buckets:
+            overwrite_table(good.withColumn("ub", user_bucket("uid", rating_user_buckets)),
+                            _t(out_dir, name), partition_by=["ub"])
+        else:
+            overwrite_table(good, _t(out_dir, name))
         if mode == "quarantine" and quarantine_dir:
             overwrite_table(bad, _t(quarantine_dir, name))
     movies = read_table(spark, _t(out_dir, MOVIE_T), MOVIE)
@@ -122,12 +130,15 @@ def trainer_job(spark: SparkSession, tables: str, ranks: Sequence[int] = collab.
 
 
 def realtime_job(spark: SparkSession, tables: str, source_dir: str, checkpoint: str,
-                 sim_table: str = MOVIE_RECS_T, trigger: dict | None = None):
+                 sim_table: str = MOVIE_RECS_T, trigger: dict | None = None,
+                 history_buckets: int | None = None):
     """Start the streaming recommender; similarity edges from ``sim_table``,
-    seen/recent ratings from Rating plus the stream's own history."""
+    seen/recent ratings from Rating plus the stream's own history.
+    ``history_buckets`` must match the ``rating_user_buckets`` of the load."""
     handler = RealtimeRecommender(sim_path=_t(tables, sim_table), history_path=_t(tables, "StreamHistory"),
                                   out_path=_t(tables, STREAM_RECS_T),
-                                  initial_history_path=_t(tables, RATING_T))
+                                  initial_history_path=_t(tables, RATING_T),
+                                  history_buckets=history_buckets)
     return start_realtime(spark, source_dir, handler, checkpoint, trigger=trigger)
 
 

@@ -41,9 +41,13 @@ def version_path(path: str, batch_id: int) -> str:
     return os.path.join(path, f"batch_id={int(batch_id)}")
 
 
-def replace_by_key(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+def replace_by_key(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
+                   partition_by: list[str] | None = None) -> None:
     """K3: write this batch's rows as version ``batch_id`` (idempotent)."""
-    batch.write.mode("overwrite").format(fmt).save(version_path(path, batch_id))
+    w = batch.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(version_path(path, batch_id))
 
 
 def read_versions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -42,20 +42,34 @@ STREAM_ORDER = ("timestamp", "mid", "score")
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def user_bucket(uid_col: str = "uid", buckets: int = 256):
+    """Storage bucket of a user's history rows (directory partition ``ub``)."""
+    return F.pmod(F.xxhash64(F.col(uid_col)), F.lit(buckets)).cast("int")
+
+
 def score_events(events: DataFrame, history: DataFrame, sim: DataFrame,
                  n_recent: int = realtime.MAX_USER_RATINGS, n_cands: int = realtime.MAX_SIM_MOVIES,
                  gate: float = realtime.SIM_GATE, order=STREAM_ORDER,
-                 sim_buckets: int | None = None, n_users: int | None = None) -> DataFrame:
+                 sim_buckets: int | None = None, n_users: int | None = None,
+                 history_buckets: int | None = None) -> DataFrame:
     """New recommendation list of every user in ``events``.
 
     ``history`` must already contain ``events``. -> (uid, recs) where recs is
     array<struct<mid, score>> sorted by score desc, mid asc (possibly empty).
     ``n_users`` (the checked number of distinct users in ``events``) enables
-    broadcasting the batch side when its proven bound is small."""
+    broadcasting the batch side when its proven bound is small. With
+    ``history_buckets`` the history carries the ``ub`` partition column and
+    the broadcast user set prunes its scan to the buckets of the batch's
+    users (dynamic partition pruning), instead of reading all history."""
     cur = realtime.latest_per_user(events, order)
     users = cur.select("uid")
     small = n_users is not None and n_users * n_recent * n_cands <= BROADCAST_MAX_ROWS
-    hist_u = history.join(F.broadcast(users) if small else users, "uid", "left_semi")
+    if history_buckets:
+        keyed = users.withColumn("ub", user_bucket("uid", history_buckets))
+        hist_u = history.join(F.broadcast(keyed) if small else keyed, ["ub", "uid"], "left_semi") \
+            .drop("ub")
+    else:
+        hist_u = history.join(F.broadcast(users) if small else users, "uid", "left_semi")
     cands = realtime.stream_candidates(cur, sim, hist_u.select("uid", "mid"), n=n_cands,
                                        sim_buckets=sim_buckets, broadcast=small)
     recent = realtime.recent_ratings(hist_u, n=n_recent, order=order)
@@ -76,6 +90,10 @@ class RealtimeRecommender:
     initial_history_path: str | None = None
     sim_buckets: int | None = None
     cache_sim: bool = True
+    # Store the stream's history partitioned by a hash bucket of uid so each
+    # batch reads only its users' buckets; the initial history must then be
+    # written with the same ``ub`` partition column (``load_job`` can).
+    history_buckets: int | None = None
 
     def _sim(self, spark: SparkSession) -> DataFrame:
         """The similarity table, loaded once per stream like the reference's
@@ -99,13 +117,15 @@ class RealtimeRecommender:
         self._sim_df = None
 
     def _history(self, spark: SparkSession, upto: int) -> DataFrame:
+        cols = [F.col(f.name).cast(f.dataType) for f in RATING.fields]
+        if self.history_buckets:
+            cols.append(F.col("ub"))
         parts = []
         if self.initial_history_path:
-            parts.append(spark.read.parquet(self.initial_history_path)
-                         .select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields]))
+            parts.append(spark.read.parquet(self.initial_history_path).select(*cols))
         # Batch ``upto`` has just been written, so the history log exists.
         h = read_versions(spark, self.history_path).filter(F.col("batch_id") <= upto)
-        parts.append(h.select(*[f.name for f in RATING.fields]))
+        parts.append(h.select(*cols))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -114,13 +134,18 @@ class RealtimeRecommender:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         events = batch.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
-        replace_by_key(events, self.history_path, batch_id)
+        if self.history_buckets:
+            events = events.withColumn("ub", user_bucket("uid", self.history_buckets))
+        replace_by_key(events, self.history_path, batch_id,
+                       partition_by=["ub"] if self.history_buckets else None)
         history = self._history(spark, batch_id)
         sim = self._sim(spark)
-        mine = spark.read.parquet(os.path.join(self.history_path, f"batch_id={int(batch_id)}"))
+        mine = spark.read.parquet(os.path.join(self.history_path, f"batch_id={int(batch_id)}")) \
+            .select(*[f.name for f in RATING.fields])
         n_users = mine.select("uid").distinct().count()  # size check of the batch side
         replace_by_key(score_events(mine, history, sim, sim_buckets=self.sim_buckets,
-                                    n_users=n_users), self.out_path, batch_id)
+                                    n_users=n_users, history_buckets=self.history_buckets),
+                       self.out_path, batch_id)
 
 
 def start_realtime(spark: SparkSession, source_dir: str, handler: RealtimeRecommender,

@@ -30,7 +30,7 @@ def test_jobs_end_to_end(spark):
     src, tables = os.path.join(root, "src"), os.path.join(root, "tables")
     write_inputs(src)
     jobs.load_job(spark, os.path.join(src, "movies.csv"), os.path.join(src, "ratings.csv"),
-                  os.path.join(src, "tags.csv"), tables)
+                  os.path.join(src, "tags.csv"), tables, rating_user_buckets=4)
     docs = {r.mid: r.tags for r in spark.read.json(os.path.join(tables, jobs.SEARCH_DOCS_T)).collect()}
     assert docs[1] == "funny" and docs[2] == "dark" and docs[3] is None
 
@@ -61,7 +61,8 @@ def test_jobs_end_to_end(spark):
     with open(os.path.join(stream_src, "m1.txt"), "w") as f:
         f.write("1|1|5.0|1500000000\n2|3|4.0|1500000001\n")
     q = jobs.realtime_job(spark, tables, stream_src, os.path.join(root, "ckpt"),
-                          sim_table=jobs.CONTENT_RECS_T, trigger={"availableNow": True})
+                          sim_table=jobs.CONTENT_RECS_T, trigger={"availableNow": True},
+                          history_buckets=4)
     q.awaitTermination()
     from screenrank.streaming.recommender import current_recs
     users = {r.uid for r in current_recs(spark, os.path.join(tables, jobs.STREAM_RECS_T)).collect()}

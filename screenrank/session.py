@@ -45,13 +45,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, reliable
-    folder there). Only when it is unset, as in local tests, a private folder
-    is created and recorded in the session so later calls agree.
+    folder there). Only when it is unset on a local master, as in tests, a
+    private folder is created and recorded in the session so later calls
+    agree; on a cluster a machine-local folder would be wrong, so it is an
+    error instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints and "
+                               "intermediate tables are written there)")
         root = tempfile.mkdtemp(prefix="screenrank-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext

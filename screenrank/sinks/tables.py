@@ -50,16 +50,68 @@ def replace_by_key(batch: DataFrame, path: str, batch_id: int, fmt: str = "parqu
     w.save(version_path(path, batch_id))
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Newest complete snapshot (``_snapshots/upto=N`` with a ``_SUCCESS``)."""
+    fs, root = _fs_path(spark, os.path.join(path, "_snapshots"))
+    if not fs.exists(root):
+        return None
+    done = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            done.append(int(name.split("=", 1)[1]))
+    return max(done) if done else None
+
+
+def read_log(spark: SparkSession, path: str, fmt: str = "parquet",
+             upto_batch: int | None = None) -> DataFrame:
+    """Every live row of a versioned log, with its ``batch_id``: the newest
+    snapshot plus the versions written after it (older versions, already in
+    the snapshot, are pruned by the partition filter and never read)."""
+    snap = latest_snapshot(spark, path)
+    if upto_batch is not None and snap is not None and snap > upto_batch:
+        snap = None  # reading an older state than the snapshot: versions only
+    v = spark.read.format(fmt).load(path)
+    if snap is not None:
+        v = v.filter(F.col("batch_id") > snap)
+    if upto_batch is not None:
+        v = v.filter(F.col("batch_id") <= upto_batch)
+    if snap is None:
+        return v
+    base = spark.read.format(fmt).load(os.path.join(path, "_snapshots", f"upto={snap}"))
+    return base.unionByName(v, allowMissingColumns=False)
+
+
+def compact_log(spark: SparkSession, path: str, upto: int, key: str | None = None,
+                fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """Snapshot of a versioned log as of batch ``upto``.
+
+    With ``key`` (a replace-by-key table) only the newest row of every key is
+    kept; without (an append log) all rows are. Writing the same snapshot
+    again is harmless, so a replayed batch may compact twice."""
+    rows = read_latest(spark, path, key, fmt, upto_batch=upto, keep_batch=True) if key \
+        else read_log(spark, path, fmt, upto_batch=upto)
+    w = rows.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(os.path.join(path, "_snapshots", f"upto={int(upto)}"))
+
+
 def read_versions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    return read_log(spark, path, fmt)
 
 
 def read_latest(spark: SparkSession, path: str, key: str, fmt: str = "parquet",
-                upto_batch: int | None = None) -> DataFrame:
+                upto_batch: int | None = None, keep_batch: bool = False) -> DataFrame:
     """Current table of a K3 log: newest version of every key."""
-    v = read_versions(spark, path, fmt)
-    if upto_batch is not None:
-        v = v.filter(F.col("batch_id") <= upto_batch)
+    v = read_log(spark, path, fmt, upto_batch)
     cols = [c for c in v.columns if c not in (key, "batch_id")]
-    latest = v.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_row"))
-    return latest.select(key, *[F.col(f"_row.{c}").alias(c) for c in cols])
+    latest = v.groupBy(key).agg(F.max_by(F.struct(*cols, "batch_id"), F.col("batch_id")).alias("_row"))
+    out = [key] + cols + (["batch_id"] if keep_batch else [])
+    return latest.select(*[F.col(f"_row.{c}").alias(c) if c != key else F.col(key) for c in out])

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from screenrank.operators import realtime
 from screenrank.operators.topk import nest_recs
 from screenrank.schemas import RATING
-from screenrank.sinks.tables import read_latest, read_versions, replace_by_key
+from screenrank.sinks.tables import compact_log, read_latest, read_log, replace_by_key
 from screenrank.sources.text import parse_rating_messages
 
 # Messages carry no sequence number: ties on the timestamp are broken by
@@ -94,6 +94,8 @@ class RealtimeRecommender:
     # batch reads only its users' buckets; the initial history must then be
     # written with the same ``ub`` partition column (``load_job`` can).
     history_buckets: int | None = None
+    # Snapshot the history and output logs every k batches (None: never).
+    compact_every: int | None = None
 
     def _sim(self, spark: SparkSession) -> DataFrame:
         """The similarity table, loaded once per stream like the reference's
@@ -124,7 +126,7 @@ class RealtimeRecommender:
         if self.initial_history_path:
             parts.append(spark.read.parquet(self.initial_history_path).select(*cols))
         # Batch ``upto`` has just been written, so the history log exists.
-        h = read_versions(spark, self.history_path).filter(F.col("batch_id") <= upto)
+        h = read_log(spark, self.history_path, upto_batch=upto)
         parts.append(h.select(*cols))
         out = parts[0]
         for p in parts[1:]:
@@ -146,6 +148,10 @@ class RealtimeRecommender:
         replace_by_key(score_events(mine, history, sim, sim_buckets=self.sim_buckets,
                                     n_users=n_users, history_buckets=self.history_buckets),
                        self.out_path, batch_id)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            compact_log(spark, self.history_path, batch_id,
+                        partition_by=["ub"] if self.history_buckets else None)
+            compact_log(spark, self.out_path, batch_id, key="uid")
 
 
 def start_realtime(spark: SparkSession, source_dir: str, handler: RealtimeRecommender,

@@ -45,7 +45,7 @@ def test_bucketed_history_same_result_and_pruned_scan(spark):
     sim_path = os.path.join(root, "sim")
     content_similar(fx.part_movies(spark, SF_SMALL)).write.parquet(sim_path)
     h = RealtimeRecommender(sim_path, os.path.join(root, "hist"), os.path.join(root, "out"),
-                            history_buckets=8)
+                            history_buckets=8, compact_every=1)
     src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
     lo, hi = ev.agg(F.min("timestamp"), F.max("timestamp")).first()
     mid_t = (lo + hi) // 2

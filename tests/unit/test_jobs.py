@@ -34,7 +34,7 @@ def test_jobs_end_to_end(spark):
     docs = {r.mid: r.tags for r in spark.read.json(os.path.join(tables, jobs.SEARCH_DOCS_T)).collect()}
     assert docs[1] == "funny" and docs[2] == "dark" and docs[3] is None
 
-    jobs.statistics_job(spark, tables)
+    jobs.main(["statistics", "--tables", tables])  # the CLI path, same session
     top = spark.read.parquet(os.path.join(tables, jobs.GENRES_TOP_T)).collect()
     assert {r.genres for r in top} >= {"Action", "Comedy", "Drama"}
     assert all(len(r.recs) <= 10 for r in top)

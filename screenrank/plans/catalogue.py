@@ -271,15 +271,17 @@ def q_als_grid(spark, d):
 STREAM_SLICES = 4
 
 
-def run_stream_over_events(spark, d, slices: int = STREAM_SLICES) -> str:
+def run_stream_over_events(spark, d, slices: int = STREAM_SLICES, stateful: bool = True) -> str:
     """Replay the event ratings through the streaming job.
 
     Events are rendered as ``uid|mid|score|timestamp`` text files in
     ``slices`` consecutive time ranges; after each file lands the stream runs
     with ``availableNow`` from the same checkpoint (one micro-batch per slice,
-    restarts included). Returns the output log path."""
+    restarts included). ``stateful`` selects the per-user state-store job
+    (default) or the history-log job. Returns the output log path."""
     from screenrank.session import scratch_path
     from screenrank.streaming.recommender import RealtimeRecommender, start_realtime
+    from screenrank.streaming.stateful import ProfileScorer, start_stateful
 
     root = scratch_path(spark, "stream")
     ev = fx.event_ratings(spark, d)
@@ -288,13 +290,17 @@ def run_stream_over_events(spark, d, slices: int = STREAM_SLICES) -> str:
     bounds = ev.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     cuts = [lo + (hi - lo + 1) * i // slices for i in range(slices + 1)]
-    handler = RealtimeRecommender(sim_path=sim_path, history_path=os.path.join(root, "history"),
-                                  out_path=os.path.join(root, "recs"))
+    if stateful:
+        handler = ProfileScorer(sim_path=sim_path, out_path=os.path.join(root, "recs"))
+    else:
+        handler = RealtimeRecommender(sim_path=sim_path, history_path=os.path.join(root, "history"),
+                                      out_path=os.path.join(root, "recs"))
+    start = start_stateful if stateful else start_realtime
     src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
     for i in range(slices):
         part = ev.filter((F.col("timestamp") >= cuts[i]) & (F.col("timestamp") < cuts[i + 1]))
         text.render_rating_messages(part).write.mode("append").text(src)
-        q = start_realtime(spark, src, handler, ckpt, trigger={"availableNow": True})
+        q = start(spark, src, handler, ckpt, trigger={"availableNow": True})
         q.awaitTermination()
     handler.close()
     return handler.out_path

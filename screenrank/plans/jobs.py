@@ -131,12 +131,24 @@ def trainer_job(spark: SparkSession, tables: str, ranks: Sequence[int] = collab.
 
 def realtime_job(spark: SparkSession, tables: str, source_dir: str, checkpoint: str,
                  sim_table: str = MOVIE_RECS_T, trigger: dict | None = None,
-                 history_buckets: int | None = None):
-    """Start the streaming recommender; similarity edges from ``sim_table``,
-    seen/recent ratings from Rating plus the stream's own history.
-    ``history_buckets`` must match the ``rating_user_buckets`` of the load."""
+                 stateful: bool = True, history_buckets: int | None = None,
+                 out_table: str = STREAM_RECS_T):
+    """Start the streaming recommender; similarity edges from ``sim_table``.
+
+    ``stateful`` (default): each user's recent ratings and seen items live in
+    the streaming state store, bootstrapped once from Rating. Otherwise the
+    job keeps a history log next to Rating and reads it per batch
+    (``history_buckets`` must then match the ``rating_user_buckets`` of the
+    load)."""
+    if stateful:
+        from screenrank.streaming.stateful import ProfileScorer, start_stateful
+
+        scorer = ProfileScorer(sim_path=_t(tables, sim_table), out_path=_t(tables, out_table))
+        ratings = read_table(spark, _t(tables, RATING_T), RATING)
+        return start_stateful(spark, source_dir, scorer, checkpoint, initial_ratings=ratings,
+                              trigger=trigger)
     handler = RealtimeRecommender(sim_path=_t(tables, sim_table), history_path=_t(tables, "StreamHistory"),
-                                  out_path=_t(tables, STREAM_RECS_T),
+                                  out_path=_t(tables, out_table),
                                   initial_history_path=_t(tables, RATING_T),
                                   history_buckets=history_buckets)
     return start_realtime(spark, source_dir, handler, checkpoint, trigger=trigger)

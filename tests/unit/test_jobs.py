@@ -62,8 +62,16 @@ def test_jobs_end_to_end(spark):
         f.write("1|1|5.0|1500000000\n2|3|4.0|1500000001\n")
     q = jobs.realtime_job(spark, tables, stream_src, os.path.join(root, "ckpt"),
                           sim_table=jobs.CONTENT_RECS_T, trigger={"availableNow": True},
-                          history_buckets=4)
+                          stateful=False, history_buckets=4)
     q.awaitTermination()
     from screenrank.streaming.recommender import current_recs
     users = {r.uid for r in current_recs(spark, os.path.join(tables, jobs.STREAM_RECS_T)).collect()}
     assert users == {1, 2}
+    # the default (stateful) job on the same tables, its own checkpoint and output
+    stateful_recs = jobs.STREAM_RECS_T + "_stateful"
+    q = jobs.realtime_job(spark, tables, stream_src, os.path.join(root, "ckpt2"),
+                          sim_table=jobs.CONTENT_RECS_T, trigger={"availableNow": True},
+                          out_table=stateful_recs)
+    q.awaitTermination()
+    recs = {r.uid: r.recs for r in current_recs(spark, os.path.join(tables, stateful_recs)).collect()}
+    assert set(recs) == {1, 2}

@@ -75,7 +75,13 @@ class UserProfile(StatefulProcessor):
         return recent, seen
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self._add(initialState)
+        # Pre-shaped in Spark (``initial_profiles``): the 20 newest ratings
+        # (recent = 1) plus one row per distinct item (recent = 0).
+        recent_rows = initialState[initialState["recent"] == 1]
+        seen = [int(m) for m in pd.unique(initialState["mid"])]
+        merged = _newest(recent_rows[["mid", "score", "timestamp"]], self.n_recent)
+        self.profile.update(([(int(m), float(s), int(t)) for m, s, t in merged.itertuples(index=False)],
+                             seen))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
@@ -89,6 +95,20 @@ class UserProfile(StatefulProcessor):
         pass
 
 
+def initial_profiles(ratings: DataFrame, n_recent: int = realtime.MAX_USER_RATINGS) -> DataFrame:
+    """Rating table -> the rows that seed each user's state: the ``n_recent``
+    newest ratings (top-k window, cut before its shuffle) and one row per
+    distinct rated item (an aggregate, combined map-side). A user's seed is
+    bounded by n_recent + their distinct items, however many ratings they have."""
+    r = ratings.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
+    recent = realtime.top_n_per_group(r, "uid", [F.desc(c) for c in ("timestamp", "mid", "score")],
+                                      n_recent).drop("rank").withColumn("recent", F.lit(1))
+    seen = r.select("uid", "mid").distinct().select(
+        "uid", "mid", F.lit(None).cast("double").alias("score"),
+        F.lit(None).cast("bigint").alias("timestamp"), F.lit(0).alias("recent"))
+    return recent.unionByName(seen)
+
+
 def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.MAX_SIM_MOVIES,
                    gate: float = realtime.SIM_GATE, n_users: int | None = None) -> DataFrame:
     """(uid, mid, recent, seen) rows -> (uid, recs), as ``score_events``."""
@@ -144,8 +164,7 @@ def start_stateful(spark: SparkSession, source_dir: str, scorer: ProfileScorer,
     events = good.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
     init = None
     if initial_ratings is not None:
-        init = initial_ratings.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields]) \
-            .groupBy("uid")
+        init = initial_profiles(initial_ratings).groupBy("uid")
     profiles = events.groupBy("uid").transformWithStateInPandas(
         statefulProcessor=UserProfile(), outputStructType=PROFILE_SCHEMA, outputMode="Append",
         timeMode="None", initialState=init)

@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 from screenrank.functions.scalar import log10_int
 from screenrank.operators.topk import top_n_per_group
 
+# The reference's real-time settings (recent ratings read,
+# candidates kept, similarity gate, "liked" above this score).
 MAX_USER_RATINGS = 20
 MAX_SIM_MOVIES = 20
 SIM_GATE = 0.7
 LIKE_ABOVE = 3.0
+# Rounding of similarity scores before ranking (ties break on the smaller id).
 SCORE_DIGITS = 6
 
 

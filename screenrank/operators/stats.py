@@ -20,6 +20,7 @@ DEFAULT_GENRES = ["Action", "Adventure", "Animation", "Comedy", "Crime", "Docume
                   "Family", "Fantasy", "Foreign", "History", "Horror", "Music", "Mystery",
                   "Romance", "Science", "Tv", "Thriller", "War", "Western"]
 
+# Fixed value: movies kept per genre.
 GENRE_TOP_N = 10
 
 

@@ -36,6 +36,7 @@ from screenrank.operators.topk import nest_recs
 from screenrank.schemas import RATING
 from screenrank.session import ship_by_value
 from screenrank.sinks.tables import replace_by_key
+from screenrank.streaming.recommender import BROADCAST_MAX_ROWS
 from screenrank.sources.text import parse_rating_messages
 
 ship_by_value(__name__)
@@ -117,7 +118,7 @@ def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.
     recent = profiles.select("uid", F.posexplode("recent").alias("_p", "_r")).select(
         "uid", F.col("_r.mid").alias("mid"), F.col("_r.score").alias("score"),
         (F.col("_p") + 1).alias("rank"))
-    small = n_users is not None and n_users * 400 <= 2_000_000
+    small = n_users is not None and n_users * realtime.MAX_USER_RATINGS * n_cands <= BROADCAST_MAX_ROWS
     cands = realtime.stream_candidates(cur, sim, seen, n=n_cands, broadcast=small)
     scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)

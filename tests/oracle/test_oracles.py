@@ -14,10 +14,20 @@ def con():
     return duck(SF_SMALL)
 
 
+SPARK_T = {"int": "int32", "bigint": "int64", "double": "float64", "string": "str"}
+DUCK_T = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "str"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL).toPandas()
-    odf = con.sql(ORACLES[name]).df()
+    df = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(ORACLES[name])
+    spark_types = {f.name: SPARK_T.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {c: DUCK_T.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+    sdf = df.toPandas()
+    odf = rel.df()
     res = compare(name, sdf, odf)
     assert res["cols_equal"], res
     assert res["rows"][0] == res["rows"][1], res

@@ -63,7 +63,8 @@ def _small(df: DataFrame, broadcast: bool) -> DataFrame:
 
 def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
                       n: int = MAX_SIM_MOVIES, digits: int | None = SCORE_DIGITS,
-                      sim_buckets: int | None = None, broadcast: bool = False) -> DataFrame:
+                      sim_buckets: int | None = None, broadcast: bool = False,
+                      kmax: int | None = None) -> DataFrame:
     """For each (uid, mid) event, the ``n`` most similar items of ``mid``
     the user has not rated yet -> (uid, mid, score, rank).
 
@@ -83,14 +84,16 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
     (a micro-batch): the event side is broadcast and the large tables are only
     scanned, never shuffled. With ``sim_buckets`` the similarity table is the
     bucketed layout of ``write_similarity_table`` and only touched buckets
-    are read."""
+    are read. ``kmax``, when the caller knows it, is an upper bound of
+    n + |seen(u)| over the events' users."""
     ev = current.select("uid", F.col("mid").alias("src"))
     users = ev.select("uid").distinct()
     seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
     seen_n = seen_u.groupBy("uid").agg(F.count(F.lit(1)).alias("_s"))
     need = ev.join(seen_n, "uid", "left").select(
         "uid", "src", (F.lit(n) + F.coalesce(F.col("_s"), F.lit(0))).cast("int").alias("_k"))
-    kmax = need.agg(F.max("_k")).first()[0]  # one scalar: the deepest probe
+    if kmax is None:  # one scalar: the deepest probe (callers may know it)
+        kmax = need.agg(F.max("_k")).first()[0]
     edges = sim.select(F.col("mid").alias("src"), F.col("sim_mid").alias("mid"),
                        (F.round("score", digits) if digits is not None else F.col("score")).alias("score"),
                        *(["bucket"] if sim_buckets else []))

@@ -111,7 +111,8 @@ def initial_profiles(ratings: DataFrame, n_recent: int = realtime.MAX_USER_RATIN
 
 
 def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.MAX_SIM_MOVIES,
-                   gate: float = realtime.SIM_GATE, n_users: int | None = None) -> DataFrame:
+                   gate: float = realtime.SIM_GATE, n_users: int | None = None,
+                   max_seen: int | None = None) -> DataFrame:
     """(uid, mid, recent, seen) rows -> (uid, recs), as ``score_events``."""
     cur = profiles.select("uid", "mid")
     seen = profiles.select("uid", F.explode("seen").alias("mid"))
@@ -119,7 +120,8 @@ def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.
         "uid", F.col("_r.mid").alias("mid"), F.col("_r.score").alias("score"),
         (F.col("_p") + 1).alias("rank"))
     small = n_users is not None and n_users * realtime.MAX_USER_RATINGS * n_cands <= BROADCAST_MAX_ROWS
-    cands = realtime.stream_candidates(cur, sim, seen, n=n_cands, broadcast=small)
+    kmax = None if max_seen is None else n_cands + max_seen
+    cands = realtime.stream_candidates(cur, sim, seen, n=n_cands, broadcast=small, kmax=kmax)
     scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)
     nested = nest_recs(ranked, "uid")
@@ -145,8 +147,10 @@ class ProfileScorer:
         prof_path = os.path.join(self.out_path, "_profiles", f"batch_id={int(batch_id)}")
         profiles.write.mode("overwrite").parquet(prof_path)
         prof = spark.read.parquet(prof_path)
-        n_users = prof.count()
-        replace_by_key(score_profiles(prof, sim, n_users=n_users), self.out_path, batch_id)
+        # One aggregate gives both the size check and the deepest rank probe.
+        stats = prof.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("seen")).alias("s")).first()
+        replace_by_key(score_profiles(prof, sim, n_users=stats["n"], max_seen=stats["s"] or 0),
+                       self.out_path, batch_id)
 
     def close(self) -> None:
         sim = getattr(self, "_sim_df", None)

@@ -43,3 +43,9 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_training():
     rows_only = set(E.queries()) - set(ORACLES)
     assert rows_only == {"als_user_recs", "als_item_similar", "als_grid"}
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert a.count() == b.count() > 0

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from screenrank.llm import oracles
+from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.ngram_join import ngram_links
 
 
@@ -15,14 +16,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_links(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op6_ngram_join": op6_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": oracles.DECONTAMINATE,
     "op6_ngram_join": oracles.NGRAM_JOIN,
 }

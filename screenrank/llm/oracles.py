@@ -29,3 +29,26 @@ SELECT s.doc_id, coalesce(class.class_id, s.doc_id) AS class_id, coalesce(rep.re
 FROM s LEFT JOIN rep ON rep.s = s.s LEFT JOIN class ON class.rep = rep.rep
 LEFT JOIN cnt ON cnt.rep = rep.rep
 """
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+ds AS (SELECT doc_id, len(w) - 4 AS n, unnest(range(0, len(w) - 4)) AS pos, w FROM d WHERE len(w) >= 5),
+dx AS (SELECT doc_id, n, pos, array_to_string(w[pos+1:pos+5], ' ') AS x FROM ds),
+bs AS (SELECT item_id, len(w) - 4 AS size, unnest(range(0, len(w) - 4)) AS pos, w FROM b WHERE len(w) >= 5),
+bx AS (SELECT item_id, size, array_to_string(w[pos+1:pos+5], ' ') AS x, count(*) AS tf FROM bs GROUP BY ALL),
+hit AS (SELECT doc_id, item_id, n, size, pos, dx.x, tf FROM dx JOIN bx USING (x)),
+win AS (SELECT DISTINCT doc_id, item_id, n, size,
+               unnest(range(greatest(pos - size + 1, 0), least(pos, greatest(n - size, 0)) + 1)) AS start
+        FROM hit),
+c AS (SELECT w.doc_id, w.item_id, w.start, w.size, least(w.n, w.size) AS wsize, x,
+             least(count(*), any_value(tf)) AS m
+      FROM win w JOIN hit h ON h.doc_id = w.doc_id AND h.item_id = w.item_id
+           AND h.pos >= w.start AND h.pos < w.start + w.size
+      GROUP BY ALL),
+s AS (SELECT doc_id, item_id, start, CAST(sum(m) AS DOUBLE) / (size + wsize - sum(m)) AS similarity
+      FROM c GROUP BY doc_id, item_id, start, size, wsize)
+SELECT doc_id, item_id, max(similarity) AS similarity,
+       CAST(arg_min(start, (-similarity, start)) AS BIGINT) AS start
+FROM s WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+"""

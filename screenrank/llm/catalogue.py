@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from screenrank.llm import oracles
 from screenrank.llm.decontaminate import contaminated
+from screenrank.llm.mixing import mix
 from screenrank.llm.ngram_join import ngram_links
+from screenrank.llm.token_files import read_token_files, token_index, write_token_files
+from screenrank.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +23,33 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "mix_size AS size", "mix_source_size AS source_size", "mix_target AS target",
+        "mix_copies * mix_size AS taken", "mix_copies AS copies")
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_links(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_index(read_token_files(spark, path))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLES: dict[str, str] = {

@@ -6,11 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from screenrank.llm import oracles
 from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.mixing import mix
 from screenrank.llm.ngram_join import ngram_links
+from screenrank.llm.quality import FOLDS, GOOD_SCORE, HELD_OUT, fold, scorer, train
 from screenrank.llm.token_files import read_token_files, token_index, write_token_files
 from screenrank.session import scratch_path
 
@@ -23,10 +25,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    score = scorer(train(docs, _table(spark, sf_dir, "labels")))
+    return (docs.select("doc_id", score("text").alias("score"))
+            .select("doc_id", F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
+                    "score", (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).selectExpr(
-        "doc_id", "mix_size AS size", "mix_source_size AS source_size", "mix_target AS target",
-        "mix_copies * mix_size AS taken", "mix_copies AS copies")
+        "doc.doc_id AS doc_id", "size", "source_size", "target", "copies * size AS taken", "copies")
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +56,7 @@ def tokenizer_path() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,
     "op9_token_files": op9_token_files,

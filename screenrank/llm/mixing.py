@@ -20,7 +20,7 @@ refined once, so a source meets its target to about one document.
 Defined results: a null or word-less text has size 0 and takes 0; an empty
 table gives no rows; a null ``doc_id`` counts like any other; rows that repeat
 are separate documents with equal random numbers, all taken or all left at the
-cut; other columns pass through ``mix``.
+cut; other columns stay in ``doc``.
 """
 
 from __future__ import annotations
@@ -138,8 +138,8 @@ def _split(df: DataFrame, limit: float) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = MAX_COPIES) -> DataFrame:
-    """``docs`` (doc_id, text, source and any others) with mix_size,
-    mix_source_size, mix_target and mix_copies."""
+    """(doc, size, source_size, target, copies) for every row of ``docs``
+    (doc_id, text, source and any others), the row itself as struct ``doc``."""
     rows = docs.select(_key().alias("key"), n_words().alias("size"), _random().alias("u"))
     rows = saved(rows, "mix-sizes")
     counts = saved(rows.groupBy("key", "size").agg(F.count("*").alias("n")), "mix-counts")
@@ -168,15 +168,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = MA
         F.coalesce("cut_bin", F.lit(-1)).alias("cut_bin"),
         F.coalesce("cut_cell", F.lit(0)).alias("cut_cell")), "mix-plan")
 
-    own = docs.columns
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"),
-                        _key().alias("key"), n_words().alias("size"), _random().alias("u"))
+    named = docs.select(F.struct("*").alias("doc"), _key().alias("key"), n_words().alias("size"),
+                        _random().alias("u"))
     out = _split(named.join(small_side(plan, n_sources), "key"), limit)
     extra = ((F.col("bin") < F.col("cut_bin"))
              | ((F.col("bin") == F.col("cut_bin")) & (F.col("cell") < F.col("cut_cell"))))
     copies = F.col("whole") + F.coalesce(extra.cast("long"), F.lit(0).cast("long"))
-    return out.select("doc.*", F.col("size").alias("mix_size"), F.col("source_size").alias("mix_source_size"),
-                      F.col("target").alias("mix_target"), copies.alias("mix_copies"))
+    return out.select("doc", "size", "source_size", "target", copies.alias("copies"))
 
 
 def _running(df: DataFrame, by: str, *keep: str) -> DataFrame:
@@ -189,6 +187,5 @@ def _running(df: DataFrame, by: str, *keep: str) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every document repeated as often as the mix takes it."""
-    out = mix(docs, **options).where("mix_copies > 0")
-    return (out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies")))
-            .select(docs.columns))
+    return (mix(docs, **options).where("copies > 0")
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenrank.llm import oracles
+from screenrank.llm import language, oracles
 from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.mixing import mix
 from screenrank.llm.ngram_join import ngram_links
@@ -25,6 +25,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    detect = language.detector(language.train(docs))
+    return (docs.select("doc_id", detect("text").alias("p"))
+            .select("doc_id", F.coalesce(language.fold(language.FOLDS) == language.HELD_OUT,
+                                         F.lit(False)).alias("held_out"), "p.lang_pred", "p.score"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     score = scorer(train(docs, _table(spark, sf_dir, "labels")))
@@ -56,6 +64,7 @@ def tokenizer_path() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_language": op2_language,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,

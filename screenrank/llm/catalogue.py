@@ -14,6 +14,7 @@ from screenrank.llm.mixing import mix
 from screenrank.llm.ngram_join import ngram_links
 from screenrank.llm.quality import FOLDS, GOOD_SCORE, HELD_OUT, fold, scorer, train
 from screenrank.llm.token_files import read_token_files, token_index, write_token_files
+from screenrank.llm.topk_search import exact_topk
 from screenrank.session import scratch_path
 
 
@@ -56,6 +57,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(read_token_files(spark, path))
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -69,9 +74,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,
     "op9_token_files": op9_token_files,
+    "op10_topk_search": op10_topk_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op6_ngram_join": oracles.NGRAM_JOIN,
+    "op10_topk_search": oracles.TOPK_SEARCH,
 }

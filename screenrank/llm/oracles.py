@@ -52,3 +52,16 @@ SELECT doc_id, item_id, max(similarity) AS similarity,
        CAST(arg_min(start, (-similarity, start)) AS BIGINT) AS start
 FROM s WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
+
+TOPK_SEARCH = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+             vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""

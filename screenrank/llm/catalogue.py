@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from screenrank.llm import language, oracles
 from screenrank.llm.decontaminate import contaminated
+from screenrank.llm.line_dedup import dedup_lines
 from screenrank.llm.mixing import mix
 from screenrank.llm.ngram_join import ngram_links
 from screenrank.llm.quality import FOLDS, GOOD_SCORE, HELD_OUT, fold, scorer, train
@@ -34,6 +35,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.lit(False)).alias("held_out"), "p.lang_pred", "p.score"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "lines", "removed", F.md5("text").alias("kept_md5"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     score = scorer(train(docs, _table(spark, sf_dir, "labels")))
@@ -70,6 +76,7 @@ def tokenizer_path() -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language": op2_language,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
+    "op3_line_dedup": oracles.LINE_DEDUP,
     "op6_ngram_join": oracles.NGRAM_JOIN,
     "op10_topk_search": oracles.TOPK_SEARCH,
 }

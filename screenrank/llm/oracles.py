@@ -65,3 +65,24 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
              vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+LINE_DEDUP = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+                  generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+t AS (SELECT doc_id, raw, i, trim(raw, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM l),
+p AS (SELECT doc_id, i, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w FROM t WHERE x <> ''),
+n AS (SELECT *, row_number() OVER o AS r, sum(w) OVER o AS upto FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+span AS (SELECT a.doc_id, a.r AS s, min(b.r) AS e FROM n a JOIN n b
+           ON a.doc_id = b.doc_id AND b.r >= a.r AND b.upto - a.upto + a.w >= 50 GROUP BY a.doc_id, a.r
+         UNION
+         SELECT b.doc_id, max(a.r) AS s, b.r AS e FROM n a JOIN n b
+           ON a.doc_id = b.doc_id AND b.r >= a.r AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.r),
+win AS (SELECT span.doc_id, min(n.i) AS a, max(n.i) AS b, string_agg(n.x, chr(10) ORDER BY n.r) AS content
+        FROM span JOIN n ON n.doc_id = span.doc_id AND n.r BETWEEN s AND e GROUP BY span.doc_id, s, e),
+first AS (SELECT content, min((doc_id, a, b)) AS o FROM win GROUP BY content),
+gone AS (SELECT DISTINCT win.doc_id, unnest(range(a, b + 1)) AS i FROM win JOIN first USING (content)
+         WHERE win.doc_id <> o[1] OR a > o[3])
+SELECT t.doc_id, CAST(count(*) AS INTEGER) AS lines, CAST(count(gone.i) AS INTEGER) AS removed,
+       md5(coalesce(string_agg(t.raw, chr(10) ORDER BY t.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_md5
+FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id
+"""

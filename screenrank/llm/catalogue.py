@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from screenrank.llm import language, oracles
 from screenrank.llm.decontaminate import contaminated
+from screenrank.llm.common import saved
 from screenrank.llm.line_dedup import dedup_lines
-from screenrank.llm.mixing import mix
+from screenrank.llm.mixing import mix, n_words
 from screenrank.llm.ngram_join import ngram_links
 from screenrank.llm.quality import FOLDS, GOOD_SCORE, HELD_OUT, fold, scorer, train
+from screenrank.llm.token_counts import TokenRollup, change
 from screenrank.llm.token_files import read_token_files, token_index, write_token_files
 from screenrank.llm.topk_search import exact_topk
+from screenrank.llm.words import WORD_PATTERN
 from screenrank.session import scratch_path
 
 
@@ -57,6 +60,30 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_links(_table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two tokenizer versions over the distinct texts, reached by
+    deltas: estimates, their revision, deletion of later exact copies (the
+    batch is replayed), and the second version."""
+    text = F.coalesce("text", F.lit(""))
+    docs = saved(_table(spark, sf_dir, "documents").select(
+        F.col("doc_id"), "source", "lang", F.md5(text).alias("text_key"),
+        F.floor(F.length(text) / 5).alias("estimate"), n_words().alias("blanks"),
+        F.regexp_count(F.lower(text), F.lit(WORD_PATTERN)).alias("letters")), "token-counts")
+    again = (docs.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+             .where("n > 1").select("text_key", "first"))
+    copies = docs.join(again, "text_key").where("doc_id <> first")
+    one, two = F.lit("blanks-1").alias("version"), F.lit("letters-1").alias("version")
+    rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    rollup.commit(0, docs.select("source", "lang", one, *change("insert", "estimate")))
+    rollup.commit(1, docs.select("source", "lang", one, *change("revise", "blanks", "estimate")))
+    rollup.commit(3, docs.select("source", "lang", two, *change("insert", "letters")))
+    deleted = (copies.select("source", "lang", one, *change("delete", "blanks"))
+               .union(copies.select("source", "lang", two, *change("delete", "letters"))))
+    for _ in range(2):
+        rollup.commit(2, deleted)
+    return rollup.totals()
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -80,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,
+    "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_topk_search": op10_topk_search,
 }
@@ -88,5 +116,6 @@ ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op6_ngram_join": oracles.NGRAM_JOIN,
+    "op8_token_counts": oracles.TOKEN_COUNTS,
     "op10_topk_search": oracles.TOPK_SEARCH,
 }

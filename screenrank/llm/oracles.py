@@ -86,3 +86,13 @@ SELECT t.doc_id, CAST(count(*) AS INTEGER) AS lines, CAST(count(gone.i) AS INTEG
        md5(coalesce(string_agg(t.raw, chr(10) ORDER BY t.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_md5
 FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id
 """
+
+TOKEN_COUNTS = f"""
+WITH k AS (SELECT *, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) AS r FROM documents),
+c AS (SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS blanks,
+             len({_WORDS}) AS letters FROM k WHERE r = 1)
+SELECT source, lang, 'blanks-1' AS version, count(*) AS docs, CAST(sum(blanks) AS BIGINT) AS tokens
+FROM c GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'letters-1', count(*), CAST(sum(letters) AS BIGINT) FROM c GROUP BY source, lang
+"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from screenrank.llm import language, oracles
 from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.common import saved
+from screenrank.llm.licenses import TEMPLATES, THRESHOLD, licensed
 from screenrank.llm.line_dedup import dedup_lines
 from screenrank.llm.mixing import mix, n_words
 from screenrank.llm.ngram_join import ngram_links
@@ -60,6 +61,23 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_links(_table(spark, sf_dir, "documents"))
 
 
+#: Documents of at most so many words are taken as licence files if they state one.
+LICENCE_FILE_WORDS = 60
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files source/lang/thousand/doc_id; short ones lie in
+    source/lang and are the licence files."""
+    docs = _table(spark, sf_dir, "documents")
+    small = n_words() <= LICENCE_FILE_WORDS
+    top = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")))
+    name = F.col("doc_id").cast("string")
+    path = F.when(small, F.concat_ws("/", top, name)).otherwise(
+        F.concat_ws("/", top, F.floor(F.col("doc_id") / 1000).cast("string"), name))
+    return (licensed(docs.select("doc_id", "text", path.alias("path"), small.alias("is_licence_file")))
+            .select("doc_id", "license", "via"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of two tokenizer versions over the distinct texts, reached by
     deltas: estimates, their revision, deletion of later exact copies (the
@@ -107,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,
+    "op7_licenses": op7_licenses,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_topk_search": op10_topk_search,
@@ -116,6 +135,7 @@ ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op6_ngram_join": oracles.NGRAM_JOIN,
+    "op7_licenses": oracles.license_scan(TEMPLATES, THRESHOLD, LICENCE_FILE_WORDS),
     "op8_token_counts": oracles.TOKEN_COUNTS,
     "op10_topk_search": oracles.TOPK_SEARCH,
 }

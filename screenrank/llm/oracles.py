@@ -96,3 +96,38 @@ FROM c GROUP BY source, lang
 UNION ALL
 SELECT source, lang, 'letters-1', count(*), CAST(sum(letters) AS BIGINT) FROM c GROUP BY source, lang
 """
+
+
+def license_scan(templates: list[tuple[str, str]], threshold: float, small_words: int) -> str:
+    rows = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')"
+                     for i, (name, text) in enumerate(templates))
+    words = "regexp_extract_all(lower({}), '[a-z0-9]+')"
+    return f"""
+WITH t(i, name, text) AS (VALUES {rows}),
+tw AS (SELECT i, unnest({words.format('text')}) AS w FROM t),
+tf AS (SELECT i, w, count(*) AS n FROM tw GROUP BY i, w),
+idf AS (SELECT w, ln((1.0 + (SELECT count(*) FROM t)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY w),
+tv AS (SELECT i, w, n * idf AS x, sqrt(sum((n * idf) ** 2) OVER (PARTITION BY i)) AS norm FROM tf JOIN idf USING (w)),
+d AS (SELECT doc_id, text, coalesce(source, '_') || '/' || coalesce(lang, '_') AS top,
+             len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) <= {small_words} AS small
+      FROM documents),
+f AS (SELECT doc_id, text, small, CASE WHEN small THEN top ELSE top || '/' || (doc_id // 1000) END AS dir FROM d),
+l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS k FROM f),
+lw AS (SELECT doc_id, k, unnest({words.format('line')}) AS w FROM l),
+lf AS (SELECT doc_id, k, w, count(*) AS n FROM lw GROUP BY ALL),
+lv AS (SELECT doc_id, k, w, n * coalesce(idf, ln(1.0 + (SELECT count(*) FROM t)) + 1) AS x
+       FROM lf LEFT JOIN idf USING (w)),
+ln AS (SELECT doc_id, k, sqrt(sum(x ** 2)) AS norm FROM lv GROUP BY doc_id, k),
+c AS (SELECT lv.doc_id, lv.k, tv.i, sum(lv.x * tv.x) / any_value(ln.norm * tv.norm) AS cosine
+      FROM lv JOIN tv USING (w) JOIN ln ON ln.doc_id = lv.doc_id AND ln.k = lv.k GROUP BY lv.doc_id, lv.k, tv.i),
+o AS (SELECT doc_id, arg_min(i, (-round(cosine, 9), i, k)) AS i FROM c WHERE cosine >= {threshold} - 1e-9 GROUP BY doc_id),
+own AS (SELECT f.*, name FROM f LEFT JOIN o USING (doc_id) LEFT JOIN t ON t.i = o.i),
+g AS (SELECT dir AS above, arg_min(name, dir || '/' || doc_id) AS name FROM own
+      WHERE small AND name IS NOT NULL GROUP BY dir),
+n AS (SELECT x.dir, arg_max(g.name, length(g.above)) AS name FROM (SELECT DISTINCT dir FROM own) x
+      JOIN g ON x.dir = g.above OR starts_with(x.dir, g.above || '/') GROUP BY x.dir)
+SELECT doc_id, coalesce(own.name, n.name) AS license,
+       CASE WHEN own.name IS NOT NULL THEN 'own' WHEN n.name IS NOT NULL THEN 'inherited' END AS via
+FROM own LEFT JOIN n ON n.dir = own.dir
+"""

@@ -1,7 +1,7 @@
 """License scans (operator 7): TF-IDF cosine to templates, then inheritance.
 
 Every line of a file (headers, licence files, anything between) is a sparse
-TF-IDF vector over its words; inverse document frequencies come from the
+TF-IDF vector over its words, with 1 + ln(count) for the frequency; inverse document frequencies come from the
 templates, and words that no template has weigh as the rarest. A line whose
 cosine to a template reaches ``THRESHOLD`` states that template's licence; the
 file's own licence is the best such line's, ties to the first template and
@@ -55,8 +55,8 @@ TEMPLATES = [
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
                      "provided that the following conditions are met."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation, either version 3 of the License."),
+    ("GPL-3.0", "Redistribute and modify under the GNU General Public License as published by the Free Software "
+                "Foundation, either version 3 of the License, or any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -100,7 +100,7 @@ class Templates:
         self.deciding = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(deciding)) + r")(?![a-z0-9])")
 
     def _unit(self, counts: Counter) -> dict[str, float]:
-        v = {w: k * self.idf.get(w, self.rarest) for w, k in counts.items()}
+        v = {w: (1 + math.log(k)) * self.idf.get(w, self.rarest) for w, k in counts.items()}
         norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
         return {w: x / norm for w, x in v.items()}
 

@@ -107,7 +107,7 @@ WITH t(i, name, text) AS (VALUES {rows}),
 tw AS (SELECT i, unnest({words.format('text')}) AS w FROM t),
 tf AS (SELECT i, w, count(*) AS n FROM tw GROUP BY i, w),
 idf AS (SELECT w, ln((1.0 + (SELECT count(*) FROM t)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY w),
-tv AS (SELECT i, w, n * idf AS x, sqrt(sum((n * idf) ** 2) OVER (PARTITION BY i)) AS norm FROM tf JOIN idf USING (w)),
+tv AS (SELECT i, w, (1 + ln(n)) * idf AS x, sqrt(sum(((1 + ln(n)) * idf) ** 2) OVER (PARTITION BY i)) AS norm FROM tf JOIN idf USING (w)),
 d AS (SELECT doc_id, text, coalesce(source, '_') || '/' || coalesce(lang, '_') AS top,
              len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) <= {small_words} AS small
       FROM documents),
@@ -116,7 +116,7 @@ l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS k FROM f),
 lw AS (SELECT doc_id, k, unnest({words.format('line')}) AS w FROM l),
 lf AS (SELECT doc_id, k, w, count(*) AS n FROM lw GROUP BY ALL),
-lv AS (SELECT doc_id, k, w, n * coalesce(idf, ln(1.0 + (SELECT count(*) FROM t)) + 1) AS x
+lv AS (SELECT doc_id, k, w, (1 + ln(n)) * coalesce(idf, ln(1.0 + (SELECT count(*) FROM t)) + 1) AS x
        FROM lf LEFT JOIN idf USING (w)),
 ln AS (SELECT doc_id, k, sqrt(sum(x ** 2)) AS norm FROM lv GROUP BY doc_id, k),
 c AS (SELECT lv.doc_id, lv.k, tv.i, sum(lv.x * tv.x) / any_value(ln.norm * tv.norm) AS cosine

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 def recs_to_map(recs: str | Column) -> Column:
     """array<struct<mid, score>> -> map<mid, score> (last entry wins on repeats)."""
     c = F.col(recs) if isinstance(recs, str) else recs
-    return F.map_from_entries(F.transform(c, lambda x: F.struct(x["mid"], x["score"])))
+    mids = F.transform(c, lambda x: x["mid"])
+    last = F.transform(F.array_distinct(mids), lambda m: F.struct(
+        m.alias("mid"), F.element_at(F.filter(c, lambda x: x["mid"] == m), -1)["score"].alias("score")))
+    return F.map_from_entries(last)
 
 
 def lookup(m: str | Column, key: str | Column, default: float = 0.0) -> Column:

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenrank.llm.common import small_side
 from screenrank.session import ship_by_value
 
 SAMPLE_ROWS = 6_000
@@ -165,10 +166,17 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
 
     usable = docs.select(F.col("doc_id").cast("long"), "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(FOLDS) != HELD_OUT))
-    n_langs = max(1, usable.select("lang").distinct().count())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (usable.select("doc_id", "lang").withColumn("r", F.row_number().over(order))
-              .where(F.col("r") <= max(1, sample_rows // n_langs)).select("doc_id").distinct())
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    n_langs = max(1, counts.count())
+    per_lang = max(1, sample_rows // n_langs)
+    # a hash bound leaves about twice the rows wanted of each language, however
+    # many it has; only those are ranked
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(float(2 ** 63))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = (usable.select("doc_id", "lang", place.alias("place")).join(small_side(counts, n_langs), "lang")
+              .where(F.col("place") <= (2 * per_lang + 50) / F.col("n"))
+              .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
+              .select("doc_id").distinct())
     got = (usable.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", packed("text").alias("x"))
            .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())  # at most sample_rows
     langs, rows = [], []

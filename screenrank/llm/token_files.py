@@ -15,6 +15,8 @@ ignored.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -29,40 +31,74 @@ from screenrank.session import ship_by_value
 
 END_ID = 2
 #: Pieces of text whose ids a worker keeps; it starts anew beyond that.
-CACHE_PIECES = 600_000
-#: Pieces looked up at once.
+CACHE_PIECES = 500_000
+#: Texts of one batch that leaves a task.
 SLICE_TEXTS = 256
 
 SCHEMA = "doc_id long, ids array<int>"
 
 
-class _Encoder:
+# A word of Latin letters and ASCII punctuation behind it, but for apostrophes.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_LETTERS = [chr(c) for c in (*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
+_PROBES = ["Hello,", "na\u00efve", "\u00dcBER!!", "a", "the", "r\u00e9union.", "stra\u00dfe", "Zz|", "x$$$", "end.\""]
+
+
+class _Encoder(dict):
     """Text -> ids as little-endian 32-bit bytes.
 
     For tokenizers whose pieces never cross a blank (their pre-tokenizer
     removes white space), a text's ids are those of its blank-separated parts
     in turn, so each distinct part is encoded once and looked up afterwards.
+    Most parts are a plain word and some punctuation: the tokenizer's model
+    takes the lower-cased word, and the same word under other punctuation is
+    known already. That shortcut is taken only if it agrees with the whole
+    tokenizer on ``_PROBES``; all other parts go through the whole tokenizer.
+
+    The encoder is the mapping part -> ids itself and fills on demand.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        for i in range(0, len(texts), SLICE_TEXTS):
-            parts = [(t or "").replace("\n", " ").split(" ") for t in texts[i:i + SLICE_TEXTS]]
-            new = list(set().union(*parts).difference(self.known))
-            if len(self.known) + len(new) > CACHE_PIECES:
-                self.known = {"": b""}
-                new = list(set().union(*parts).difference(self.known))
-            for part, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[part] = np.array(e.ids, dtype="<u4").tobytes()
-            look = self.known.__getitem__
-            out += [b"".join(map(look, p)) for p in parts]
-        return out
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = str.maketrans({c: byte_level.pre_tokenize_str(c)[0][0] for c in _LETTERS})
+        self.words: dict[str, bytes] = {}
+        self.plain = all(self._plain(p) == self._whole(p) for p in _PROBES)
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self._plain(part) if self.plain else None
+        self[part] = ids = self._whole(part) if ids is None else ids
+        return ids
+
+    def _whole(self, part: str) -> bytes:
+        ids = self.library.encode(part, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _plain(self, part: str) -> bytes | None:
+        """The part's ids, or None if it isn't a plain word."""
+        found = _PLAIN.fullmatch(part)
+        if found is None:
+            return None
+        word, tail = found.groups()
+        word = word.lower()
+        ids = self.words.get(word)
+        if ids is None:
+            pieces = self.library.model.tokenize(word.translate(self.spelled))
+            ids = self.words[word] = struct.pack(f"<{len(pieces)}I", *[t.id for t in pieces])
+        if not tail:
+            return ids
+        if tail not in self.words:
+            self.words[tail] = self._whole(tail)
+        return ids + self.words[tail]
+
+    def encode(self, text: str | None) -> bytes:
+        if len(self) > CACHE_PIECES:
+            self.clear()
+        if len(self.words) > CACHE_PIECES:
+            self.words.clear()
+        return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
 def _encoder(path: str) -> _Encoder:
@@ -82,12 +118,12 @@ def _encoder(path: str) -> _Encoder:
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids) in the order of ``docs`` within each partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer_path)
+        encode = _encoder(tokenizer_path).encode
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             texts = batch.column("text")
             for i in range(0, batch.num_rows, SLICE_TEXTS):
-                parts = [b + end for b in encode(texts.slice(i, SLICE_TEXTS).to_pylist())]
+                parts = [encode(t) + end for t in texts.slice(i, SLICE_TEXTS).to_pylist()]
                 offsets = np.zeros(len(parts) + 1, dtype=np.int32)
                 np.cumsum([len(b) // 4 for b in parts], out=offsets[1:])
                 values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))

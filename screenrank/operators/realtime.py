@@ -14,6 +14,7 @@ ratings), so a very active user cannot create a hot task here.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +64,7 @@ def _small(df: DataFrame, broadcast: bool) -> DataFrame:
 
 def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
                       n: int = MAX_SIM_MOVIES, digits: int | None = SCORE_DIGITS,
-                      sim_buckets: int | None = None, broadcast: bool = False,
-                      kmax: int | None = None) -> DataFrame:
+                      sim_buckets: int | None = None, broadcast: bool = False) -> DataFrame:
     """For each (uid, mid) event, the ``n`` most similar items of ``mid``
     the user has not rated yet -> (uid, mid, score, rank).
 
@@ -77,36 +77,40 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
     are among its first k = n + |seen(u)|. Each event probes ranks 1..k of its
     item by an equi-join on (item, rank); the work is linear in events plus
     history, even for an item that is current for many users and similar to a
-    large part of the catalogue. Each item's neighbours are ranked with a
-    top-k window (WindowGroupLimit), restricted to the items of the events.
+    large part of the catalogue. Only the events' items are ranked, each as
+    deep as its own users need, rounded up to n * 2**i: items of one depth share
+    a top-k window (WindowGroupLimit), so a user with a long history deepens the
+    lists of their own items only.
 
     ``broadcast=True`` is for a caller that has checked the events are few
     (a micro-batch): the event side is broadcast and the large tables are only
     scanned, never shuffled. With ``sim_buckets`` the similarity table is the
     bucketed layout of ``write_similarity_table`` and only touched buckets
-    are read. ``kmax``, when the caller knows it, is an upper bound of
-    n + |seen(u)| over the events' users."""
+    are read."""
     ev = current.select("uid", F.col("mid").alias("src"))
     users = ev.select("uid").distinct()
     seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
     seen_n = seen_u.groupBy("uid").agg(F.count(F.lit(1)).alias("_s"))
     need = ev.join(seen_n, "uid", "left").select(
         "uid", "src", (F.lit(n) + F.coalesce(F.col("_s"), F.lit(0))).cast("int").alias("_k"))
-    if kmax is None:  # one scalar: the deepest probe (callers may know it)
-        kmax = need.agg(F.max("_k")).first()[0]
+    # smallest n * 2**i that covers the deepest probe of the item
+    doublings = F.ceil(F.log2(F.max("_k") / F.lit(float(n))) - 1e-9).cast("int")
+    srcs = need.groupBy("src").agg(F.greatest(doublings, F.lit(0)).alias("_i"))
+    levels = sorted(r[0] for r in srcs.select("_i").distinct().collect())  # at most some 30 numbers
     edges = sim.select(F.col("mid").alias("src"), F.col("sim_mid").alias("mid"),
                        (F.round("score", digits) if digits is not None else F.col("score")).alias("score"),
                        *(["bucket"] if sim_buckets else []))
-    srcs = ev.select("src").distinct()
     if sim_buckets:
         srcs = srcs.withColumn("bucket", sim_bucket("src", sim_buckets))
-        edges = edges.join(_small(srcs, broadcast), ["bucket", "src"], "left_semi").drop("bucket")
+        edges = edges.join(_small(srcs, broadcast), ["bucket", "src"]).drop("bucket")
     else:
-        edges = edges.join(_small(srcs, broadcast), "src", "left_semi")
-    if kmax is None:  # no events
+        edges = edges.join(_small(srcs, broadcast), "src")
+    if not levels:  # no events
         return edges.select(F.lit(None).cast("bigint").alias("uid"), "mid", "score",
                             F.lit(None).cast("int").alias("rank")).limit(0)
-    ranked = top_n_per_group(edges, "src", [F.desc("score"), F.asc("mid")], int(kmax), rank_col="_r")
+    ranked = reduce(DataFrame.unionByName, [
+        top_n_per_group(edges.where(F.col("_i") == i), "src", [F.desc("score"), F.asc("mid")],
+                        n * 2 ** i, rank_col="_r") for i in levels])
     probes = need.select("uid", "src", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_r"))
     cands = ranked.join(probes, ["src", "_r"]).select("uid", "mid", "score")
     fresh = cands.join(seen_u, ["uid", "mid"], "left_anti")
@@ -130,6 +134,8 @@ def stream_scores(cands: DataFrame, recent: DataFrame, sim: DataFrame, gate: flo
     s = sim.select(F.col("mid").alias("q"), F.col("sim_mid").alias("r"), F.col("score").alias("sim"),
                    *(["bucket"] if sim_buckets else []))
     keys = ["q", "r"]
+    # only the candidates' edges take part in the pair join
+    s = s.join(_small(c.select("q").distinct(), broadcast), "q", "left_semi")
     if sim_buckets:
         pairs = pairs.withColumn("bucket", sim_bucket("q", sim_buckets))
         keys = ["bucket", "q", "r"]

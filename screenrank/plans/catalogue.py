@@ -14,10 +14,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenrank import schemas
+from screenrank.functions import maps, vectors
 from screenrank.operators import collab, content, realtime, similarity, stats
 from screenrank.plans import oracle_views as V
 from screenrank.sources import fixtures as fx
+from screenrank.session import scratch_path
+from screenrank.sinks.tables import overwrite_table, write_documents
 from screenrank.sources import text
+from screenrank.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,7 +187,11 @@ def q_split_md5(spark, d):
 
 
 def _train_test(spark, d):
-    sp = collab.split_ratings(fx.star_ratings(spark, d), 0.8)
+    """Both sides of the hold-out split, from one pass over the ratings join:
+    the split is written to the shared scratch folder and read back."""
+    path = scratch_path(spark, "split")
+    collab.split_ratings(fx.star_ratings(spark, d), 0.8).write.parquet(path)
+    sp = spark.read.parquet(path)
     return sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test")
 
 
@@ -220,7 +229,9 @@ def q_grid_argmin(spark, d):
 
 def _stream_inputs(spark, d):
     ev = fx.event_ratings(spark, d)
-    sim = content.content_similar(fx.part_movies(spark, d), threshold=0.6)
+    path = scratch_path(spark, "similarity")  # the offline job's table: expanded once
+    content.content_similar(fx.part_movies(spark, d), threshold=0.6).write.parquet(path)
+    sim = spark.read.parquet(path)
     cur = realtime.latest_per_user(ev)
     cands = realtime.stream_candidates(cur, sim, ev.select("uid", "mid"), n=20)
     return ev, sim, cands
@@ -243,27 +254,84 @@ def q_stream_scores(spark, d):
     return realtime.stream_scores(cands, recent, sim)
 
 
-# ------------------------------------------- model training (rows-only checks)
+# ------------------------------------------- model training (checked fits)
 
-@register("als_user_recs")
-def q_als_user_recs(spark, d):
-    model = collab.train_als(fx.star_ratings(spark, d), rank=10, max_iter=5, reg=0.1)
-    recs = collab.als_user_recs(model, n=20)
-    return recs.select("uid", "mid", F.round("score", 6).alias("score"), "rank")
+# Largest relative error of a fitted user's normal equation (factors are floats).
+EQUATION_TOLERANCE = 1e-3
 
 
-@register("als_item_similar")
+@register("als_user_recs", V.with_views(V.STAR_RATINGS) + """
+SELECT uid, 1 AS equation_ok, 1 AS list_ok, 1 AS items_ok FROM star_ratings GROUP BY uid""")
+def q_als_user_recs(spark, d):
+    """ALS at the reference's settings and each user's top 20, with three checks
+    per user: the factors solve the user's normal equation, the list is in order
+    and positive, and it names known items."""
+    ratings = fx.star_ratings(spark, d)
+    model = collab.train_als(ratings)
+    path = scratch_path(spark, "user-recs")
+    collab.als_user_recs(model).write.parquet(path)
+    recs = spark.read.parquet(path)
+    error = collab.user_equation_error(model, ratings, collab.ALS_REG)
+    order = collab.lists_in_order(recs, "uid", collab.USER_MAX_RECOMMENDATION)
+    known = ratings.select("mid").distinct().withColumn("known", F.lit(1))
+    items = (recs.join(known, "mid", "left").groupBy("uid")
+             .agg(F.min(F.coalesce("known", F.lit(0)) * (F.col("score") > 0).cast("int")).alias("items_ok")))
+    return (error.join(order, "uid", "left").join(items, "uid", "left")
+            .select("uid", (F.col("error") <= EQUATION_TOLERANCE).cast("int").alias("equation_ok"),
+                    F.coalesce("ok", F.lit(1)).alias("list_ok"),
+                    F.coalesce("items_ok", F.lit(1)).alias("items_ok")))
+
+
+# Neighbours kept per item in the registered item-similarity query.
+ITEM_NEIGHBOURS = 20
+
+
+@register("als_item_similar", V.with_views(V.STAR_RATINGS) + """
+SELECT mid, 1 AS list_ok, 1 AS score_ok FROM star_ratings GROUP BY mid""")
 def q_als_item_similar(spark, d):
-    model = collab.train_als(fx.star_ratings(spark, d), rank=10, max_iter=5, reg=0.1)
-    edges = collab.als_item_similar(model, threshold=0.6)
-    return edges.select("mid", "sim_mid", F.round("score", 6).alias("score"))
-
-
-@register("als_grid")
+    """Item factors at the reference's settings; the ``ITEM_NEIGHBOURS`` best
+    neighbours of each item with cosine >= 0.6 (the operator without ``top_n``
+    gives all). Per item: the list is in order, and each score is at least 0.6
+    and equals the cosine worked out anew from the two factors."""
+    model = collab.train_als(fx.star_ratings(spark, d))
+    path = scratch_path(spark, "item-similar")
+    collab.als_item_similar(model, top_n=ITEM_NEIGHBOURS).write.parquet(path)
+    edges = spark.read.parquet(path)
+    factors = collab.item_factors(model)
+    pairs = (edges.join(factors.withColumnRenamed("vec", "a"), "mid")
+             .join(factors.select(F.col("mid").alias("sim_mid"), F.col("vec").alias("b")), "sim_mid"))
+    good = ((F.abs(vectors.cosine("a", "b") - F.col("score")) < 1e-6)
+            & (F.col("score") >= collab.ALS_SIM_THRESHOLD) & (F.col("mid") != F.col("sim_mid")))
+    scores = pairs.groupBy("mid").agg(F.min(good.cast("int")).alias("score_ok"))
+    order = collab.lists_in_order(edges, "mid", ITEM_NEIGHBOURS, item="sim_mid")
+    return (factors.select("mid").join(order, "mid", "left").join(scores, "mid", "left")
+            .select("mid", F.coalesce("ok", F.lit(1)).alias("list_ok"),
+                    F.coalesce("score_ok", F.lit(1)).alias("score_ok")))
+
+
+@register("als_grid", V.with_views(V.STAR_RATINGS, V.SPLIT) + f"""
+, gm AS (SELECT avg(score) AS gm FROM tr)
+, base AS (SELECT round(sqrt(avg((score - gm) * (score - gm))), 6) AS mean_rmse FROM te CROSS JOIN gm)
+SELECT CAST(r AS INTEGER) AS rank, g AS reg, 1 AS fitted, 1 AS best_count, mean_rmse
+FROM (SELECT unnest([{", ".join(map(str, collab.GRID_RANKS))}]) AS r)
+CROSS JOIN (SELECT unnest(CAST([{", ".join(map(str, collab.GRID_REGS))}] AS DOUBLE[])) AS g) CROSS JOIN base""")
 def q_als_grid(spark, d):
+    """The reference's 16 fits on one split. Per fit: its RMSE is below that of
+    predicting nothing (0) for every rating; one fit is flagged as the best, and
+    it is the least; next to them the RMSE of the training mean."""
     train, test = _train_test(spark, d)
-    g = collab.als_grid(train.drop("split"), test.drop("split"), ranks=(5, 10), regs=(0.01, 0.1, 1.0))
-    return g.select("rank", "reg", F.round("rmse", 6).alias("rmse"), "best")
+    train, test = train.drop("split"), test.drop("split")
+    g = collab.als_grid(train, test)
+    gm = train.agg(F.avg("score")).scalar()
+    base = test.agg(F.sqrt(F.avg(F.pow(F.col("score") - gm, 2))).alias("mean_rmse"),
+                    F.sqrt(F.avg(F.pow("score", F.lit(2)))).alias("zero_rmse"))
+    best = g.agg(F.sum("best").alias("flags"), F.min("rmse").alias("least"),
+                 F.max(F.when(F.col("best") == 1, F.col("rmse"))).alias("flagged"))
+    one = base.crossJoin(best)  # one row each
+    return (g.crossJoin(F.broadcast(one))
+            .select("rank", "reg", (F.col("rmse") < F.col("zero_rmse")).cast("int").alias("fitted"),
+                    F.when(F.col("least") == F.col("flagged"), F.col("flags")).cast("int").alias("best_count"),
+                    F.round("mean_rmse", 6).alias("mean_rmse")))
 
 
 # ------------------------------------------------------------ streaming job
@@ -271,41 +339,45 @@ def q_als_grid(spark, d):
 STREAM_SLICES = 4
 
 
-def run_stream_over_events(spark, d, slices: int = STREAM_SLICES, stateful: bool = True) -> str:
+def run_stream_over_events(spark, d, slices: int = STREAM_SLICES, bootstrap: bool = False) -> str:
     """Replay the event ratings through the streaming job.
 
     Events are rendered as ``uid|mid|score|timestamp`` text files in
     ``slices`` consecutive time ranges; after each file lands the stream runs
     with ``availableNow`` from the same checkpoint (one micro-batch per slice,
-    restarts included). ``stateful`` selects the per-user state-store job
-    (default) or the history-log job. Returns the output log path."""
-    from screenrank.session import scratch_path
-    from screenrank.streaming.recommender import RealtimeRecommender, start_realtime
+    restarts included). With ``bootstrap`` the first half of the slices is the
+    Rating table that seeds the state, and only the rest is streamed. Returns
+    the output log path."""
     from screenrank.streaming.stateful import ProfileScorer, start_stateful
 
     root = scratch_path(spark, "stream")
     ev = fx.event_ratings(spark, d)
     sim_path = os.path.join(root, "sim")
     content.content_similar(fx.part_movies(spark, d), threshold=0.6).write.parquet(sim_path)
-    bounds = ev.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    cuts = [lo + (hi - lo + 1) * i // slices for i in range(slices + 1)]
-    if stateful:
-        handler = ProfileScorer(sim_path=sim_path, out_path=os.path.join(root, "recs"))
-    else:
-        handler = RealtimeRecommender(sim_path=sim_path, history_path=os.path.join(root, "history"),
-                                      out_path=os.path.join(root, "recs"))
-    start = start_stateful if stateful else start_realtime
+    cuts = _time_cuts(ev, slices)
+    handler = ProfileScorer(sim_path=sim_path, out_path=os.path.join(root, "recs"))
     src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
-    for i in range(slices):
+    first = slices // 2 if bootstrap else 0
+    known = None
+    if bootstrap:
+        rating_path = os.path.join(root, "rating")
+        ev.filter(F.col("timestamp") < cuts[first]).write.parquet(rating_path)
+        known = spark.read.parquet(rating_path)
+    for i in range(first, slices):
         part = ev.filter((F.col("timestamp") >= cuts[i]) & (F.col("timestamp") < cuts[i + 1]))
         text.render_rating_messages(part).write.mode("append").text(src)
-        q = start(spark, src, handler, ckpt, trigger={"availableNow": True})
-        q.awaitTermination()
+        start_stateful(spark, src, handler, ckpt, initial_ratings=known,
+                       trigger={"availableNow": True}).awaitTermination()
     handler.close()
     return handler.out_path
 
 
+def _time_cuts(ev, slices: int) -> list[int]:
+    bounds = ev.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    return [lo + (hi - lo + 1) * i // slices for i in range(slices + 1)]
+
+
 @register("stream_recs", V.with_views(V.EVENT_RATINGS, V.PART_MOVIES, V.CONTENT_SIM,
                                      V.STREAM_INPUTS_MSG, V.STREAM_SCORES) + """
 SELECT uid, mid, score,
@@ -317,3 +389,94 @@ def q_stream_recs(spark, d):
 
     out = run_stream_over_events(spark, d)
     return unnest_recs(current_recs(spark, out), "uid")
+
+
+@register("stream_recs_bootstrap", V.with_views(V.EVENT_RATINGS, V.PART_MOVIES, V.CONTENT_SIM,
+                                                V.STREAM_INPUTS_MSG, V.STREAM_SCORES) + f"""
+, half AS (SELECT min("timestamp") + (max("timestamp") - min("timestamp") + 1) * {STREAM_SLICES // 2}
+                  // {STREAM_SLICES} AS t FROM event_ratings)
+, late AS (SELECT DISTINCT uid FROM event_ratings, half WHERE "timestamp" >= half.t)
+SELECT uid, mid, score,
+       CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank
+FROM scores WHERE uid IN (SELECT uid FROM late)""")
+def q_stream_recs_bootstrap(spark, d):
+    """The first half of the events is the Rating table that seeds the state,
+    the second half is streamed."""
+    from screenrank.operators.topk import unnest_recs
+    from screenrank.streaming.recommender import current_recs
+
+    out = run_stream_over_events(spark, d, bootstrap=True)
+    return unnest_recs(current_recs(spark, out), "uid")
+
+
+# ------------------------------------------------------- loading and storing
+
+def _through_text(spark, lines, load, schema):
+    """Lines to a text file, loaded, stored, and read back as a checked table."""
+    root = scratch_path(spark, "load")
+    lines.write.text(os.path.join(root, "lines"))
+    good, _bad = load(spark, os.path.join(root, "lines"))  # fails on a bad line
+    overwrite_table(good, os.path.join(root, "table"))
+    return read_table(spark, os.path.join(root, "table"), schema)
+
+
+@register("movie_line_load", V.with_views(V.PART_MOVIES) + """
+SELECT mid, name, descri, timelong, issue, shoot, language, genres, actors, directors FROM part_movies""")
+def q_movie_line_load(spark, d):
+    m = fx.part_movies(spark, d)
+    padded = [F.concat(F.lit(" "), F.col(c), F.lit("\t")) for c in schemas.MOVIE_TEXT_FIELDS]
+    lines = m.select(F.concat_ws("^", F.col("mid").cast("string"), *padded).alias("value"))
+    return _through_text(spark, lines, text.load_movies, schemas.MOVIE)
+
+
+@register("rating_line_load", V.with_views(V.EVENT_RATINGS) + """
+SELECT uid, mid, score, "timestamp" FROM event_ratings""")
+def q_rating_line_load(spark, d):
+    lines = fx.event_ratings(spark, d).select(F.concat_ws(",", *[
+        F.col(f.name).cast("string") for f in schemas.RATING.fields]).alias("value"))
+    return _through_text(spark, lines, text.load_ratings, schemas.RATING)
+
+
+@register("tag_line_load", V.with_views(V.EVENT_TAGS) + """
+SELECT uid, mid, tag, "timestamp" FROM event_tags""")
+def q_tag_line_load(spark, d):
+    lines = fx.event_tags(spark, d).select(F.concat_ws(
+        ",", F.col("uid").cast("string"), F.col("mid").cast("string"),
+        F.concat(F.lit(" "), F.col("tag"), F.lit(" ")), F.col("timestamp").cast("string")).alias("value"))
+    return _through_text(spark, lines, text.load_tags, schemas.TAG)
+
+
+@register("document_roundtrip", ORACLES["search_documents"])
+def q_document_roundtrip(spark, d):
+    """Search documents written one per movie (duplicates are an error), read back."""
+    docs = QUERIES["search_documents"](spark, d)
+    path = scratch_path(spark, "documents")
+    write_documents(docs, path, key="mid")
+    return spark.read.schema(docs.schema).json(path)
+
+
+@register("recs_map_lookup", V.with_views(V.EVENT_RATINGS) + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY "timestamp" DESC, event_id DESC) AS k
+        FROM event_ratings)
+, b AS (SELECT uid, min(mid) AS least_mid, count(DISTINCT mid) AS items FROM event_ratings GROUP BY uid)
+SELECT b.uid, least_mid, items, r.score, CAST(0.0 AS DOUBLE) AS missing
+FROM b JOIN r ON r.uid = b.uid AND r.mid = b.least_mid AND r.k = 1""")
+def q_recs_map_lookup(spark, d):
+    """Each user's ratings in time order as a list of pairs, made a map (the
+    last entry of an item wins) and looked up for a present and an absent item."""
+    lists = (fx.event_ratings(spark, d).groupBy("uid")
+             .agg(F.array_sort(F.collect_list(F.struct("timestamp", "event_id", "mid", "score"))).alias("recs"),
+                  F.min("mid").alias("least_mid")))
+    m = lists.select("uid", "least_mid", maps.recs_to_map("recs").alias("m"))
+    return m.select("uid", "least_mid", F.size("m").cast("bigint").alias("items"),
+                    maps.lookup("m", "least_mid").alias("score"),
+                    maps.lookup("m", F.lit(-1).cast("bigint")).alias("missing"))
+
+
+@register("content_similar_top20", V.with_views(V.PART_MOVIES, V.CONTENT_SIM) + """
+, r AS (SELECT mid, sim_mid, round(score, 6) AS score, row_number() OVER (
+          PARTITION BY mid ORDER BY round(score, 9) DESC, sim_mid) AS k FROM sim)
+SELECT mid, sim_mid, score, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 20""")
+def q_content_similar_top20(spark, d):
+    edges = content.content_similar(fx.part_movies(spark, d), top_n=20)
+    return edges.select("mid", "sim_mid", F.round("score", 6).alias("score"), "rank")

@@ -28,7 +28,7 @@ from screenrank.schemas import MOVIE, RATING, TAG
 from screenrank.sinks.tables import overwrite_table, write_documents
 from screenrank.sources.tables import read_table
 from screenrank.sources.text import load_movies, load_ratings, load_tags
-from screenrank.streaming.recommender import RealtimeRecommender, start_realtime, user_bucket
+from screenrank.streaming.stateful import ProfileScorer, RealtimeQueries, start_stateful
 
 # Table (collection) names of the recommender.
 MOVIE_T, RATING_T, TAG_T = "Movie", "Rating", "Tag"
@@ -44,23 +44,20 @@ def _t(root: str, name: str) -> str:
 
 
 def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path: str,
-             out_dir: str, mode: str = "fail", quarantine_dir: str | None = None,
-             rating_user_buckets: int | None = None) -> None:
+             out_dir: str, mode: str = "fail", quarantine_dir: str | None = None) -> None:
     """Text files -> Movie, Rating, Tag tables and the search documents
     (movies with their ``|``-joined distinct tags, one document per mid).
 
-    ``rating_user_buckets`` stores Rating partitioned by a hash bucket of uid
-    (column ``ub``), the layout the streaming job prunes per batch."""
+    ``mode="quarantine"`` writes lines that do not parse to ``quarantine_dir``,
+    which it needs; the default fails on them."""
+    if mode == "quarantine" and not quarantine_dir:
+        raise ValueError('mode="quarantine" needs quarantine_dir: bad lines are not dropped')
     loaded = {MOVIE_T: load_movies(spark, movies_path, mode),
               RATING_T: load_ratings(spark, ratings_path, mode),
               TAG_T: load_tags(spark, tags_path, mode)}
     for name, (good, bad) in loaded.items():
-        if name == RATING_T and rating_user_buckets:
-            overwrite_table(good.withColumn("ub", user_bucket("uid", rating_user_buckets)),
-                            _t(out_dir, name), partition_by=["ub"])
-        else:
-            overwrite_table(good, _t(out_dir, name))
-        if mode == "quarantine" and quarantine_dir:
+        overwrite_table(good, _t(out_dir, name))
+        if mode == "quarantine":
             overwrite_table(bad, _t(quarantine_dir, name))
     movies = read_table(spark, _t(out_dir, MOVIE_T), MOVIE)
     tags = read_table(spark, _t(out_dir, TAG_T), TAG)
@@ -129,29 +126,22 @@ def trainer_job(spark: SparkSession, tables: str, ranks: Sequence[int] = collab.
     return collab.als_grid(train, test, ranks=ranks, regs=regs, parallelism=parallelism)
 
 
-def realtime_job(spark: SparkSession, tables: str, source_dir: str, checkpoint: str,
+def realtime_job(spark: SparkSession, tables: str, source: str | None, checkpoint: str,
                  sim_table: str = MOVIE_RECS_T, trigger: dict | None = None,
-                 stateful: bool = True, history_buckets: int | None = None,
-                 out_table: str = STREAM_RECS_T):
+                 out_table: str = STREAM_RECS_T, fmt: str = "text", source_options: dict | None = None,
+                 mode: str = "fail", compact_every: int | None = 100) -> RealtimeQueries:
     """Start the streaming recommender; similarity edges from ``sim_table``.
 
-    ``stateful`` (default): each user's recent ratings and seen items live in
-    the streaming state store, bootstrapped once from Rating. Otherwise the
-    job keeps a history log next to Rating and reads it per batch
-    (``history_buckets`` must then match the ``rating_user_buckets`` of the
-    load)."""
-    if stateful:
-        from screenrank.streaming.stateful import ProfileScorer, start_stateful
-
-        scorer = ProfileScorer(sim_path=_t(tables, sim_table), out_path=_t(tables, out_table))
-        ratings = read_table(spark, _t(tables, RATING_T), RATING)
-        return start_stateful(spark, source_dir, scorer, checkpoint, initial_ratings=ratings,
-                              trigger=trigger)
-    handler = RealtimeRecommender(sim_path=_t(tables, sim_table), history_path=_t(tables, "StreamHistory"),
-                                  out_path=_t(tables, out_table),
-                                  initial_history_path=_t(tables, RATING_T),
-                                  history_buckets=history_buckets)
-    return start_realtime(spark, source_dir, handler, checkpoint, trigger=trigger)
+    Each user's recent ratings and seen items live in the streaming state
+    store, bootstrapped once from Rating. ``fmt`` and ``source_options`` name
+    the source (for a broker: topic, servers, starting offsets; ``source`` is
+    None). In quarantine mode bad messages go to the table ``<out_table>Bad``."""
+    scorer = ProfileScorer(sim_path=_t(tables, sim_table), out_path=_t(tables, out_table),
+                           compact_every=compact_every)
+    ratings = read_table(spark, _t(tables, RATING_T), RATING)
+    return start_stateful(spark, source, scorer, checkpoint, initial_ratings=ratings, trigger=trigger,
+                          fmt=fmt, source_options=source_options, mode=mode,
+                          bad_path=_t(tables, out_table + "Bad"))
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -164,11 +154,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--ratings")
     ap.add_argument("--tags")
     ap.add_argument("--source")
+    ap.add_argument("--format", default="text", help="stream source format")
+    ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                    help="stream source option, may be repeated")
+    ap.add_argument("--mode", default="fail", choices=["fail", "quarantine"])
+    ap.add_argument("--quarantine", help="folder for lines that do not parse (load)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = get_session(a.master) if a.master else SparkSession.builder.getOrCreate()
     if a.job == "load":
-        load_job(spark, a.movies, a.ratings, a.tags, a.tables)
+        load_job(spark, a.movies, a.ratings, a.tags, a.tables, a.mode, a.quarantine)
     elif a.job == "statistics":
         statistics_job(spark, a.tables)
     elif a.job == "offline":
@@ -178,7 +173,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "trainer":
         trainer_job(spark, a.tables).show()
     else:
-        q = realtime_job(spark, a.tables, a.source, os.path.join(checkpoint_root(spark), "realtime"))
+        q = realtime_job(spark, a.tables, a.source, os.path.join(checkpoint_root(spark), "realtime"),
+                         fmt=a.format, source_options=dict(o.split("=", 1) for o in a.option), mode=a.mode)
         q.awaitTermination()
 
 

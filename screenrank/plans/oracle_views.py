@@ -123,8 +123,8 @@ EMBED = """v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embe
 SPLIT = """sp AS (
   SELECT uid, mid, score, "timestamp",
          CASE WHEN CAST('0x' || substr(md5(concat_ws('|', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR),
-                         CAST(CAST(score * 2 AS BIGINT) AS VARCHAR), CAST("timestamp" AS VARCHAR))), 1, 8)
-                   AS UBIGINT) % 10 < 8
+                         CAST(CAST(score * 2 AS BIGINT) AS VARCHAR), CAST("timestamp" AS VARCHAR))), 1, 12)
+                   AS UBIGINT) % 1000000 < 800000
               THEN 'train' ELSE 'test' END AS split
   FROM star_ratings),
 tr AS (SELECT * FROM sp WHERE split = 'train'),

@@ -29,12 +29,14 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 def write_documents(df: DataFrame, path: str, key: str = "mid", fmt: str = "json",
                     check_unique: bool = True) -> None:
-    """K2: documents keyed by ``key``; duplicate keys are an error."""
-    if check_unique:
-        dup = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
+    """K2: documents keyed by ``key``; duplicate keys are an error (found after
+    writing, so the caller must not use the documents then)."""
+    df.write.mode("overwrite").format(fmt).save(path)
+    if check_unique:  # on the written keys: the documents are computed once
+        keys = df.sparkSession.read.schema(df.select(key).schema).format(fmt).load(path)
+        dup = keys.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"duplicate document key {key}={dup[0][key]}")
-    df.write.mode("overwrite").format(fmt).save(path)
 
 
 def version_path(path: str, batch_id: int) -> str:
@@ -89,18 +91,25 @@ def read_log(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def compact_log(spark: SparkSession, path: str, upto: int, key: str | None = None,
-                fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+                fmt: str = "parquet", remove_old: bool = False) -> None:
     """Snapshot of a versioned log as of batch ``upto``.
 
     With ``key`` (a replace-by-key table) only the newest row of every key is
     kept; without (an append log) all rows are. Writing the same snapshot
-    again is harmless, so a replayed batch may compact twice."""
+    again is harmless, so a replayed batch may compact twice. ``remove_old``
+    deletes what the snapshot before this one had already replaced, so a reader
+    that listed the log between the two still finds its files."""
+    before = latest_snapshot(spark, path)
     rows = read_latest(spark, path, key, fmt, upto_batch=upto, keep_batch=True) if key \
         else read_log(spark, path, fmt, upto_batch=upto)
-    w = rows.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(os.path.join(path, "_snapshots", f"upto={int(upto)}"))
+    rows.write.mode("overwrite").format(fmt).save(os.path.join(path, "_snapshots", f"upto={int(upto)}"))
+    if remove_old and before is not None and before < upto:
+        fs, root = _fs_path(spark, path)
+        for folder, prefix, last in ((root, "batch_id=", before), (root.suffix("/_snapshots"), "upto=", before - 1)):
+            for st in fs.listStatus(folder):
+                name = st.getPath().getName()
+                if name.startswith(prefix) and int(name[len(prefix):]) <= last:
+                    fs.delete(st.getPath(), True)
 
 
 def read_versions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

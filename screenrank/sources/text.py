@@ -15,6 +15,12 @@ from screenrank.functions.scalar import jvm_trim
 from screenrank.schemas import MOVIE_TEXT_FIELDS
 
 
+def _integer(c: Column) -> Column:
+    """Decimal digits with an optional sign and nothing else, else null (a cast
+    alone would accept blanks around them)."""
+    return F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
+
+
 def _fields(value: Column, sep_regex: str) -> Column:
     # limit -1 keeps trailing empty fields (a JVM split drops them).
     return F.split(value, sep_regex, -1)
@@ -56,7 +62,7 @@ def parse_movie_lines(lines: DataFrame, mode: str = "fail") -> tuple[DataFrame,
     """``mid^name^...^directors`` (10 fields, ``^``-separated)."""
     f = _fields(F.col("value"), r"\^")
     parsed = lines.select("value", f.alias("_f"))
-    cols = {"mid": (F.col("_f")[0]).try_cast("bigint")}
+    cols = {"mid": _integer(F.col("_f")[0])}
     for i, name in enumerate(MOVIE_TEXT_FIELDS, start=1):
         cols[name] = jvm_trim(F.col("_f")[i])
     parsed = parsed.select("value", "_f", *[v.alias(k) for k, v in cols.items()])
@@ -71,10 +77,10 @@ def parse_rating_lines(lines: DataFrame, mode: str = "fail", sep: str = ",") ->
     f = _fields(F.col("value"), "\\" + sep if sep in "|^.$*+?()[]{}\\" else sep)
     parsed = lines.select("value", f.alias("_f")).select(
         "value", "_f",
-        (F.col("_f")[0]).try_cast("bigint").alias("uid"),
-        (F.col("_f")[1]).try_cast("bigint").alias("mid"),
+        _integer(F.col("_f")[0]).alias("uid"),
+        _integer(F.col("_f")[1]).alias("mid"),
         (jvm_trim(F.col("_f")[2])).try_cast("double").alias("score"),
-        (F.col("_f")[3]).try_cast("bigint").alias("timestamp"))
+        _integer(F.col("_f")[3]).alias("timestamp"))
     checks = [(F.size("_f") >= 4, "fewer than 4 fields"),
               (F.col("uid").isNotNull(), "uid is not an integer"),
               (F.col("mid").isNotNull(), "mid is not an integer"),
@@ -89,10 +95,10 @@ def parse_tag_lines(lines: DataFrame, mode: str = "fail") -> tuple[DataFrame, Da
     f = _fields(F.col("value"), ",")
     parsed = lines.select("value", f.alias("_f")).select(
         "value", "_f",
-        (F.col("_f")[0]).try_cast("bigint").alias("uid"),
-        (F.col("_f")[1]).try_cast("bigint").alias("mid"),
+        _integer(F.col("_f")[0]).alias("uid"),
+        _integer(F.col("_f")[1]).alias("mid"),
         jvm_trim(F.col("_f")[2]).alias("tag"),
-        (F.col("_f")[3]).try_cast("bigint").alias("timestamp"))
+        _integer(F.col("_f")[3]).alias("timestamp"))
     checks = [(F.size("_f") >= 4, "fewer than 4 fields"),
               (F.col("uid").isNotNull(), "uid is not an integer"),
               (F.col("mid").isNotNull(), "mid is not an integer"),

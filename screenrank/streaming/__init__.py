@@ -1,3 +1 @@
-from screenrank.streaming.recommender import (  # noqa: F401
-    RealtimeRecommender, score_events, start_realtime,
-)
+from screenrank.streaming.recommender import current_recs, score_events  # noqa: F401

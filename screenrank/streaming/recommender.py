@@ -1,36 +1,17 @@
-"""Real-time recommender as a Structured Streaming query.
+"""Set-wise scoring of a batch of rating events, and the stream's result table.
 
-``readStream`` (text files here; a broker source yields the same ``value``
-column) -> parse ``uid|mid|score|timestamp`` -> ``foreachBatch``. Each
-micro-batch is handled set-wise by ``score_events``, an ordinary DataFrame
-function that is also the batch twin used in tests.
-
-Per batch N:
-1. the batch's ratings are appended to the stream history as version N
-   (before scoring, so "recent" includes the current event; a replay of
-   batch N rewrites the same version);
-2. history = initial ratings + stream history versions <= N, restricted to
-   the batch's users by a semi join (the batch side is small);
-3. the latest event per user (last write wins) is scored against the
-   similarity table;
-4. each batch user's new list (possibly empty) is written as version N of
-   the output log; ``read_latest`` gives the current table.
+``score_events`` is the batch twin of the stream in ``streaming.stateful``: an
+ordinary DataFrame function over a batch of events and the full history.
 """
 
 from __future__ import annotations
 
-import os
-from dataclasses import dataclass
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenrank.operators import realtime
 from screenrank.operators.topk import nest_recs
-from screenrank.schemas import RATING
-from screenrank.sinks.tables import compact_log, read_latest, read_log, replace_by_key
-from screenrank.sources.text import parse_rating_messages
+from screenrank.sinks.tables import read_latest
 
 # Messages carry no sequence number: ties on the timestamp are broken by
 # (mid, score) so that replays and the batch twin agree.
@@ -42,134 +23,30 @@ STREAM_ORDER = ("timestamp", "mid", "score")
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def user_bucket(uid_col: str = "uid", buckets: int = 256):
-    """Storage bucket of a user's history rows (directory partition ``ub``)."""
-    return F.pmod(F.xxhash64(F.col(uid_col)), F.lit(buckets)).cast("int")
-
-
 def score_events(events: DataFrame, history: DataFrame, sim: DataFrame,
                  n_recent: int = realtime.MAX_USER_RATINGS, n_cands: int = realtime.MAX_SIM_MOVIES,
                  gate: float = realtime.SIM_GATE, order=STREAM_ORDER,
-                 sim_buckets: int | None = None, n_users: int | None = None,
-                 history_buckets: int | None = None) -> DataFrame:
+                 n_users: int | None = None) -> DataFrame:
     """New recommendation list of every user in ``events``.
 
     ``history`` must already contain ``events``. -> (uid, recs) where recs is
     array<struct<mid, score>> sorted by score desc, mid asc (possibly empty).
     ``n_users`` (the checked number of distinct users in ``events``) enables
-    broadcasting the batch side when its proven bound is small. With
-    ``history_buckets`` the history carries the ``ub`` partition column and
-    the broadcast user set prunes its scan to the buckets of the batch's
-    users (dynamic partition pruning), instead of reading all history."""
+    broadcasting the batch side when its proven bound is small."""
     cur = realtime.latest_per_user(events, order)
     users = cur.select("uid")
     small = n_users is not None and n_users * n_recent * n_cands <= BROADCAST_MAX_ROWS
-    if history_buckets:
-        keyed = users.withColumn("ub", user_bucket("uid", history_buckets))
-        hist_u = history.join(F.broadcast(keyed) if small else keyed, ["ub", "uid"], "left_semi") \
-            .drop("ub")
-    else:
-        hist_u = history.join(F.broadcast(users) if small else users, "uid", "left_semi")
+    hist_u = history.join(F.broadcast(users) if small else users, "uid", "left_semi")
     cands = realtime.stream_candidates(cur, sim, hist_u.select("uid", "mid"), n=n_cands,
-                                       sim_buckets=sim_buckets, broadcast=small)
+                                       broadcast=small)
     recent = realtime.recent_ratings(hist_u, n=n_recent, order=order)
-    scores = realtime.stream_scores(cands, recent, sim, gate=gate, sim_buckets=sim_buckets,
-                                    broadcast=small)
+    scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)
     nested = nest_recs(ranked, "uid")
     empty = F.array().cast("array<struct<mid:bigint,score:double>>")
     return users.join(nested, "uid", "left").select("uid", F.coalesce("recs", empty).alias("recs"))
 
 
-@dataclass
-class RealtimeRecommender:
-    """foreachBatch handler bound to its tables."""
-    sim_path: str
-    history_path: str
-    out_path: str
-    initial_history_path: str | None = None
-    sim_buckets: int | None = None
-    cache_sim: bool = True
-    # Store the stream's history partitioned by a hash bucket of uid so each
-    # batch reads only its users' buckets; the initial history must then be
-    # written with the same ``ub`` partition column (``load_job`` can).
-    history_buckets: int | None = None
-    # Snapshot the history and output logs every k batches (None: never).
-    compact_every: int | None = None
-
-    def _sim(self, spark: SparkSession) -> DataFrame:
-        """The similarity table, loaded once per stream like the reference's
-        broadcast map, but kept distributed (cached on executors; lost blocks
-        are re-read from the table). With ``sim_buckets`` it is read per
-        batch instead, so tiny batches prune to the buckets they touch."""
-        if self.sim_buckets:
-            return spark.read.parquet(self.sim_path)
-        cached = getattr(self, "_sim_df", None)
-        if cached is None:
-            cached = spark.read.parquet(self.sim_path).select("mid", "sim_mid", "score")
-            if self.cache_sim:
-                cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
-            self._sim_df = cached
-        return cached
-
-    def close(self) -> None:
-        cached = getattr(self, "_sim_df", None)
-        if cached is not None and self.cache_sim:
-            cached.unpersist()
-        self._sim_df = None
-
-    def _history(self, spark: SparkSession, upto: int) -> DataFrame:
-        cols = [F.col(f.name).cast(f.dataType) for f in RATING.fields]
-        if self.history_buckets:
-            cols.append(F.col("ub"))
-        parts = []
-        if self.initial_history_path:
-            parts.append(spark.read.parquet(self.initial_history_path).select(*cols))
-        # Batch ``upto`` has just been written, so the history log exists.
-        h = read_log(spark, self.history_path, upto_batch=upto)
-        parts.append(h.select(*cols))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        events = batch.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
-        if self.history_buckets:
-            events = events.withColumn("ub", user_bucket("uid", self.history_buckets))
-        replace_by_key(events, self.history_path, batch_id,
-                       partition_by=["ub"] if self.history_buckets else None)
-        history = self._history(spark, batch_id)
-        sim = self._sim(spark)
-        mine = spark.read.parquet(os.path.join(self.history_path, f"batch_id={int(batch_id)}")) \
-            .select(*[f.name for f in RATING.fields])
-        n_users = mine.select("uid").distinct().count()  # size check of the batch side
-        replace_by_key(score_events(mine, history, sim, sim_buckets=self.sim_buckets,
-                                    n_users=n_users, history_buckets=self.history_buckets),
-                       self.out_path, batch_id)
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            compact_log(spark, self.history_path, batch_id,
-                        partition_by=["ub"] if self.history_buckets else None)
-            compact_log(spark, self.out_path, batch_id, key="uid")
-
-
-def start_realtime(spark: SparkSession, source_dir: str, handler: RealtimeRecommender,
-                   checkpoint: str, trigger: dict | None = None, fmt: str = "text",
-                   source_options: dict | None = None):
-    """R1 + S5: start the stream. ``trigger`` defaults to a 5 s processing
-    time (the reference's batch interval); tests pass ``{"availableNow": True}``.
-    Lines that do not parse are dropped from scoring (quarantine mode)."""
-    reader = spark.readStream.format(fmt)
-    for k, v in (source_options or {}).items():
-        reader = reader.option(k, v)
-    raw = reader.load(source_dir)
-    good, _bad = parse_rating_messages(raw, mode="quarantine")
-    w = good.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return w.start()
-
-
 def current_recs(spark: SparkSession, out_path: str) -> DataFrame:
     """The StreamRecs table: newest list of every user."""
     return read_latest(spark, out_path, "uid")

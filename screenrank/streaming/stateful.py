@@ -1,26 +1,29 @@
-"""Real-time recommender with per-user streaming state (the scalable variant).
+"""Real-time recommender with per-user streaming state.
 
 The reference reads each user's recent list and rated items from outside
 stores per event. Here that per-user data lives in Structured Streaming's
 state store, partitioned by user across executors and checkpointed with the
 query: ``transformWithStateInPandas`` keyed by uid keeps
 
-* ``recent``: the user's 20 newest ratings (mid, score, timestamp);
-* ``seen``: every distinct item the user has rated,
+* ``recent``: the user's 20 newest ratings (mid, score, timestamp), one value;
+* ``seen``: every distinct item the user has rated, a list state that only
+  grows by appending, so a batch writes its new items and nothing else,
 
-both in one state value per user (one read and one write per active user
-per batch),
-
-bootstrapped once from the Rating table (``initialState``). Each micro-batch
-emits one row per active user (latest item, recent list, seen items), and a
+bootstrapped once from the Rating table (``initialState``, merged chunk by
+chunk). Each micro-batch emits per active user the latest item, the recent
+list and the seen items (in rows of at most ``SEEN_PER_ROW`` items), and a
 ``foreachBatch`` stage scores those rows with the set-wise operators of
 ``operators.realtime`` against the cached similarity table. Per-batch work is
 proportional to the batch's users and their own histories, independent of
 the size of all history.
+
+Messages that do not parse fail the query, as in the reference; with
+``mode="quarantine"`` a second query writes them to a bad-record table.
 """
 
 from __future__ import annotations
 
+import heapq
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,62 +38,80 @@ from screenrank.operators import realtime
 from screenrank.operators.topk import nest_recs
 from screenrank.schemas import RATING
 from screenrank.session import ship_by_value
-from screenrank.sinks.tables import replace_by_key
-from screenrank.streaming.recommender import BROADCAST_MAX_ROWS
+from screenrank.sinks.tables import compact_log, replace_by_key
 from screenrank.sources.text import parse_rating_messages
+from screenrank.streaming.recommender import BROADCAST_MAX_ROWS
 
 ship_by_value(__name__)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROFILE_SCHEMA = ("uid long, mid long, "
                   "recent array<struct<mid:bigint,score:double,timestamp:bigint>>, seen array<bigint>")
+# Items per emitted row: a very long history leaves a task in several rows.
+SEEN_PER_ROW = 50_000
 
+Rating = tuple[int, float, int]
 
-def _newest(df: pd.DataFrame, n: int) -> pd.DataFrame:
+
+def _newest(ratings: list[Rating], n: int) -> list[Rating]:
     """Newest ``n`` ratings by (timestamp, mid, score), newest first."""
-    return df.sort_values(["timestamp", "mid", "score"], ascending=False).head(n)
+    return heapq.nlargest(n, ratings, key=lambda r: (r[2], r[0], r[1]))
+
+
+def _ratings(rows: pd.DataFrame) -> list[Rating]:
+    return list(zip(rows["mid"].astype("int64").tolist(), rows["score"].astype("float64").tolist(),
+                    rows["timestamp"].astype("int64").tolist()))
 
 
 class UserProfile(StatefulProcessor):
-    """Per-user recent ratings and seen items, one state value per user (one
-    read and one write per active user per batch)."""
+    """Per-user recent ratings (one value) and seen items (append-only list)."""
 
     def __init__(self, n_recent: int = realtime.MAX_USER_RATINGS):
         self.n_recent = n_recent
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.profile = handle.getValueState(
-            "profile", "recent array<struct<mid:bigint,score:double,timestamp:bigint>>, "
-                       "seen array<bigint>")
-
-    def _add(self, rows: pd.DataFrame) -> tuple[list, list]:
-        recent, seen = ([], []) if not self.profile.exists() else self.profile.get()
-        old = pd.DataFrame([(r["mid"], r["score"], r["timestamp"]) if isinstance(r, dict) else tuple(r)
-                            for r in (recent or [])], columns=["mid", "score", "timestamp"])
-        new = rows[["mid", "score", "timestamp"]]
-        merged = _newest(pd.concat([old, new], ignore_index=True) if len(old) else new, self.n_recent)
-        recent = [(int(m), float(s), int(t)) for m, s, t in merged.itertuples(index=False)]
-        known = set(seen or [])
-        seen = list(seen or []) + [int(m) for m in pd.unique(new["mid"]) if int(m) not in known]
-        self.profile.update((recent, seen))
-        return recent, seen
+        self.recent = handle.getValueState(
+            "recent", "recent array<struct<mid:bigint,score:double,timestamp:bigint>>")
+        self.seen = handle.getListState("seen", "mid bigint")
+
+    def _recent(self) -> list[Rating]:
+        if not self.recent.exists():
+            return []
+        return [(r["mid"], r["score"], r["timestamp"]) if isinstance(r, dict) else tuple(r)
+                for r in self.recent.get()[0]]
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        # Pre-shaped in Spark (``initial_profiles``): the 20 newest ratings
-        # (recent = 1) plus one row per distinct item (recent = 0).
-        recent_rows = initialState[initialState["recent"] == 1]
-        seen = [int(m) for m in pd.unique(initialState["mid"])]
-        merged = _newest(recent_rows[["mid", "score", "timestamp"]], self.n_recent)
-        self.profile.update(([(int(m), float(s), int(t)) for m, s, t in merged.itertuples(index=False)],
-                             seen))
+        # Called once per chunk of the user's seed rows (``initial_profiles``:
+        # the newest ratings have recent = 1, distinct items recent = 0), so
+        # each call merges with what earlier chunks have stored.
+        newest = _ratings(initialState[initialState["recent"] == 1])
+        if newest:
+            self.recent.update((_newest(self._recent() + newest, self.n_recent),))
+        items = initialState.loc[initialState["recent"] == 0, "mid"].tolist()
+        if items:
+            self.seen.appendList([(int(m),) for m in items])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        recent, seen = self._add(batch)
-        latest = _newest(batch, 1).iloc[0]
-        yield pd.DataFrame({"uid": [int(key[0])], "mid": [int(latest["mid"])],
-                            "recent": [[{"mid": m, "score": s, "timestamp": t} for m, s, t in recent]],
-                            "seen": [seen]})
+        recent = self._recent()
+        seen = [m for (m,) in self.seen.get()] if self.seen.exists() else []
+        known, fresh, latest = set(seen), [], []
+        for chunk in rows:
+            ratings = _ratings(chunk)
+            recent = _newest(recent + ratings, self.n_recent)
+            latest = _newest(latest + ratings, 1)
+            for m, _, _ in ratings:
+                if m not in known:
+                    known.add(m)
+                    fresh.append(m)
+        self.recent.update((recent,))
+        if fresh:
+            self.seen.appendList([(m,) for m in fresh])
+        seen += fresh
+        for at in range(0, len(seen), SEEN_PER_ROW):
+            yield pd.DataFrame({
+                "uid": [int(key[0])], "mid": pd.array([latest[0][0] if at == 0 else None], dtype="Int64"),
+                "recent": [[{"mid": m, "score": s, "timestamp": t} for m, s, t in recent] if at == 0 else []],
+                "seen": [seen[at:at + SEEN_PER_ROW]]})
 
     def close(self) -> None:
         pass
@@ -112,16 +133,17 @@ def initial_profiles(ratings: DataFrame, n_recent: int = realtime.MAX_USER_RATIN
 
 def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.MAX_SIM_MOVIES,
                    gate: float = realtime.SIM_GATE, n_users: int | None = None,
-                   max_seen: int | None = None) -> DataFrame:
-    """(uid, mid, recent, seen) rows -> (uid, recs), as ``score_events``."""
-    cur = profiles.select("uid", "mid")
+                   n_recent: int = realtime.MAX_USER_RATINGS) -> DataFrame:
+    """(uid, mid, recent, seen) rows -> (uid, recs), as ``score_events``. A
+    user's first row has the latest item and the recent list, further rows
+    (mid null) hold more seen items."""
+    cur = profiles.select("uid", "mid").where("mid IS NOT NULL")
     seen = profiles.select("uid", F.explode("seen").alias("mid"))
     recent = profiles.select("uid", F.posexplode("recent").alias("_p", "_r")).select(
         "uid", F.col("_r.mid").alias("mid"), F.col("_r.score").alias("score"),
         (F.col("_p") + 1).alias("rank"))
-    small = n_users is not None and n_users * realtime.MAX_USER_RATINGS * n_cands <= BROADCAST_MAX_ROWS
-    kmax = None if max_seen is None else n_cands + max_seen
-    cands = realtime.stream_candidates(cur, sim, seen, n=n_cands, broadcast=small, kmax=kmax)
+    small = n_users is not None and n_users * n_recent * n_cands <= BROADCAST_MAX_ROWS
+    cands = realtime.stream_candidates(cur, sim, seen, n=n_cands, broadcast=small)
     scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)
     nested = nest_recs(ranked, "uid")
@@ -135,6 +157,10 @@ class ProfileScorer:
     """foreachBatch stage after the stateful operator."""
     sim_path: str
     out_path: str
+    n_recent: int = realtime.MAX_USER_RATINGS
+    # Every k batches the output log becomes one snapshot of each user's newest
+    # row, and the versions it replaces are removed (None: never).
+    compact_every: int | None = 100
 
     def __call__(self, profiles: DataFrame, batch_id: int) -> None:
         spark = profiles.sparkSession
@@ -143,14 +169,16 @@ class ProfileScorer:
             sim = spark.read.parquet(self.sim_path).select("mid", "sim_mid", "score") \
                 .persist(StorageLevel.MEMORY_AND_DISK)
             self._sim_df = sim
-        # Materialise the batch's profiles once (they feed several joins).
-        prof_path = os.path.join(self.out_path, "_profiles", f"batch_id={int(batch_id)}")
+        # Materialise the batch's profiles once (they feed several joins); the
+        # next batch overwrites them.
+        prof_path = os.path.join(self.out_path, "_profiles")
         profiles.write.mode("overwrite").parquet(prof_path)
-        prof = spark.read.parquet(prof_path)
-        # One aggregate gives both the size check and the deepest rank probe.
-        stats = prof.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("seen")).alias("s")).first()
-        replace_by_key(score_profiles(prof, sim, n_users=stats["n"], max_seen=stats["s"] or 0),
+        prof = spark.read.schema(PROFILE_SCHEMA).parquet(prof_path)
+        n_users = prof.where("mid IS NOT NULL").count()  # size check of the batch side
+        replace_by_key(score_profiles(prof, sim, n_users=n_users, n_recent=self.n_recent),
                        self.out_path, batch_id)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            compact_log(spark, self.out_path, batch_id, key="uid", remove_old=True)
 
     def close(self) -> None:
         sim = getattr(self, "_sim_df", None)
@@ -159,19 +187,59 @@ class ProfileScorer:
         self._sim_df = None
 
 
-def start_stateful(spark: SparkSession, source_dir: str, scorer: ProfileScorer, checkpoint: str,
+@dataclass
+class RealtimeQueries:
+    """The scoring query and, in quarantine mode, the one for bad messages."""
+    scoring: object
+    bad: object | None = None
+
+    def awaitTermination(self, timeout: int | None = None) -> None:
+        for q in (self.scoring, self.bad):
+            if q is not None:
+                q.awaitTermination(timeout)
+
+    def stop(self) -> None:
+        for q in (self.scoring, self.bad):
+            if q is not None:
+                q.stop()
+
+
+def _messages(spark: SparkSession, source: str | None, fmt: str, options: dict | None) -> DataFrame:
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    return reader.load(source) if source else reader.load()
+
+
+def start_stateful(spark: SparkSession, source: str | None, scorer: ProfileScorer, checkpoint: str,
                    initial_ratings: DataFrame | None = None, trigger: dict | None = None,
-                   fmt: str = "text"):
-    """Start the stateful recommender (RocksDB state store)."""
+                   fmt: str = "text", source_options: dict | None = None, mode: str = "fail",
+                   bad_path: str | None = None) -> RealtimeQueries:
+    """Start the stateful recommender (RocksDB state store).
+
+    ``source_options`` reach the stream source: topic, servers and starting
+    offsets of a broker (``source`` is None then), or a rate limit such as
+    ``maxFilesPerTrigger``, which also bounds what the first batch of a long
+    backlog holds. ``trigger`` defaults to a 5 s processing time. With
+    ``mode="quarantine"`` bad messages go to the table ``bad_path`` (value,
+    reason, batch_id); the default fails on them."""
+    if mode == "quarantine" and not bad_path:
+        raise ValueError('mode="quarantine" needs bad_path: bad messages are not dropped')
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    raw = spark.readStream.format(fmt).load(source_dir)
-    good, _bad = parse_rating_messages(raw, mode="quarantine")
+    trigger = trigger or {"processingTime": "5 seconds"}
+    good, bad = parse_rating_messages(_messages(spark, source, fmt, source_options), mode=mode)
     events = good.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
     init = None
     if initial_ratings is not None:
-        init = initial_profiles(initial_ratings).groupBy("uid")
+        init = initial_profiles(initial_ratings, scorer.n_recent).groupBy("uid")
     profiles = events.groupBy("uid").transformWithStateInPandas(
-        statefulProcessor=UserProfile(), outputStructType=PROFILE_SCHEMA, outputMode="Append",
-        timeMode="None", initialState=init)
-    w = profiles.writeStream.foreachBatch(scorer).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+        statefulProcessor=UserProfile(scorer.n_recent), outputStructType=PROFILE_SCHEMA,
+        outputMode="Append", timeMode="None", initialState=init)
+    bad_query = None
+    if mode == "quarantine":
+        def keep(batch: DataFrame, batch_id: int) -> None:
+            replace_by_key(batch, bad_path, batch_id)
+
+        bad_query = (bad.writeStream.foreachBatch(keep).trigger(**trigger)
+                     .option("checkpointLocation", checkpoint.rstrip("/") + "-bad").start())
+    scoring = (profiles.writeStream.foreachBatch(scorer).option("checkpointLocation", checkpoint)
+               .trigger(**trigger).start())
+    return RealtimeQueries(scoring, bad_query)

@@ -1,0 +1,59 @@
+import numpy as np
+
+from screenrank.llm import quality
+from screenrank.llm.catalogue import op4_quality
+from tests.conftest import SF_MID
+
+
+def test_held_out_accuracy(spark):
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet").select("doc_id", "quality")
+    out = op4_quality(spark, SF_MID)
+    assert out.count() == 1000
+    held = [r for r in out.join(labels, "doc_id").collect() if r.held_out]
+    assert len(held) > 50 and sum(r.predicted == r.quality for r in held) / len(held) > 0.93
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in held)
+
+
+def test_flat_traversal_equals_walking_each_tree():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 4))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    model = quality.fit_trees(x, y, trees=15, depth=3)
+    got = model.score(x, step=7)
+    for r in range(0, 400, 37):
+        total = model.base
+        for t in range(15):
+            node = 0
+            for _ in range(3):
+                node = 2 * node + 1 + int(x[r, model.feature[t, node]] > model.cut[t, node])
+            total += model.leaf[t, node - 7]
+        assert abs(got[r] - 1 / (1 + np.exp(-total))) < 1e-12
+    assert ((got > 0.5) == y).mean() > 0.95
+
+
+def test_splits_are_the_best_of_all_bins():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 9, size=(200, 3)).astype(float)
+    y = (x[:, 2] > 4).astype(float)
+    model = quality.fit_trees(x, y, trees=1, depth=1)
+    assert model.feature[0, 0] == 2 and 4 <= model.cut[0, 0] < 5
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (3, "x " * 200_000, 0.5), (None, "plain text.", 0.5),
+                                  (4, "a\nb", 0.5), (4, "a\nb", 0.5)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1, None), (None, 1, 0), (2, None, 0), (4, 0, 0), (4, 1, 0), (9, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    out = docs.withColumn("s", quality.scorer(quality.train(docs, labels))("text")).collect()
+    assert len(out) == 6 and all(0 <= r.s <= 1 for r in out)
+    assert out[0].s == out[1].s and out[4].s == out[5].s
+    none = quality.train(docs, labels.limit(0))
+    assert {r.s for r in docs.withColumn("s", quality.scorer(none)("text")).collect()} == {0.5}
+    assert quality.good_documents(docs, labels).columns == docs.columns
+    assert quality.good_documents(docs.limit(0), labels).count() == 0
+
+
+def test_statistics_have_a_value_per_feature():
+    for text in (None, "", "Ä", "one\ntwo two", "\ud800"):
+        v = quality.statistics(text)
+        assert len(v) == len(quality.FEATURES) and np.isfinite(v).all()

@@ -18,7 +18,11 @@ SPARK_T = {"int": "int32", "bigint": "int64", "double": "float64", "string": "st
 DUCK_T = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "str"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# 16 fits up to rank 300: run by the driver and the bench, too long here
+SLOW = {"als_grid"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(ORACLES[name])
@@ -40,9 +44,8 @@ def test_entry_smoke(spark):
     assert [f.name for f in df.schema.fields] == ["genres", "mid", "score", "rank"]
 
 
-def test_every_query_has_oracle_or_is_training():
-    rows_only = set(E.QUERIES) - set(ORACLES)
-    assert rows_only == {"als_user_recs", "als_item_similar", "als_grid"}
+def test_every_query_has_an_oracle():
+    assert set(E.QUERIES) == set(ORACLES)
 
 
 def test_entry_schema_is_stable(spark):

@@ -1,97 +1,139 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from screenrank.operators.content import content_similar
 from screenrank.operators.topk import unnest_recs
 from screenrank.session import scratch_path
+from screenrank.sinks.tables import read_versions
 from screenrank.sources import fixtures as fx
 from screenrank.sources.text import render_rating_messages
-from screenrank.streaming.recommender import (RealtimeRecommender, current_recs, score_events,
-                                              start_realtime)
+from screenrank.streaming.recommender import current_recs, score_events
+from screenrank.streaming.stateful import ProfileScorer, start_stateful
 from tests.conftest import SF_SMALL
 
+ONCE = {"availableNow": True}
 
-def test_stream_equals_batch_twin_and_restart_is_idempotent(spark):
-    root = scratch_path(spark, "stream-test")
-    ev = fx.event_ratings(spark, SF_SMALL).drop("event_id")
-    sim_path = os.path.join(root, "sim")
-    content_similar(fx.part_movies(spark, SF_SMALL)).write.parquet(sim_path)
-    h = RealtimeRecommender(sim_path, os.path.join(root, "hist"), os.path.join(root, "out"))
-    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
-    lo, hi = ev.agg(F.min("timestamp"), F.max("timestamp")).first()
-    mid_t = (lo + hi) // 2
-    for part in (ev.filter(F.col("timestamp") <= mid_t), ev.filter(F.col("timestamp") > mid_t)):
-        render_rating_messages(part).write.mode("append").text(src)
-        start_realtime(spark, src, h, ckpt, trigger={"availableNow": True}).awaitTermination()
-    # bad messages are quarantined, not fatal
-    spark.createDataFrame([("not|a|rating",)], "value string").write.mode("append").text(src)
-    start_realtime(spark, src, h, ckpt, trigger={"availableNow": True}).awaitTermination()
-    first = sorted(tuple(r) for r in unnest_recs(current_recs(spark, h.out_path), "uid").collect())
-    # restart with nothing new: no new batch, same table
-    start_realtime(spark, src, h, ckpt, trigger={"availableNow": True}).awaitTermination()
-    again = sorted(tuple(r) for r in unnest_recs(current_recs(spark, h.out_path), "uid").collect())
-    assert first == again
-    batch = score_events(ev, ev, spark.read.parquet(sim_path))
-    twin = sorted(tuple(r) for r in unnest_recs(batch, "uid").collect())
-    assert first == twin and len(first) > 0
-    users_stream = {r.uid for r in current_recs(spark, h.out_path).collect()}
-    assert users_stream == {r.uid for r in ev.select("uid").distinct().collect()}
-
-
-def test_bucketed_history_same_result_and_pruned_scan(spark):
-    root = scratch_path(spark, "stream-bucketed")
-    ev = fx.event_ratings(spark, SF_SMALL).drop("event_id")
-    sim_path = os.path.join(root, "sim")
-    content_similar(fx.part_movies(spark, SF_SMALL)).write.parquet(sim_path)
-    h = RealtimeRecommender(sim_path, os.path.join(root, "hist"), os.path.join(root, "out"),
-                            history_buckets=8, compact_every=1)
-    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
-    lo, hi = ev.agg(F.min("timestamp"), F.max("timestamp")).first()
-    mid_t = (lo + hi) // 2
-    for part in (ev.filter(F.col("timestamp") <= mid_t), ev.filter(F.col("timestamp") > mid_t)):
-        render_rating_messages(part).write.mode("append").text(src)
-        start_realtime(spark, src, h, ckpt, trigger={"availableNow": True}).awaitTermination()
-    got = sorted(tuple(r) for r in unnest_recs(current_recs(spark, h.out_path), "uid").collect())
-    twin = sorted(tuple(r) for r in unnest_recs(
-        score_events(ev, ev, spark.read.parquet(sim_path)), "uid").collect())
-    assert got == twin
-    # one user's batch against the bucketed log: only its bucket is read
-    hist = h._history(spark, 1)
-    one = ev.filter(F.col("uid") == ev.first().uid).limit(1)
-    plan = score_events(one, hist, spark.read.parquet(sim_path), n_users=1,
-                        history_buckets=8)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
-
-
-def test_stateful_stream_equals_batch_twin_with_and_without_initial_state(spark):
-    from screenrank.streaming.stateful import ProfileScorer, start_stateful
 
-    root = scratch_path(spark, "stateful")
+@pytest.fixture(scope="module")
+def inputs(spark):
+    """(events, first half, second half, similarity path)"""
+    root = scratch_path(spark, "stream-inputs")
     ev = fx.event_ratings(spark, SF_SMALL).drop("event_id")
     sim_path = os.path.join(root, "sim")
     content_similar(fx.part_movies(spark, SF_SMALL)).write.parquet(sim_path)
     lo, hi = ev.agg(F.min("timestamp"), F.max("timestamp")).first()
     mid_t = (lo + hi) // 2
-    first, second = ev.filter(F.col("timestamp") <= mid_t), ev.filter(F.col("timestamp") > mid_t)
-    sim = spark.read.parquet(sim_path)
+    return ev, ev.filter(F.col("timestamp") <= mid_t), ev.filter(F.col("timestamp") > mid_t), sim_path
+
+
+def rows(df):
+    return sorted(tuple(r) for r in unnest_recs(df, "uid").collect())
+
 
-    sc = ProfileScorer(sim_path, os.path.join(root, "outA"))
-    src = os.path.join(root, "inA")
+def test_stream_equals_batch_twin_and_restart_is_idempotent(spark, inputs):
+    ev, first, second, sim_path = inputs
+    root = scratch_path(spark, "stateful")
+    sc = ProfileScorer(sim_path, os.path.join(root, "out"))
+    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ck")
     for part in (first, second):
         render_rating_messages(part).write.mode("append").text(src)
-        start_stateful(spark, src, sc, os.path.join(root, "ckA"),
-                       trigger={"availableNow": True}).awaitTermination()
-    got = sorted(tuple(r) for r in unnest_recs(current_recs(spark, sc.out_path), "uid").collect())
-    assert got == sorted(tuple(r) for r in unnest_recs(score_events(ev, ev, sim), "uid").collect())
-
-    # the first half bootstraps the state (the Rating table); only the second streams
-    sc2 = ProfileScorer(sim_path, os.path.join(root, "outB"))
-    src2 = os.path.join(root, "inB")
-    render_rating_messages(second).write.mode("append").text(src2)
-    start_stateful(spark, src2, sc2, os.path.join(root, "ckB"), initial_ratings=first,
-                   trigger={"availableNow": True}).awaitTermination()
-    got2 = sorted(tuple(r) for r in unnest_recs(current_recs(spark, sc2.out_path), "uid").collect())
-    assert got2 == sorted(tuple(r) for r in unnest_recs(score_events(second, ev, sim), "uid").collect())
+        start_stateful(spark, src, sc, ckpt, trigger=ONCE).awaitTermination()
+    got = rows(current_recs(spark, sc.out_path))
+    assert got == rows(score_events(ev, ev, spark.read.parquet(sim_path))) and got
+    start_stateful(spark, src, sc, ckpt, trigger=ONCE).awaitTermination()  # nothing new: no new batch
+    assert rows(current_recs(spark, sc.out_path)) == got
+    assert {r.uid for r in current_recs(spark, sc.out_path).collect()} == \
+        {r.uid for r in ev.select("uid").distinct().collect()}
+    sc.close()
+
+
+def test_bootstrap_in_small_chunks_keeps_the_whole_history(spark, inputs):
+    """The seed rows of a user reach the state in several Arrow batches."""
+    ev, first, second, sim_path = inputs
+    root = scratch_path(spark, "bootstrap")
+    sc = ProfileScorer(sim_path, os.path.join(root, "out"))
+    src = os.path.join(root, "in")
+    render_rating_messages(second).write.mode("append").text(src)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        start_stateful(spark, src, sc, os.path.join(root, "ck"), initial_ratings=first,
+                       trigger=ONCE).awaitTermination()
+        profiles = spark.read.parquet(os.path.join(sc.out_path, "_profiles"))
+        seen = {r.uid: r.n for r in profiles.groupBy("uid").agg(F.sum(F.size("seen")).alias("n")).collect()}
+        recent = {r.uid: r.n for r in profiles.groupBy("uid").agg(F.sum(F.size("recent")).alias("n")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {r.uid: (r.items, r.n) for r in ev.join(second.select("uid").distinct(), "uid").groupBy("uid").agg(
+        F.count_distinct("mid").alias("items"), F.count("*").alias("n")).collect()}
+    assert seen == {u: items for u, (items, _) in want.items()}
+    assert recent == {u: min(20, n) for u, (_, n) in want.items()}
+    assert any(items > 10 for items, _ in want.values())
+    assert rows(current_recs(spark, sc.out_path)) == rows(score_events(second, ev, spark.read.parquet(sim_path)))
+    sc.close()
+
+
+def test_a_very_long_history_is_kept_and_emitted_in_parts(spark, monkeypatch):
+    from screenrank.streaming import stateful
+
+    monkeypatch.setattr(stateful, "SEEN_PER_ROW", 4000)
+    n = 12_000
+    ratings = spark.range(n).selectExpr("1L AS uid", "id AS mid", "4.0D AS score", "1000 + id AS timestamp")
+    sim = spark.createDataFrame([(n + 1, 5, 0.95), (n + 1, n + 7, 0.9), (n + 7, n + 1, 0.9)],
+                                "mid long, sim_mid long, score double")
+    root = scratch_path(spark, "long-history")
+    sim.write.parquet(os.path.join(root, "sim"))
+    sc = ProfileScorer(os.path.join(root, "sim"), os.path.join(root, "out"))
+    src = os.path.join(root, "in")
+    spark.createDataFrame([(f"1|{n + 1}|5.0|99999",)], "value string").write.text(src)
+    start_stateful(spark, src, sc, os.path.join(root, "ck"), initial_ratings=ratings,
+                   trigger=ONCE).awaitTermination()
+    profiles = spark.read.parquet(os.path.join(sc.out_path, "_profiles")).collect()
+    assert len(profiles) == 4 and sum(len(r.seen) for r in profiles) == n + 1
+    assert len({m for r in profiles for m in r.seen}) == n + 1
+    first = [r for r in profiles if r.mid is not None]
+    assert len(first) == 1 and [x.mid for x in first[0].recent] == [n + 1] + list(range(n - 1, n - 20, -1))
+    # item 5 is already rated, so only n + 7 is recommended
+    assert [(r.mid, r.score) for r in unnest_recs(current_recs(spark, sc.out_path), "uid").collect()] == [(n + 7, 4.5)]
+    sc.close()
+
+
+def test_bad_messages_fail_or_go_to_their_table(spark, inputs):
+    _, first, _, sim_path = inputs
+    root = scratch_path(spark, "bad")
+    src = os.path.join(root, "in")
+    render_rating_messages(first.limit(20)).write.text(src)
+    spark.createDataFrame([("not|a|rating",), (" 1|2|3.0|4",)], "value string").write.mode("append").text(src)
+    sc = ProfileScorer(sim_path, os.path.join(root, "out"))
+    with pytest.raises(Exception, match="bad rating line"):
+        start_stateful(spark, src, sc, os.path.join(root, "ck"), trigger=ONCE).awaitTermination()
+    with pytest.raises(ValueError, match="bad_path"):
+        start_stateful(spark, src, sc, os.path.join(root, "ck1"), trigger=ONCE, mode="quarantine")
+    bad = os.path.join(root, "badtable")
+    start_stateful(spark, src, sc, os.path.join(root, "ck2"), trigger=ONCE, mode="quarantine",
+                   bad_path=bad).awaitTermination()
+    assert sorted((r.value, r.reason, r.batch_id) for r in read_versions(spark, bad).collect()) == [
+        (" 1|2|3.0|4", "uid is not an integer", 0), ("not|a|rating", "fewer than 4 fields", 0)]
+    assert current_recs(spark, sc.out_path).count() == first.limit(20).select("uid").distinct().count()
+    sc.close()
+
+
+def test_source_options_compaction_and_removal_of_old_versions(spark, inputs):
+    ev, _, _, sim_path = inputs
+    root = scratch_path(spark, "options")
+    src = os.path.join(root, "in")
+    lo, hi = ev.agg(F.min("timestamp"), F.max("timestamp")).first()
+    for i in range(6):
+        a, b = lo + (hi - lo + 1) * i // 6, lo + (hi - lo + 1) * (i + 1) // 6
+        part = ev.filter((F.col("timestamp") >= a) & (F.col("timestamp") < b))
+        render_rating_messages(part).coalesce(1).write.mode("append").text(src)
+    sc = ProfileScorer(sim_path, os.path.join(root, "out"), compact_every=2)
+    start_stateful(spark, src, sc, os.path.join(root, "ck"), trigger=ONCE,
+                   source_options={"maxFilesPerTrigger": "1"}).awaitTermination()
+    names = sorted(os.listdir(sc.out_path))
+    assert not {"batch_id=0", "batch_id=1", "batch_id=2", "batch_id=3"} & set(names)
+    assert {"batch_id=4", "batch_id=5", "_profiles", "_snapshots"} <= set(names)
+    assert sorted(os.listdir(os.path.join(sc.out_path, "_snapshots"))) == ["upto=3", "upto=5"]
+    assert rows(current_recs(spark, sc.out_path)) == rows(score_events(ev, ev, spark.read.parquet(sim_path)))
     sc.close()
-    sc2.close()

@@ -30,7 +30,7 @@ def test_jobs_end_to_end(spark):
     src, tables = os.path.join(root, "src"), os.path.join(root, "tables")
     write_inputs(src)
     jobs.load_job(spark, os.path.join(src, "movies.csv"), os.path.join(src, "ratings.csv"),
-                  os.path.join(src, "tags.csv"), tables, rating_user_buckets=4)
+                  os.path.join(src, "tags.csv"), tables)
     docs = {r.mid: r.tags for r in spark.read.json(os.path.join(tables, jobs.SEARCH_DOCS_T)).collect()}
     assert docs[1] == "funny" and docs[2] == "dark" and docs[3] is None
 
@@ -62,16 +62,23 @@ def test_jobs_end_to_end(spark):
         f.write("1|1|5.0|1500000000\n2|3|4.0|1500000001\n")
     q = jobs.realtime_job(spark, tables, stream_src, os.path.join(root, "ckpt"),
                           sim_table=jobs.CONTENT_RECS_T, trigger={"availableNow": True},
-                          stateful=False, history_buckets=4)
+                          source_options={"maxFilesPerTrigger": "1"})
     q.awaitTermination()
     from screenrank.streaming.recommender import current_recs
-    users = {r.uid for r in current_recs(spark, os.path.join(tables, jobs.STREAM_RECS_T)).collect()}
-    assert users == {1, 2}
-    # the default (stateful) job on the same tables, its own checkpoint and output
-    stateful_recs = jobs.STREAM_RECS_T + "_stateful"
-    q = jobs.realtime_job(spark, tables, stream_src, os.path.join(root, "ckpt2"),
-                          sim_table=jobs.CONTENT_RECS_T, trigger={"availableNow": True},
-                          out_table=stateful_recs)
-    q.awaitTermination()
-    recs = {r.uid: r.recs for r in current_recs(spark, os.path.join(tables, stateful_recs)).collect()}
+    recs = {r.uid: r.recs for r in current_recs(spark, os.path.join(tables, jobs.STREAM_RECS_T)).collect()}
     assert set(recs) == {1, 2}
+
+
+def test_quarantine_needs_a_folder_and_keeps_bad_lines(spark):
+    import pytest
+
+    root = scratch_path(spark, "jobs-bad")
+    src, tables = os.path.join(root, "src"), os.path.join(root, "tables")
+    write_inputs(src)
+    with open(os.path.join(src, "ratings.csv"), "a") as f:
+        f.write("x,1,2.0,3\n")
+    paths = [os.path.join(src, f"{n}.csv") for n in ("movies", "ratings", "tags")]
+    with pytest.raises(ValueError, match="quarantine_dir"):
+        jobs.load_job(spark, *paths, tables, mode="quarantine")
+    jobs.load_job(spark, *paths, tables, mode="quarantine", quarantine_dir=os.path.join(root, "bad"))
+    assert [r.value for r in spark.read.parquet(os.path.join(root, "bad", jobs.RATING_T)).collect()] == ["x,1,2.0,3"]

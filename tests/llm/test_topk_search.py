@@ -36,7 +36,7 @@ def test_equals_brute_force_with_ties_and_few_bins(spark, monkeypatch):
     monkeypatch.setattr(topk_search, "QUERY_ROWS", 3)
     rng = random.Random(4)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)], 0) for i in range(150)]
-    rows += [(i, [0.5, 0.25, 0, 0, 0, 1], 0) for i in range(150, 230)]  # a common vector
+    rows += [(i, [0.5, 0.25, 0.0, 0.0, 0.0, 1.0], 0) for i in range(150, 230)]  # a common vector
     assert run(spark, rows, 10, k=7, bins=16) == brute(rows, 7, 10)
 
 

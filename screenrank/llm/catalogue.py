@@ -15,6 +15,7 @@ from screenrank.llm.licenses import TEMPLATES, THRESHOLD, licensed
 from screenrank.llm.line_dedup import dedup_lines
 from screenrank.llm.mixing import mix, n_words
 from screenrank.llm.ngram_join import ngram_links
+from screenrank.llm.passage_dedup import dedup_passages
 from screenrank.llm.quality import FOLDS, GOOD_SCORE, HELD_OUT, fold, scorer, train
 from screenrank.llm.token_counts import TokenRollup, change
 from screenrank.llm.token_files import read_token_files, token_index, write_token_files
@@ -44,6 +45,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "lines", "removed", F.md5("text").alias("kept_md5"))
 
 
+def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 for runs of words that begin and end anywhere; the runs of
+    op3_line_dedup, as its SQL states them, are made of whole lines."""
+    return dedup_passages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "removed", F.md5("text").alias("kept_md5"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     score = scorer(train(docs, _table(spark, sf_dir, "labels")))
@@ -122,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language": op2_language,
     "op3_line_dedup": op3_line_dedup,
+    "passage_dedup": passage_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_ngram_join": op6_ngram_join,

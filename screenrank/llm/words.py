@@ -16,6 +16,8 @@ WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[:128] = [chr(c).isalnum() for c in range(128)]
+_IS_INK = np.ones(256, dtype=bool)
+_IS_INK[[ord(c) for c in " \t\n\x0b\x0c\r"]] = False
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _P_INV = pow(_P, -1, 2 ** 64)
 _U = np.uint64
@@ -51,17 +53,35 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """One 64-bit hash per word, in text order."""
-    if not text:
-        return np.empty(0, dtype=_U)
-    raw = np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
+    return _runs(text.lower(), _IS_WORD)[2] if text else np.empty(0, dtype=_U)
+
+
+def blank_words(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) per run of characters other than blanks, as it stands;
+    places are counted in bytes of UTF-8."""
+    return _runs(text or "", _IS_INK)
+
+
+def rolling(items: np.ndarray, size, base: int = _P, start: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of ``size`` (a number, or one per start) items from each start on,
+    by default from every start that has so many."""
+    if start is None:
+        start = np.arange(max(len(items) - size + 1, 0))
+    total = np.zeros(len(items) + 1, dtype=_U)
+    np.cumsum(items * _powers(base, len(items)), out=total[1:])
+    return mix((total[start + size] - total[start]) * _powers(pow(base, -1, 2 ** 64), len(items) + 1)[start])
+
+
+def _runs(text: str, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
     word = np.zeros(len(raw) + 2, dtype=np.int8)
-    word[1:-1] = _IS_WORD[raw]
+    word[1:-1] = kind[raw]
     edge = np.diff(word)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     up, down = _Powers.upto(len(raw) + 1)
     total = np.zeros(len(raw) + 1, dtype=_U)
     np.cumsum((raw.astype(_U) + _U(1)) * up[:len(raw)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+    return start, end, mix((total[end] - total[start]) * down[start])
 
 
 def shingles(text: str | None, k: int = SHINGLE_WORDS) -> np.ndarray:

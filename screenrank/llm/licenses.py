@@ -1,17 +1,23 @@
 """License scans (operator 7): TF-IDF cosine to templates, then inheritance.
 
-Every line of a file (headers, licence files, anything between) is a sparse
-TF-IDF vector over its words, with 1 + ln(count) for the frequency; inverse document frequencies come from the
-templates, and words that no template has weigh as the rarest. A line whose
-cosine to a template reaches ``THRESHOLD`` states that template's licence; the
-file's own licence is the best such line's, ties to the first template and
-line. A file without one inherits from the nearest ancestor directory that
-holds a licence file with a licence of its own; of several licence files in a
-directory the first by path counts.
+Every line of a file is a sparse TF-IDF vector over its words, with 1 + ln(count)
+for the frequency, and so is every group of consecutive sentences (and parts of
+them between line borders) of about a template's length: a notice counts wrapped
+over lines or next to other sentences on its line. Inverse document frequencies
+come from ``TEMPLATES``, and words that no template has weigh as the rarest.
+The whole text of a licence file is compared with ``FULL_TEXTS`` as well. A group
+that has just the words of one of ``TITLES``, the headlines of licence texts,
+states that licence too, with a cosine of 1. The longer licences (Apache, GPL family, MPL, CC) aren't in
+``FULL_TEXTS``: their files are known by headline and the notices within.
+What reaches the cosine ``THRESHOLD`` to a template states that template's
+licence; the file's own licence is the best such statement's, ties to the first
+template and line. A file without one inherits from the nearest ancestor
+directory that holds a licence file with a licence of its own; of several
+licence files in a directory the first by path counts.
 
 Words of a template that together can't reach the threshold are left aside, the
-most ordinary ones first; lines with none of the others are skipped. That loses
-nothing, as such a line can't reach the threshold either.
+most ordinary ones first; groups with none of the others are skipped. That loses
+nothing, as such a group can't reach the threshold either.
 
 Inheritance is worked out per distinct directory: directories are joined with
 licence files on each of their ancestor paths, the deepest match wins, and
@@ -33,6 +39,7 @@ import re
 from collections import Counter
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,11 +74,71 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright. CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+# Headlines of licence texts.
+TITLES = [
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("GPL-3.0", "GNU General Public License Version 3"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
+    ("Unlicense", "The Unlicense"),
+]
+_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+          "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+          "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+          "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+          "DEALINGS IN THE SOFTWARE.")
+# Whole texts of short licences.
+FULL_TEXTS = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+            "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. " + _AS_IS),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+                     "in binary form must reproduce the above copyright notice, this list of conditions and the "
+                     "following disclaimer in the documentation and/or other materials provided with the distribution. "
+                     "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                     "endorse or promote products derived from this software without specific prior written permission. "
+                     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+                     "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+                     "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+                     "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+                     "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+                     "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+                     "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+                     "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that "
+                  "recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+                  "interest in the software to the public domain. We make this dedication for the benefit of the public "
+                  "at large and to the detriment of our heirs and successors. We intend this dedication to be an overt "
+                  "act of relinquishment in perpetuity of all present and future rights to this software under copyright "
+                  "law. " + _AS_IS + " For more information, please refer to http://unlicense.org/"),
+]
 # Ordinary words, which many lines have.
 ORDINARY = set("a all an and any are as be by can either file following for found free from has in into is it may not "
                "of on or other person possible project provided see that the this to use under v version with without "
                "work you 1 2 3 4 0".split())
 _WORD = re.compile(r"[a-z0-9]+")
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+GROUP_PARTS = 12  # sentences, or parts of them, in a group
 
 
 def words(line: str) -> list[str]:
@@ -81,22 +148,32 @@ def words(line: str) -> list[str]:
 class Templates:
     """TF-IDF vectors of the templates and the words that can decide a match."""
 
-    def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> None:
-        self.names = [name for name, _ in templates]
+    def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+                 titles: list[tuple[str, str]] = TITLES, full_texts: list[tuple[str, str]] = FULL_TEXTS) -> None:
+        self.names = [name for name, _ in templates + titles + full_texts]
         self.threshold = threshold
         counts = [Counter(words(text)) for _, text in templates]
         df = Counter(w for c in counts for w in c)
         n = len(templates)
         self.idf = {w: math.log((1 + n) / (1 + k)) + 1 for w, k in df.items()}
         self.rarest = math.log(1 + n) + 1
-        self.vectors = [self._unit(c) for c in counts]
+        self.notices = n
+        self.titles = {tuple(words(text)): n + i for i, (_, text) in enumerate(titles)}
+        vectors = ([(i, self._unit(c)) for i, c in enumerate(counts)]
+                   + [(n + len(titles) + i, self._unit(Counter(words(text)))) for i, (_, text) in enumerate(full_texts)])
+        self.group_words = 2 * max((len(words(text)) for _, text in templates + titles), default=0)
+        self.by_word: dict[str, list[tuple[int, float]]] = {}
         deciding = set()
-        for v in self.vectors:
+        for i, v in vectors:
             light = 0.0
             for w, x in sorted(v.items(), key=lambda p: (p[0] not in ORDINARY, p[1], p[0])):
+                self.by_word.setdefault(w, []).append((i, x))
                 light += x * x
-                if light >= threshold ** 2 - 1e-9:
+                if light >= threshold ** 2 - 1e-9 and i < self.notices:
                     deciding.add(w)
+        for title in self.titles:
+            if deciding.isdisjoint(title):
+                deciding.add(max(title, key=lambda w: (w not in ORDINARY, self.idf.get(w, self.rarest), w)))
         self.deciding = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(deciding)) + r")(?![a-z0-9])")
 
     def _unit(self, counts: Counter) -> dict[str, float]:
@@ -104,35 +181,65 @@ class Templates:
         norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
         return {w: x / norm for w, x in v.items()}
 
-    def match(self, line: str) -> tuple[float, int] | None:
-        """(cosine, template number) of the best template, if it reaches the threshold."""
-        v = self._unit(Counter(words(line)))
-        best = max(((sum(x * v.get(w, 0.0) for w, x in t.items()), -i) for i, t in enumerate(self.vectors)),
-                   default=(0.0, 0))
+    def match(self, counts: Counter, whole: bool = False) -> tuple[float, int] | None:
+        """(cosine, template number) of the best notice, or full text if
+        ``whole``, should it reach the threshold."""
+        sums: dict[int, float] = {}
+        for w, x in self._unit(counts).items():
+            for i, y in self.by_word.get(w, ()):
+                if (i >= self.notices) == whole:
+                    sums[i] = sums.get(i, 0.0) + x * y
+        best = max(((round(c, 9), -i) for i, c in sums.items()), default=(0.0, 0))
         return (best[0], -best[1]) if best[0] >= self.threshold - 1e-9 else None
 
-    def scan(self, text: str | None) -> tuple[str | None, int | None, float | None]:
-        """(licence, line number, cosine) of a whole text's best line."""
+    def scan(self, text: str | None, licence_file: bool = False) -> tuple[str | None, int | None, float | None]:
+        """(licence, line number, cosine) of a whole text's best statement."""
         low = (text or "").lower()
-        best, seen = None, -1
-        for hit in self.deciding.finditer(low):
-            if hit.start() < seen:
+        found = []  # (-cosine, template number, line number)
+
+        def compare(counts: Counter, line: int, whole: bool = False) -> None:
+            hit = self.match(counts, whole)
+            if hit:
+                found.append((-hit[0], hit[1], line))
+
+        if licence_file and low:
+            compare(Counter(words(low)), 0, whole=True)
+        parts, done = [], 0
+        if self.deciding.search(low):
+            lines = low.split("\n")
+            holds = [bool(self.deciding.search(x)) for x in lines]
+            near = np.convolve(holds, np.ones(2 * GROUP_PARTS + 1, dtype=int))[GROUP_PARTS:-GROUP_PARTS] > 0
+            for n in np.flatnonzero(near).tolist():
+                if holds[n]:
+                    compare(Counter(words(lines[n])), n)
+                for x in _SENTENCE_END.split(lines[n]):
+                    if w := words(x):
+                        if self.deciding.search(x):
+                            done = len(parts) + 1
+                        parts.append((n, w, done))  # done: parts up to the last that can decide
+        for i, (n, _, _) in enumerate(parts):
+            if parts[min(i + GROUP_PARTS, len(parts)) - 1][2] <= i:
                 continue
-            start, end = low.rfind("\n", 0, hit.start()) + 1, low.find("\n", hit.start())
-            seen = end if end >= 0 else len(low)
-            found = self.match(low[start:seen])
-            if found and (best is None or (-found[0], found[1]) < best[:2]):
-                best = (-found[0], found[1], start)
-        if best is None:
+            group: list[str] = []
+            for _, w, upto in parts[i:i + GROUP_PARTS]:
+                group += w
+                if len(group) > self.group_words:
+                    break
+                if upto > i:
+                    compare(Counter(group), n)
+                    if tuple(group) in self.titles:
+                        found.append((-1.0, self.titles[tuple(group)], n))
+        if not found:
             return None, None, None
-        return self.names[best[1]], low.count("\n", 0, best[2]), -best[0]
+        cosine, template, line = min(found)
+        return self.names[template], line, -cosine
 
 
-def scanner(templates: Templates) -> Callable[[str], Column]:
-    """Column function text -> struct(license, line, cosine)."""
+def scanner(templates: Templates) -> Callable[..., Column]:
+    """Column function text, is licence file -> struct(license, line, cosine)."""
     @F.pandas_udf("license string, line int, cosine double")
-    def scan(texts: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame([templates.scan(t) for t in texts], columns=["license", "line", "cosine"])
+    def scan(texts: pd.Series, flags: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame([templates.scan(t, f) for t, f in zip(texts, flags)], columns=["license", "line", "cosine"])
         return out.astype({"license": object, "line": "Int32", "cosine": "float64"})
 
     return scan
@@ -155,7 +262,7 @@ def licensed(files: DataFrame, templates: Templates | None = None) -> DataFrame:
     ("own", "inherited" or null)."""
     own = files.columns
     rows = saved(files.select(F.struct(*[F.col(f"`{c}`") for c in own if c != "text"]).alias("doc"),
-                              scanner(templates or Templates())("text").alias("found"))
+                              scanner(templates or Templates())("text", F.coalesce("is_licence_file", F.lit(False))).alias("found"))
                  .withColumn("dir", directory("doc.path")), "licence-files")
     grants = (rows.where("doc.is_licence_file AND found.license IS NOT NULL AND dir IS NOT NULL")
               .groupBy("dir").agg(F.min(F.struct("doc.path", "found.license")).alias("grant"))

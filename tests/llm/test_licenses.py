@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from screenrank.llm.licenses import TEMPLATES, THRESHOLD, Templates, ancestors, licensed, words
+from screenrank.llm.licenses import FULL_TEXTS, TEMPLATES, THRESHOLD, Templates, ancestors, licensed, words
 
 SCHEMA = "path string, text string, is_licence_file boolean, license int"
 
@@ -41,6 +41,38 @@ def test_best_line_of_a_whole_text_wins():
     assert Templates().scan(text)[:2] == ("MIT", 10_001)
 
 
+GPL_HEADER = """#!/usr/bin/env python
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+"""
+
+
+@pytest.mark.parametrize("text,name,line", [
+    ("// x\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\nint x;",
+     "BSD-3-Clause", 1),
+    (GPL_HEADER, "GPL-3.0", None),
+    ("Copyright (c) 2020 Jane Doe. Released under the MIT License.", "MIT", 0),
+    ("Licensed under CC BY-NC 4.0. The photographs belong to the museum and its friends.", "CC-BY-NC-4.0", 0),
+    ("MIT License", "MIT", 0),
+    ("  GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nPreamble and all the rest", "GPL-3.0", 0),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3", "GPL-3.0", 0),
+    ("The museum is open to the public. Its version of the story is free to modify.\nNo licence here.", None, None)])
+def test_notices_wrapped_or_next_to_other_sentences(text, name, line):
+    got = Templates().scan(text)
+    assert got[0] == name and (line is None or got[1] == line), got
+    assert all((brute_line(x)[0]) is None for x in text.split("\n"))  # no line alone reaches it
+
+
+def test_whole_text_of_a_licence_file():
+    name, text = FULL_TEXTS[0]
+    body = "Copyright 2020 Jane Doe\n" + text.replace(" ", "\n")  # one word a line: no group is long enough
+    assert Templates().scan(body)[0] is None and Templates().scan(body, True)[0] == name
+    assert [Templates().scan(t, True)[0] for _, t in FULL_TEXTS] == [n for n, _ in FULL_TEXTS]
+
+
 def test_inheritance_from_the_nearest_ancestor(spark):
     mit, gpl, none = "Released under the MIT License.", TEMPLATES[7][1], "nothing here"
     rows = [("LICENSE", gpl, True), ("a/LICENSE", mit, True), ("a/b/x.py", none, False), ("a/b/c/y.py", none, False),

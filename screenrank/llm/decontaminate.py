@@ -2,8 +2,9 @@
 
 Benchmark items and documents become sequences of five-word shingles. Every
 window of a document that is as long as some item and shares a shingle with an
-item of that length gets a 64-bit SimHash (each shingle weighs as often as it
-occurs). A multi-index over the items' fingerprints finds all items within
+item of that length gets a 64-bit SimHash. Repeats of a shingle are numbered
+first, so that each counts as a shingle of its own, and not with the square of
+their number in the distance. A multi-index over the items' fingerprints finds all items within
 ``radius`` bits: of ``blocks`` equal blocks at least one differs by at most
 ``radius // blocks`` bits, and the index holds each block value with all its
 neighbours at that distance. Candidates are verified by their exact weighted
@@ -51,6 +52,18 @@ def _shingled(df: DataFrame, *keep: str) -> DataFrame:
         *keep, F.when(F.size("w") >= k, grams).alias("sh"))
 
 
+def numbered(sh: str) -> Column:
+    """The shingle hashes of an array with the repeats of each one told apart
+    (in order of the hashes): multiset Jaccard becomes set Jaccard."""
+    ordered = F.array_sort(sh)
+
+    def tell(x: Column, i: Column) -> Column:
+        before = i + 1 - F.array_position(ordered, x)
+        return F.when(before > 0, F.xxhash64(x, before)).otherwise(x)
+
+    return F.when(F.size(F.array_distinct(sh)) == F.size(sh), F.col(sh)).otherwise(F.transform(ordered, tell))
+
+
 def _packed(k: int) -> Column:
     x = F.shiftright("h", _LANES * k)
     return F.sum(x.bitwiseAND(1) + F.shiftleft(x.bitwiseAND(2), _LANE_BITS - 1)
@@ -140,9 +153,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                .select("doc_id", "text_key", "sh", F.explode("starts").alias("s"))
                .select("doc_id", "text_key", "s.size", "s.start",
                        F.slice("sh", F.col("s.start") + 1, F.col("s.size")).alias("sh")))
-    marked = simhash(windows.select("doc_id", "text_key", "size", "start", F.explode("sh").alias("h")),
+    marked = simhash(windows.select("doc_id", "text_key", "size", "start", F.explode_outer(numbered("sh")).alias("h")),
                      "doc_id", "text_key", "size", "start")
-    prints = simhash(grams, "item_id", "form", "size")
+    prints = simhash(items.select("item_id", "form", "size", F.explode_outer(numbered("sh")).alias("h")),
+                     "item_id", "form", "size")
     index = saved(hamming_index(prints.withColumnRenamed("fp", "item_fp")
                                 .withColumn("fp", F.col("item_fp")), radius, blocks).drop("fp"),
                   "decon-index")

@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from screenrank.llm.decontaminate import (clean_documents, contaminated, hamming_index, neighbours, simhash,
+from screenrank.llm.decontaminate import (clean_documents, contaminated, hamming_index, neighbours, numbered, simhash,
                                           weighted_jaccard)
 from screenrank.llm.words import word_hashes
 
@@ -111,3 +111,31 @@ def test_no_python_in_the_plan(spark):
     d = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     plan = contaminated(d, d.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_changes_in_a_refrain_are_found(spark):
+    """One word changed in each of four refrains: similarity 0.8, and every such document is found."""
+    rng = random.Random(1)
+    items, docs = [], []
+    for k in range(150):
+        refrain = [f"r{rng.random()}".replace(".", "x") for _ in range(20)]
+        verses = [[f"v{rng.random()}".replace(".", "x") for _ in range(26)] for _ in range(4)]
+        changed = refrain[:10] + [f"c{k}"] + refrain[11:]
+        items.append((k, " ".join(w for v in verses for w in refrain + v)))
+        docs.append((k, " ".join(w for v in verses for w in changed + v)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    found = contaminated(d, i).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k, _ in items}
+    # SimHash by counts alone leaves some of them beyond the radius
+    prints = [simhash(df.select("k", F.explode(F.transform("sh", lambda x: F.xxhash64(x))).alias("h")), "k")
+              for df in (spark.createDataFrame([(k, [" ".join(map(str, g)) for g in grams(t)]) for k, t in rows],
+                                               "k long, sh array<string>") for rows in (items, docs))]
+    far = prints[0].join(prints[1].withColumnRenamed("fp", "o"), "k").where(
+        F.bit_count(F.col("fp").bitwiseXOR(F.col("o"))) > 22)
+    assert far.count()
+
+
+def test_numbered_tells_repeats_apart(spark):
+    row = spark.createDataFrame([([5, 3, 5, 5],), ([1, 2],)], "sh array<long>").select(numbered("sh").alias("n")).collect()
+    assert len(set(row[0].n)) == 4 and {3, 5} <= set(row[0].n) and row[1].n == [1, 2]

@@ -15,6 +15,7 @@ from screenrank.llm.licenses import TEMPLATES, THRESHOLD, licensed
 from screenrank.llm.line_dedup import dedup_lines
 from screenrank.llm.mixing import mix, n_words
 from screenrank.llm.ngram_join import ngram_links
+from screenrank.llm.packing import pack
 from screenrank.llm.passage_dedup import dedup_passages
 from screenrank.llm.quality import FOLDS, GOOD_SCORE, HELD_OUT, fold, scorer, train
 from screenrank.llm.token_counts import TokenRollup, change
@@ -120,10 +121,16 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-def tokenizer_path() -> str:
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -138,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_topk_search": op10_topk_search,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {

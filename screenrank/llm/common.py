@@ -12,7 +12,7 @@ from screenrank.session import scratch_path
 BROADCAST_ROWS = 1_000_000
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: what follows survives the loss of any executor without
@@ -20,7 +20,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,0 +1,155 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from screenrank.llm import packing
+from screenrank.llm.catalogue import op13_packing, tokenizer_path
+from tests.conftest import SF_SMALL
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def windows(counts, capacity):
+    """The plan carried out on every remainder: window -> its (at, length), and
+    per remainder the pieces it is cut into."""
+    rows, n = packing.plan(counts, capacity)
+    places, cuts = defaultdict(list), defaultdict(list)
+    for r, lo, hi, cut, length, first, each, base, at in rows:
+        for rank in range(lo, hi):
+            t = first + rank - lo
+            places[base + t // each].append((at + t % each * length, length))
+            cuts[r, rank].append((cut, length))
+    assert sorted(places) == list(range(n))
+    return places, cuts
+
+
+def tiles(parts, size):
+    at = 0
+    for start, length in sorted(parts):
+        assert start == at and length > 0
+        at += length
+    assert at == size
+
+
+@pytest.mark.parametrize("capacity,counts", [
+    (1024, {700: 1000, 1: 3}), (1024, {1023: 5, 513: 7, 512: 8, 3: 2}), (16, {9: 10, 8: 4, 3: 7, 1: 1}),
+    (1024, {x: 1 + x % 5 for x in range(1, 1024, 3)}), (64, {33: 1}), (8, {}), (1024, {1000: 1, 999: 100000}),
+])
+def test_plan_places_every_id_once_without_padding(capacity, counts):
+    places, cuts = windows(counts, capacity)
+    for x, c in counts.items():
+        for rank in range(c):
+            tiles(cuts[x, rank], x)
+    total = sum(x * c for x, c in counts.items())
+    sizes = []
+    for parts in places.values():
+        size = sum(n for _, n in parts)
+        tiles(parts, size)
+        sizes.append(size)
+    assert sizes[:total // capacity] == [capacity] * (total // capacity)
+    assert all(x & x - 1 == 0 for x in sizes[total // capacity:])
+
+
+def test_closest_is_the_best_multiset_and_few_remainders_are_cut():
+    rng = random.Random(3)
+    for _ in range(200):
+        counts = {rng.randint(1, 30): rng.randint(1, 3) for _ in range(rng.randint(1, 6))}
+        capacity = rng.randint(1, 60)
+        got = packing.closest(counts, capacity)
+        fits = [x for x in counts if x <= capacity]
+        assert all(k <= counts[x] for x, k in got.items()) and (got or not fits)
+        items = [x for x, c in counts.items() for _ in range(c)]
+        if fits:
+            items.remove(max(fits))
+            sums = {max(fits)}
+            for x in items:
+                sums |= {s + x for s in sums if s + x <= capacity}
+            assert sum(x * k for x, k in got.items()) == max(sums)
+    lengths = [min(1023, 1 + int(rng.lognormvariate(5.5, 1))) for _ in range(30_000)]
+    _, cuts = windows(Counter(lengths), 1024)
+    assert sum(len(x) > 1 for x in cuts.values()) <= 0.05 * len(cuts)
+
+
+def check(got, library, rows, capacity=1024):
+    """Brute force: every document's ids by the library, each in exactly one piece."""
+    ids = defaultdict(list)
+    for i, t in rows:
+        ids[i].append(library.encode(t or "", add_special_tokens=False).ids + [0])
+    docs, places = defaultdict(list), defaultdict(list)
+    for x in got:
+        docs[x.doc_id].append((x.start, x.length))
+        places[x.sequence_id].append((x.offset, x.length))
+    for i, whole in ids.items():
+        if len(whole) == 1:
+            tiles(docs[i], len(whole[0]))
+    want = {(i, len(w), s, n): {crc(w[s:s + n]) for w in ids[i] if len(w) >= s + n}
+            for i, whole in ids.items() for w in whole for s, n in docs[i]}
+    assert all(x.ids_crc32 in want[x.doc_id, x.doc_tokens, x.start, x.length] for x in got)
+    total = sum(len(w) for whole in ids.values() for w in whole)
+    assert sum(x.length for x in got) == total
+    sizes = [sum(n for _, n in p) for p in places.values()]
+    for p, size in zip(places.values(), sizes):
+        tiles(p, size)
+    assert max(sizes, default=0) <= capacity
+    assert sum(x != capacity for x in sizes) <= capacity.bit_length()
+    assert all(x & x - 1 == 0 for x in sizes)
+
+
+def test_whole_table_equals_the_library(spark, library):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    got = op13_packing(spark, SF_SMALL).collect()
+    assert len({x.doc_id for x in got}) == len(rows)
+    check(got, library, rows)
+
+
+ODD = ["", None, " \n\t ", "Hello, WORLD!! don't I'LL", "naïve ÜBER straße Ÿ", "a\x1cb \x1c", "é word́ x́y", "a  b", "a \n b\n\nc",
+       "İstanbul ΑΣ. ΣΑΣ ſ", "日本語 １２３ a1b2", "🙂👍🏽 _a_ __", "a b c\r\nd\x85e", "<| x |> a<b>c", "'s 't ''' ..", "x <|endoftext|> y",
+       " lead", "tail ", "\nlead", "tail\n", "it's he'll\nwe'd 'S O'Neil's rock'n'roll", "µ ª º ÷×", "a b 　c", "word'\n'tis"]
+
+
+def odd_rows():
+    return ([(i, t, "x") for i, t in enumerate(ODD)] + [(500, "long word " * 40_000, "x"), (None, "no id", "x"),
+            (3000, "b", "x"), (3000, "a", "x"), (3000, "b", "x")] + [(4000 + i, "same text " * 30, "x") for i in range(40)])
+
+
+def test_odd_texts_null_and_repeated_ids(spark, library):
+    rows = odd_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    pieces = packing.pack(df.repartition(5), PATH).cache()
+    got = pieces.selectExpr("doc_id", "start", "octet_length(ids) div 4 AS length", "crc32(ids) AS ids_crc32",
+                            "doc_tokens", "sequence_id", "offset").collect()
+    check(got, library, [(i, t) for i, t, _ in rows])
+    whole = packing.sequences(pieces).collect()
+    assert sorted(x.sequence_id for x in whole) == sorted({x.sequence_id for x in got})
+    assert sum(len(x.ids) for x in whole) == 4 * sum(x.length for x in got)
+    at = {(x.sequence_id, x.offset): x for x in got}
+    for x in whole:
+        for a, b in zip(x.starts, [*x.starts[1:], len(x.ids) // 4]):
+            assert zlib.crc32(x.ids[4 * a:4 * b]) == at[x.sequence_id, a].ids_crc32
+
+
+def test_parts_give_the_ids_of_the_whole(library):
+    encoder = packing._encoder(PATH)
+    assert encoder.apart
+    for t in ODD:
+        want = library.encode(t or "", add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(t), dtype="<u4").tolist() == want, t
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.pack(empty, PATH).count() == 0

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from screenrank.llm import language, oracles
 from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.common import saved
+from screenrank.llm.lexical_search import ranked_search
 from screenrank.llm.licenses import TEMPLATES, THRESHOLD, licensed
 from screenrank.llm.line_dedup import dedup_lines
 from screenrank.llm.mixing import mix, n_words
@@ -121,6 +122,10 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
@@ -145,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_topk_search": op10_topk_search,
+    "op12_lexical_search": op12_lexical_search,
     "op13_packing": op13_packing,
 }
 
@@ -155,4 +161,5 @@ ORACLES: dict[str, str] = {
     "op7_licenses": oracles.license_scan(TEMPLATES, THRESHOLD, LICENCE_FILE_WORDS),
     "op8_token_counts": oracles.TOKEN_COUNTS,
     "op10_topk_search": oracles.TOPK_SEARCH,
+    "op12_lexical_search": oracles.LEXICAL_SEARCH,
 }

@@ -98,6 +98,28 @@ SELECT source, lang, 'letters-1', count(*), CAST(sum(letters) AS BIGINT) FROM c
 """
 
 
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, unnest(list_distinct({_TERMS})) AS t FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) u
+      WHERE t IN (SELECT t FROM i) GROUP BY r, t),
+g AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+      FROM p, c GROUP BY t, n_docs),
+x AS (SELECT r, doc_id, 100 - 50 + ((50 * len(w) * n_docs) // n_terms) AS m FROM d, c WHERE len(w) > 0),
+a AS (SELECT p.r, p.t, weight * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS adds
+      FROM p JOIN g USING (t) JOIN x USING (r)),
+s AS (SELECT q, item_id, r, CAST(sum(adds) AS BIGINT) AS score FROM i JOIN a USING (t) GROUP BY q, item_id, r),
+k AS (SELECT q, item_id, doc_id, score, CAST(row_number() OVER (
+        PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM s JOIN x USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
+
 def license_scan(templates: list[tuple[str, str]], threshold: float, small_words: int) -> str:
     rows = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')"
                      for i, (name, text) in enumerate(templates))

@@ -18,7 +18,7 @@ def test_query_matches_oracle(spark, name):
 
 def test_entry_has_one_query_per_operator():
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 

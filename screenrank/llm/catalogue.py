@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from screenrank.llm import language, oracles
 from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.common import saved
+from screenrank.llm.hard_negatives import hard_negatives
 from screenrank.llm.lexical_search import ranked_search
 from screenrank.llm.licenses import TEMPLATES, THRESHOLD, licensed
 from screenrank.llm.line_dedup import dedup_lines
@@ -122,6 +123,11 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -150,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_topk_search": op10_topk_search,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_lexical_search": op12_lexical_search,
     "op13_packing": op13_packing,
 }
@@ -161,5 +168,6 @@ ORACLES: dict[str, str] = {
     "op7_licenses": oracles.license_scan(TEMPLATES, THRESHOLD, LICENCE_FILE_WORDS),
     "op8_token_counts": oracles.TOKEN_COUNTS,
     "op10_topk_search": oracles.TOPK_SEARCH,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
     "op12_lexical_search": oracles.LEXICAL_SEARCH,
 }

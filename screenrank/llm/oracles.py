@@ -98,6 +98,24 @@ SELECT source, lang, 'letters-1', count(*), CAST(sum(letters) AS BIGINT) FROM c
 """
 
 
+HARD_NEGATIVES = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, a.label = c.label AS same, c.r, c.vec_id,
+             CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.r <> c.r AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, r AS positive, vec_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) AS k FROM s WHERE same),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY a, positive ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank
+      FROM p JOIN s USING (a)
+      WHERE k <= 5 AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 _TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 

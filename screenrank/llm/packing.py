@@ -27,6 +27,7 @@ pieces; other columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import re
+import struct
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ from screenrank.session import ship_by_value
 CAPACITY = 1024
 END_ID = 0
 #: Parts of text whose ids a worker keeps; it starts anew beyond that.
-CACHE_PARTS = 400_000
+CACHE_PARTS = 1_000_000
 #: Texts of one batch that leaves a task.
 SLICE_TEXTS = 256
 
@@ -49,10 +50,13 @@ PLAN = "r int, spans array<struct<lo: long, hi: long, cut: int, length: int, fir
 
 # ------------------------------------------------------------------ encoding
 
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-#: White space at which byte-level rules look at more than the next character,
-#: other white space than blank and line feed, and the marks of special tokens.
-_SPECIAL = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]|[ \n](?=[ \n])|\A[ \n]|[ \n]\Z|<\|")
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: White space other than blank and line feed, and what some take for it.
+_WIDE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+#: Byte-level rules look at more than the next character here; and the first
+#: mark of special tokens.
+_NEAR = ("  ", "\n\n", " \n", "\n ", "<|")
 _PROBE = "Hello, wörld's end.\n'tis \"so\" (a) x1y2 9,5 naïve!? it's\nDon't."
 
 
@@ -71,32 +75,22 @@ class _Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model  # each access to the library's makes a new one
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in (0x20, *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100))]
         self.spelled = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in letters})
-        self.words: dict[str, bytes] = {}
         self.heads, self.tails = _Parts(self, ""), _Parts(self, " ")
+        self.marks = _Marks(self)
         self.feed = self.whole("\n")
         self.apart = self._by_parts(_PROBE) == self.whole(_PROBE)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def part(self, text: str) -> bytes:
-        found = _WORD.fullmatch(text, 1 if text[:1] == " " else 0)
-        if found is None:
-            return self.whole(text)
-        cut = found.end(1)
-        word, tail = text[:cut], text[cut:]
-        ids = self.words.get(word)
-        if ids is None:
-            tokens = self.library.model.tokenize(word.translate(self.spelled))
-            ids = self.words[word] = np.array([t.id for t in tokens], dtype="<u4").tobytes()
-        if tail:
-            if tail not in self.words:
-                self.words[tail] = self.whole(tail)
-            ids += self.words[tail]
-        return ids
+    def word(self, text: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(text.translate(self.spelled))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _by_parts(self, text: str) -> bytes:
         heads, tails, out = self.heads, self.tails, []
@@ -105,24 +99,47 @@ class _Encoder:
             out.append(b"".join([heads[first], *map(tails.__getitem__, rest)]))
         return self.feed.join(out)
 
+    def _simple(self, text: str) -> bool:
+        return (text[0] not in " \n" and text[-1] not in " \n" and not any(x in text for x in _NEAR)
+                and (text.replace("\n", "").isprintable() or not _WIDE.search(text)))
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.apart or _SPECIAL.search(text):
+        if not self.apart or not self._simple(text):
             return self.whole(text)
-        for cache in (self.heads, self.tails, self.words):
+        for cache in (self.heads, self.tails, self.marks):
             if len(cache) > CACHE_PARTS:
                 cache.clear()
         return self._by_parts(text)
 
 
 class _Parts(dict):
+    """Part -> its ids behind ``before`` (nothing or a blank), filled on demand."""
+
     def __init__(self, encoder: _Encoder, before: str) -> None:
         super().__init__()
         self.encoder, self.before = encoder, before
 
     def __missing__(self, text: str) -> bytes:
-        self[text] = ids = self.encoder.part(self.before + text)
+        word = text.rstrip(_PUNCTUATION)
+        if not (word.isascii() and word.isalpha() or _LATIN.fullmatch(word)):
+            ids = self.encoder.whole(self.before + text)
+        elif len(word) < len(text):
+            ids = self[word] + self.encoder.marks[text[len(word):]]
+        else:
+            ids = self.encoder.word(self.before + word)
+        self[text] = ids
+        return ids
+
+
+class _Marks(dict):
+    def __init__(self, encoder: _Encoder) -> None:
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, text: str) -> bytes:
+        self[text] = ids = self.encoder.whole(text)
         return ids
 
 

@@ -13,7 +13,7 @@ from screenrank.llm.decontaminate import contaminated
 from screenrank.llm.common import saved
 from screenrank.llm.hard_negatives import hard_negatives
 from screenrank.llm.lexical_search import ranked_search
-from screenrank.llm.licenses import TEMPLATES, THRESHOLD, licensed
+from screenrank.llm.licenses import licensed
 from screenrank.llm.line_dedup import dedup_lines
 from screenrank.llm.mixing import mix, n_words
 from screenrank.llm.ngram_join import ngram_links
@@ -72,20 +72,16 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_links(_table(spark, sf_dir, "documents"))
 
 
-#: Documents of at most so many words are taken as licence files if they state one.
-LICENCE_FILE_WORDS = 60
-
-
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files source/lang/thousand/doc_id; short ones lie in
-    source/lang and are the licence files."""
+    """Documents as files: source/lang/doc_id if doc_id ends in 0, the others
+    one directory deeper, by the thousand of their doc_id. What is nothing but
+    a notice or licence text is a licence file."""
     docs = _table(spark, sf_dir, "documents")
-    small = n_words() <= LICENCE_FILE_WORDS
     top = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")))
     name = F.col("doc_id").cast("string")
-    path = F.when(small, F.concat_ws("/", top, name)).otherwise(
+    path = F.when(F.col("doc_id") % 10 == 0, F.concat_ws("/", top, name)).otherwise(
         F.concat_ws("/", top, F.floor(F.col("doc_id") / 1000).cast("string"), name))
-    return (licensed(docs.select("doc_id", "text", path.alias("path"), small.alias("is_licence_file")))
+    return (licensed(docs.select("doc_id", "text", path.alias("path"), F.lit(None).cast("boolean").alias("is_licence_file")))
             .select("doc_id", "license", "via"))
 
 
@@ -165,7 +161,7 @@ ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op6_ngram_join": oracles.NGRAM_JOIN,
-    "op7_licenses": oracles.license_scan(TEMPLATES, THRESHOLD, LICENCE_FILE_WORDS),
+    "op7_licenses": oracles.license_scan(),
     "op8_token_counts": oracles.TOKEN_COUNTS,
     "op10_topk_search": oracles.TOPK_SEARCH,
     "op11_hard_negatives": oracles.HARD_NEGATIVES,

@@ -138,33 +138,67 @@ SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
 """
 
 
-def license_scan(templates: list[tuple[str, str]], threshold: float, small_words: int) -> str:
-    rows = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')"
-                     for i, (name, text) in enumerate(templates))
+def license_scan() -> str:
+    """Single lines, SPDX lines and whole texts; groups of sentences are tested by brute force."""
+    from screenrank.llm import licenses as L
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def values(rows) -> str:
+        return ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else quoted(x) for x in r) + ")" for r in rows)
+
+    n = len(L.TEMPLATES)
+    texts = [(i, name, L.family(name), text) for i, (name, text) in enumerate(L.TEMPLATES)]
+    texts += [(n + len(L.TITLES) + i, name, "whole", text) for i, (name, text) in enumerate(L.FULL_TEXTS)]
+    named = [(k, v, q, name) for (k, v, q), name in L.named_licences().items()]
+    ids = sorted({(x.lower(), x) for x in [*L.named_licences().values(), *(t for t, _ in L.TITLES)]})
+    versioned = ", ".join(quoted(k) for k in sorted({k for k, _, _, _ in named}))
     words = "regexp_extract_all(lower({}), '[a-z0-9]+')"
-    return f"""
-WITH t(i, name, text) AS (VALUES {rows}),
+    qualifiers = "array_to_string(list_filter([" + ", ".join(
+        f"CASE WHEN regexp_matches(line, {quoted(p)}) THEN '{q}' END" for q, p in sorted(L.QUALIFIERS.items())
+    ) + "], lambda x: x IS NOT NULL), ' ')"
+    titles = ", ".join(quoted(" ".join(L.words(t))) for _, t in L.TITLES)
+    return rf"""
+WITH t(i, name, kind, text) AS (VALUES {values(texts)}),
+named(kind, version, quals, licence) AS (VALUES {values(named)}),
+ids(id, licence) AS (VALUES {values(ids)}),
 tw AS (SELECT i, unnest({words.format('text')}) AS w FROM t),
 tf AS (SELECT i, w, count(*) AS n FROM tw GROUP BY i, w),
-idf AS (SELECT w, ln((1.0 + (SELECT count(*) FROM t)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY w),
-tv AS (SELECT i, w, (1 + ln(n)) * idf AS x, sqrt(sum(((1 + ln(n)) * idf) ** 2) OVER (PARTITION BY i)) AS norm FROM tf JOIN idf USING (w)),
-d AS (SELECT doc_id, text, coalesce(source, '_') || '/' || coalesce(lang, '_') AS top,
-             len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) <= {small_words} AS small
-      FROM documents),
-f AS (SELECT doc_id, text, small, CASE WHEN small THEN top ELSE top || '/' || (doc_id // 1000) END AS dir FROM d),
+idf AS (SELECT w, ln((1.0 + {n}) / (1 + count(*))) + 1 AS idf FROM tf WHERE i < {n} GROUP BY w),
+tx AS (SELECT i, w, (1 + ln(n)) * coalesce(idf, ln(1.0 + {n}) + 1) AS x FROM tf LEFT JOIN idf USING (w)),
+tv AS (SELECT i, w, x, sqrt(sum(x ** 2) OVER (PARTITION BY i)) AS norm FROM tx),
+f AS (SELECT doc_id, text, coalesce(source, '_') || '/' || coalesce(lang, '_')
+             || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '/' || (doc_id // 1000) END AS dir FROM documents),
 l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line,
-             generate_subscripts(string_split(text, chr(10)), 1) AS k FROM f),
+             generate_subscripts(string_split(text, chr(10)), 1) AS k FROM f
+      UNION ALL SELECT doc_id, lower(text), 0 FROM f),
 lw AS (SELECT doc_id, k, unnest({words.format('line')}) AS w FROM l),
 lf AS (SELECT doc_id, k, w, count(*) AS n FROM lw GROUP BY ALL),
-lv AS (SELECT doc_id, k, w, (1 + ln(n)) * coalesce(idf, ln(1.0 + (SELECT count(*) FROM t)) + 1) AS x
+lv AS (SELECT doc_id, k, w, (1 + ln(n)) * coalesce(idf, ln(1.0 + {n}) + 1) AS x
        FROM lf LEFT JOIN idf USING (w)),
 ln AS (SELECT doc_id, k, sqrt(sum(x ** 2)) AS norm FROM lv GROUP BY doc_id, k),
 c AS (SELECT lv.doc_id, lv.k, tv.i, sum(lv.x * tv.x) / any_value(ln.norm * tv.norm) AS cosine
-      FROM lv JOIN tv USING (w) JOIN ln ON ln.doc_id = lv.doc_id AND ln.k = lv.k GROUP BY lv.doc_id, lv.k, tv.i),
-o AS (SELECT doc_id, arg_min(i, (-round(cosine, 9), i, k)) AS i FROM c WHERE cosine >= {threshold} - 1e-9 GROUP BY doc_id),
-own AS (SELECT f.*, name FROM f LEFT JOIN o USING (doc_id) LEFT JOIN t ON t.i = o.i),
+      FROM lv JOIN tv USING (w) JOIN ln ON ln.doc_id = lv.doc_id AND ln.k = lv.k
+      WHERE tv.i < {n} OR lv.k = 0 GROUP BY lv.doc_id, lv.k, tv.i),
+m AS (SELECT c.*, t.name, t.kind, array_to_string(list_sort(list_distinct(list_transform(
+             regexp_extract_all(line, {quoted(L.VERSION)}, 1), lambda v: regexp_replace(v, '(\.0)+$', '')))), ' ') AS version,
+             {qualifiers} AS quals
+      FROM c JOIN t USING (i) JOIN l ON l.doc_id = c.doc_id AND l.k = c.k WHERE cosine >= {L.THRESHOLD} - 1e-9),
+s AS (SELECT m.doc_id, m.k, m.i, m.cosine, CASE
+             WHEN m.kind = 'whole' THEN name WHEN m.kind IN ({versioned}) THEN named.licence
+             WHEN m.version = '' AND m.quals = '' THEN name END AS licence
+      FROM m LEFT JOIN named ON named.kind = m.kind AND named.version = m.version AND named.quals = m.quals
+      UNION ALL
+      SELECT doc_id, k, 1000, 1.0, ids.licence FROM l
+      JOIN ids ON ids.id = regexp_replace(regexp_extract(line, {quoted(L.SPDX)}, 1), '(-only|-or-later|\+)$', '') WHERE k > 0),
+o AS (SELECT doc_id, arg_min(licence, (-round(cosine, 9), i, k)) AS name, bool_or(k = 0) AS all_of_it
+      FROM s WHERE licence IS NOT NULL GROUP BY doc_id),
+own AS (SELECT f.*, o.name, coalesce(o.all_of_it, false)
+               OR array_to_string({words.format("coalesce(text, '')")}, ' ') IN ({titles}) AS grants
+        FROM f LEFT JOIN o USING (doc_id)),
 g AS (SELECT dir AS above, arg_min(name, dir || '/' || doc_id) AS name FROM own
-      WHERE small AND name IS NOT NULL GROUP BY dir),
+      WHERE grants AND name IS NOT NULL GROUP BY dir),
 n AS (SELECT x.dir, arg_max(g.name, length(g.above)) AS name FROM (SELECT DISTINCT dir FROM own) x
       JOIN g ON x.dir = g.above OR starts_with(x.dir, g.above || '/') GROUP BY x.dir)
 SELECT doc_id, coalesce(own.name, n.name) AS license,

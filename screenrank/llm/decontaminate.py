@@ -15,11 +15,19 @@ nothing. At the threshold 0.8 two fingerprints differ by about 10 of 64 bits
 (standard deviation 3), so a radius of 22 misses about one such window in
 30,000; windows of higher similarity lie closer.
 
-Defined results: null, word-less texts and texts under five words, in either
-table, match nothing; a document shorter than an item is one window of its own
-length; rows that repeat a doc_id or item_id count as alternatives of it (the
-best match is reported); rows without an id are left out; empty tables give an
-empty result; other columns are ignored. Items hold at most 2**21 shingles.
+Items under five words have no shingle. One of two to four words is in every
+document that has its words in a row; one of a single word only in a document
+of that word alone, since a word by itself is no sign of a benchmark.
+
+A row is known by its doc_id and a hash of its text, null ids included.
+
+Defined results: null and word-less texts, in either table, match nothing; a
+document shorter than an item is one window of its own length; rows that repeat
+a doc_id or item_id count as alternatives of it (the best match is reported,
+the first of equal ones), and so do rows without an id, under a null; in
+``clean_documents`` each row goes by its own text; a very long text counts whole;
+empty tables give an empty result; other columns are ignored. Items of more than
+2**21 shingles are an error.
 """
 
 from __future__ import annotations
@@ -123,66 +131,116 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """(doc_id, item_id, similarity, start): each document's best window for
     every benchmark item it holds; ``start`` counts words from 0, the first of
     equal windows."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
-    items = saved(_shingled(benchmark.select(F.col("item_id").cast("long"), "text")
-                            .where("item_id IS NOT NULL"), "item_id")
-                  .where("sh IS NOT NULL").distinct().select("item_id", "sh", F.size("sh").alias("size"),
-                                     F.xxhash64("sh").alias("form")), "decon-items")
-    grams = (items.select("item_id", "form", "size", F.explode("sh").alias("h")))
+    found = _found(docs.select(*_identity(), "text"), benchmark, threshold, radius, blocks)
+    nameless = F.col("text_key").bitwiseAND(1) == 1
+    return (found.groupBy(F.when(~nameless, F.col("doc")).alias("doc_id"), "item_id")
+            .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
+            .select("doc_id", "item_id", F.col("best.similarity").alias("similarity"),
+                    (-F.col("best.back")).cast("long").alias("start")))
+
+
+def _identity() -> list[Column]:
+    """(doc, text_key): the id, 0 for none, and a hash of the text whose last
+    bit says that there is no id. Never null, so plain joins take all rows."""
+    doc_id = F.col("doc_id").cast("long")
+    return [F.coalesce(doc_id, F.lit(0).cast("long")).alias("doc"),
+            F.shiftleft(F.xxhash64("text"), 1).bitwiseOR(doc_id.isNull().cast("long")).alias("text_key")]
+
+
+def _short_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """(doc, text_key, item_id, start, similarity) of the items under five words;
+    None if there are none."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(WORD_PATTERN), F.lit(0)).alias("w")
+    short = saved(benchmark.select(F.col("item_id").cast("long").alias("item_id"), words)
+                  .where(F.size("w").between(1, SHINGLE_WORDS - 1))
+                  .select("item_id", F.size("w").alias("k"), F.xxhash64("w").alias("h")).distinct(), "decon-short")
+    sizes = sorted(r["k"] for r in short.select("k").distinct().collect())  # at most four
+    if not sizes:
+        return None
+    split = docs.select("doc", "text_key", words)
+    found = []
+
+    def in_a_row(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size("w") - (k - 1)), lambda i: F.xxhash64(F.slice("w", i, k)))
+
+    for k in sizes:
+        mine = short.where(F.col("k") == k).select("item_id", "h")
+        found.append(split.where(F.size("w") >= k if k > 1 else F.size("w") == 1)
+                     .select("doc", "text_key", F.posexplode(in_a_row(k)).alias("start", "h"))
+                     .join(small_side(mine, mine.count()), "h")
+                     .select("doc", "text_key", "item_id", F.col("start").cast("int").alias("start"),
+                             F.lit(1.0).alias("similarity")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, radius: int, blocks: int) -> DataFrame:
+    """(doc, text_key, item_id, start, similarity): every window at the threshold."""
+    named = saved(_shingled(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id")
+                  .where("sh IS NOT NULL").distinct()
+                  .select("item_id", "sh", F.size("sh").alias("size"), F.xxhash64("sh").alias("form")), "decon-items")
+    # each wording once, whatever items have it
+    forms = named.dropDuplicates(["form"]).select("form", "sh", "size")
+    grams = forms.select("form", "size", F.explode("sh").alias("h"))
+    n_grams, longest = forms.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+    if longest > 2 ** _LANE_BITS - 1:
+        raise ValueError(f"an item has {longest} shingles; {2 ** _LANE_BITS - 1} can be counted")
     keys = saved(grams.select("h", "size").distinct(), "decon-shingles")
     n_keys = keys.count()
 
     # documents that share a shingle with the benchmark
-    hits = saved(_shingled(docs, "doc_id").select("doc_id", F.explode_outer("sh").alias("h"))
+    who = ["doc", "text_key"]
+    hits = saved(_shingled(docs, *who).select(*who, F.explode_outer("sh").alias("h"))
                  .join(small_side(keys.select("h").distinct(), n_keys), "h", "left_semi")
-                 .select("doc_id").distinct(), "decon-hits")
-    texts = docs.join(small_side(hits, hits.count()), "doc_id", "left_semi")
-    hit = saved(_shingled(texts, "doc_id").select("doc_id", "sh", F.xxhash64("sh").alias("text_key")),
-                "decon-documents")
+                 .select(*who).distinct(), "decon-hits")
+    texts = docs.join(small_side(hits, hits.count()), who, "left_semi").dropDuplicates(who)
+    hit = saved(_shingled(texts, *who), "decon-documents")
 
     # item-sized windows around common shingles
     first = F.greatest(F.col("pos") - F.col("size") + 1, F.lit(0))
     last = F.least(F.col("pos"), F.greatest(F.col("n") - F.col("size"), F.lit(0)))
-    starts = (hit.select("doc_id", "text_key", F.size("sh").alias("n"),
-                         F.posexplode("sh").alias("pos", "h"))
+    starts = (hit.select(*who, F.size("sh").alias("n"), F.posexplode("sh").alias("pos", "h"))
               .join(small_side(keys, n_keys), "h")
-              .select("doc_id", "text_key", "size", F.explode(F.sequence(first, last)).alias("start"))
-              .groupBy("doc_id", "text_key")
+              .select(*who, "size", F.explode(F.sequence(first, last)).alias("start"))
+              .groupBy(*who)
               .agg(F.collect_set(F.struct("size", "start")).alias("starts")))
-    windows = (hit.join(starts, ["doc_id", "text_key"])
-               .select("doc_id", "text_key", "sh", F.explode("starts").alias("s"))
-               .select("doc_id", "text_key", "s.size", "s.start",
+    windows = (hit.join(starts, who)
+               .select(*who, "sh", F.explode("starts").alias("s"))
+               .select(*who, "s.size", "s.start",
                        F.slice("sh", F.col("s.start") + 1, F.col("s.size")).alias("sh")))
-    marked = simhash(windows.select("doc_id", "text_key", "size", "start", F.explode_outer(numbered("sh")).alias("h")),
-                     "doc_id", "text_key", "size", "start")
-    prints = simhash(items.select("item_id", "form", "size", F.explode_outer(numbered("sh")).alias("h")),
-                     "item_id", "form", "size")
+    marked = simhash(windows.select(*who, "size", "start", F.explode_outer(numbered("sh")).alias("h")),
+                     *who, "size", "start")
+    prints = simhash(forms.select("form", "size", F.explode_outer(numbered("sh")).alias("h")), "form", "size")
     index = saved(hamming_index(prints.withColumnRenamed("fp", "item_fp")
                                 .withColumn("fp", F.col("item_fp")), radius, blocks).drop("fp"),
                   "decon-index")
     probes = (marked.select("*", F.explode(_blocks(blocks)).alias("part"))
-              .select("doc_id", "text_key", "size", "start", "fp", "part.block", "part.key"))
+              .select(*who, "size", "start", "fp", "part.block", "part.key"))
     near = (probes.join(small_side(index, index.count()), ["size", "block", "key"])
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-            .select("doc_id", "text_key", "size", "start", "item_id", "form").distinct())
+            .select(*who, "size", "start", "form").distinct())
 
     # exact weighted similarity of the candidates
-    counts = (grams.groupBy("item_id", "form", "h").agg(F.count("*").alias("n"))
-              .groupBy("item_id", "form").agg(F.collect_list(F.struct("h", "n")).alias("grams")))
-    found = (near.join(hit, ["doc_id", "text_key"])
-             .select("doc_id", "item_id", "form", "size", "start",
+    counts = (grams.groupBy("form", "h").agg(F.count("*").alias("n"))
+              .groupBy("form").agg(F.collect_list(F.struct("h", "n")).alias("grams")))
+    found = (near.join(hit, who)
+             .select(*who, "form", "size", "start",
                      F.slice("sh", F.col("start") + 1, F.col("size")).alias("window"))
-             .join(small_side(counts, n_keys), ["item_id", "form"])
-             .select("doc_id", "item_id", "start",
-                     weighted_jaccard("window", "grams", "size").alias("similarity"))
-             .where(F.col("similarity") >= threshold))
-    return (found.groupBy("doc_id", "item_id")
-            .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
-            .select("doc_id", "item_id", F.col("best.similarity").alias("similarity"),
-                    (-F.col("best.back")).cast("long").alias("start")))
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    drop = contaminated(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+             .join(small_side(counts, n_grams), "form")
+             .select(*who, "form", "start", weighted_jaccard("window", "grams", "size").alias("similarity"))
+             .where(F.col("similarity") >= threshold)
+             .join(small_side(named.select("form", "item_id"), named.count()), "form")
+             .select(*who, "item_id", "start", "similarity"))
+    short = _short_items(docs, benchmark)
+    return found if short is None else found.unionByName(short)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+                    radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item."""
+    drop = saved(_found(docs.select(*_identity(), "text"), benchmark, threshold, radius, blocks)
+                 .select("doc", "text_key").distinct(), "decon-drop")
+    rows = docs.select(F.struct("*").alias("row"), *_identity())
+    return rows.join(small_side(drop, drop.count()), ["doc", "text_key"], "left_anti").select("row.*")

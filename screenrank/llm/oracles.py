@@ -31,26 +31,32 @@ LEFT JOIN cnt ON cnt.rep = rep.rep
 """
 
 DECONTAMINATE = f"""
-WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
-ds AS (SELECT doc_id, len(w) - 4 AS n, unnest(range(0, len(w) - 4)) AS pos, w FROM d WHERE len(w) >= 5),
-dx AS (SELECT doc_id, n, pos, array_to_string(w[pos+1:pos+5], ' ') AS x FROM ds),
-bs AS (SELECT item_id, len(w) - 4 AS size, unnest(range(0, len(w) - 4)) AS pos, w FROM b WHERE len(w) >= 5),
-bx AS (SELECT item_id, size, array_to_string(w[pos+1:pos+5], ' ') AS x, count(*) AS tf FROM bs GROUP BY ALL),
-hit AS (SELECT doc_id, item_id, n, size, pos, dx.x, tf FROM dx JOIN bx USING (x)),
-win AS (SELECT DISTINCT doc_id, item_id, n, size,
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, {_WORDS} AS w FROM benchmark),
+ds AS (SELECT r, len(w) - 4 AS n, unnest(range(0, len(w) - 4)) AS pos, w FROM d WHERE len(w) >= 5),
+dx AS (SELECT r, n, pos, array_to_string(w[pos+1:pos+5], ' ') AS x FROM ds),
+bs AS (SELECT q, len(w) - 4 AS size, unnest(range(0, len(w) - 4)) AS pos, w FROM b WHERE len(w) >= 5),
+bx AS (SELECT q, size, array_to_string(w[pos+1:pos+5], ' ') AS x, count(*) AS tf FROM bs GROUP BY ALL),
+hit AS (SELECT r, q, n, size, pos, dx.x, tf FROM dx JOIN bx USING (x)),
+win AS (SELECT DISTINCT r, q, n, size,
                unnest(range(greatest(pos - size + 1, 0), least(pos, greatest(n - size, 0)) + 1)) AS start
         FROM hit),
-c AS (SELECT w.doc_id, w.item_id, w.start, w.size, least(w.n, w.size) AS wsize, x,
+c AS (SELECT w.r, w.q, w.start, w.size, least(w.n, w.size) AS wsize, x,
              least(count(*), any_value(tf)) AS m
-      FROM win w JOIN hit h ON h.doc_id = w.doc_id AND h.item_id = w.item_id
+      FROM win w JOIN hit h ON h.r = w.r AND h.q = w.q
            AND h.pos >= w.start AND h.pos < w.start + w.size
       GROUP BY ALL),
-s AS (SELECT doc_id, item_id, start, CAST(sum(m) AS DOUBLE) / (size + wsize - sum(m)) AS similarity
-      FROM c GROUP BY doc_id, item_id, start, size, wsize)
+s AS (SELECT r, q, start, CAST(sum(m) AS DOUBLE) / (size + wsize - sum(m)) AS similarity
+      FROM c GROUP BY r, q, start, size, wsize),
+short AS (SELECT q, len(w) AS k, array_to_string(w, ' ') AS x FROM b WHERE len(w) BETWEEN 1 AND 4),
+run AS (SELECT r, k, w, unnest(range(0, len(w) - k + 1)) AS pos
+        FROM d JOIN (SELECT DISTINCT k FROM short) u ON CASE WHEN k = 1 THEN len(w) = 1 ELSE len(w) >= k END),
+found AS (SELECT r, q, start, similarity FROM s WHERE similarity >= 0.8
+          UNION ALL SELECT r, q, pos, 1.0 FROM run JOIN short
+          ON short.k = run.k AND short.x = array_to_string(w[pos+1:pos+run.k], ' '))
 SELECT doc_id, item_id, max(similarity) AS similarity,
        CAST(arg_min(start, (-similarity, start)) AS BIGINT) AS start
-FROM s WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+FROM found JOIN d USING (r) JOIN b USING (q) GROUP BY doc_id, item_id
 """
 
 TOPK_SEARCH = """

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from screenrank.llm.decontaminate import (clean_documents, contaminated, hamming_index, neighbours, numbered, simhash,
@@ -68,9 +69,12 @@ def test_odd_rows_and_clean_documents(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string, item_id long")
     b = spark.createDataFrame([(10, item, 1), (11, None, 1), (12, "short", 1), (None, item, 1), (10, item, 1)],
                               "item_id long, text string, doc_id long")
-    got = sorted((r.doc_id, r.item_id, r.similarity, r.start) for r in contaminated(d, b).collect())
-    assert got == [(4, 10, 1.0, 50_000), (5, 10, 1.0, 0)]
-    assert sorted(str(r.doc_id) for r in clean_documents(d, b).collect()) == ["1", "2", "3", "6", "None"]
+    got = [(r.doc_id, r.item_id, r.similarity, r.start) for r in contaminated(d, b).collect()]
+    assert sorted(got, key=str) == sorted([(i, k, 1.0, 50_000 if i == 4 else 0) for i in (4, 5, None) for k in (10, None)], key=str)
+    kept = clean_documents(d, b)
+    assert kept.columns == d.columns
+    assert sorted((r.doc_id, r.text[:5] if r.text else "") for r in kept.collect()) == [
+        (1, ""), (2, ""), (3, "too f"), (5, "other"), (6, item[:5])]  # each row by its own text
     assert contaminated(d.limit(0), b).count() == 0 and contaminated(d, b.limit(0)).count() == 0
 
 
@@ -139,3 +143,22 @@ def test_changes_in_a_refrain_are_found(spark):
 def test_numbered_tells_repeats_apart(spark):
     row = spark.createDataFrame([([5, 3, 5, 5],), ([1, 2],)], "sh array<long>").select(numbered("sh").alias("n")).collect()
     assert len(set(row[0].n)) == 4 and {3, 5} <= set(row[0].n) and row[1].n == [1, 2]
+
+
+def test_items_under_five_words_match_as_whole_sequences(spark):
+    docs = [(1, "Tell me: what is LOVE? What is love?"), (2, "what is a love"), (3, "Love"), (4, "love love"), (5, "a b c d"),
+            (None, "what, is love"), (6, "a b c d e"), (7, None), (8, "word " * 30_000 + "what is love")]
+    items = [(1, "What is love?"), (2, "love"), (3, "a b c d"), (None, "b c"), (5, "?"), (6, "a b c d"), (7, "zz")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start)
+           for r in contaminated(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(1, 1): (1.0, 2), (None, 1): (1.0, 0), (8, 1): (1.0, 30_000), (3, 2): (1.0, 0), (5, 3): (1.0, 0),
+                   (6, 3): (1.0, 0), (5, 6): (1.0, 0), (6, 6): (1.0, 0), (5, None): (1.0, 1), (6, None): (1.0, 1)}
+    assert sorted(r.doc_id for r in clean_documents(d, spark.createDataFrame(items, "item_id long, text string")).collect()) == [2, 4, 7]
+
+
+def test_items_too_long_to_count_are_an_error(spark):
+    d = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    b = spark.range(1).selectExpr("id AS item_id", "repeat('a b ', 1100000) AS text")
+    with pytest.raises(ValueError, match="shingles"):
+        contaminated(d, b)

@@ -56,7 +56,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenrank.llm.common import saved
+from screenrank.llm.common import saved, small_side
 from screenrank.session import ship_by_value
 
 THRESHOLD = 0.75
@@ -382,7 +382,8 @@ def licensed(files: DataFrame, templates: Templates | None = None) -> DataFrame:
     nearest = (dirs.select("dir", F.explode(ancestors("dir")).alias("above")).join(grants, "above")
                .groupBy("dir").agg(F.max(F.struct(F.length("above").alias("depth"), "granted")).alias("g"))
                .select("dir", F.col("g.granted").alias("inherited")))
-    out = rows.join(nearest, "dir", "left")
+    nearest = saved(nearest, "licence-directories")
+    out = rows.join(small_side(nearest, nearest.count()), "dir", "left")
     keep = [F.col(f"doc.`{c}`") for c in own if c not in ("text", "license", "via")]
     return out.select(*keep, F.coalesce("found.license", "inherited").alias("license"),
                       F.when(F.col("found.license").isNotNull(), "own")

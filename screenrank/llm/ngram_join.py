@@ -1,18 +1,26 @@
-"""N-gram Jaccard join (operator 6): MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join (operator 6): MinHash bands, then exact verification.
 
 Every text becomes its set of five-word shingles. Texts with equal sets form
-one class and take part once. Each class gets ``trees`` labels of up to
-``max_depth`` MinHash values; a tree is the prefix trie of its labels. Matched
-prefixes are shortened from ``max_depth`` until the chance that a pair at the
-threshold meets in at least one tree reaches ``target_recall``. Classes that
-meet in a trie node form candidate components; within a component every pair
-is verified exactly, in chunks of bounded size, and only counts and local
-labels leave a task. Pairs are therefore never written out.
-
-Defined results: a null or word-less text links to nothing; a text shorter than
-five words has one shingle of all its words; rows that repeat a ``doc_id``
-count once (the one with the least set key); rows without ``doc_id`` have no
-identity and are left out; an empty table gives an empty result.
+one class and take part once. Each class gets ``trees`` labels of MinHash values;
+their length is the longest, up to ``max_depth``, at which the chance that a pair
+at the threshold has an equal label in at least one tree reaches
+``target_recall``. (An LSH forest would keep longer labels in sorted tries and
+shorten the matched prefixes by what the data gives; here the length follows
+from the parameters alone, which is banding. README says so.) Classes with an
+equal label form candidate components; within a component every pair is
+verified exactly, in chunks of bounded size, and only counts and local labels
+leave a task. Pairs are therefore never written out.
+
+Rows are known by a number given when their signatures are written; texts are
+found again by (doc_id, hash of the text), null ids included.
+
+Defined results: a null or word-less text links to nothing and is its own class;
+a text shorter than five words has one shingle of all its words; every row is a
+document, whatever its ``doc_id``: rows that repeat one, or have none, are
+linked by their own texts, each with a row of its own in the result; a class is
+named by its smallest ``doc_id`` (null if none of its rows has one); a very long
+text counts whole; other columns, whatever their names, are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -56,8 +64,9 @@ def _set_key(items: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(doc_id, set_key, n_shingles, nodes): nodes are the trie nodes at
-    ``depth``, one 64-bit key per tree; empty for a text without words."""
+    """(doc_id, text_key, set_key, n_shingles, nodes) of rows (doc_id, text_key,
+    text): one 64-bit key per tree, of its first ``depth`` values; none for a
+    text without words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = MinHash(trees * depth)
         tree = np.arange(trees, dtype=np.uint64)
@@ -75,10 +84,10 @@ def signatures(docs: DataFrame, trees: int, depth: int) -> DataFrame:
                     nodes.append(node.view(np.int64))
                 else:
                     nodes.append(np.empty(0, dtype=np.int64))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "set_key": keys,
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"], "set_key": keys,
                                 "n_shingles": sizes, "nodes": nodes})
 
-    return docs.mapInPandas(run, "doc_id long, set_key binary, n_shingles int, nodes array<long>")
+    return docs.mapInPandas(run, "doc_id long, text_key long, set_key binary, n_shingles int, nodes array<long>")
 
 
 def linked(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray,
@@ -138,23 +147,23 @@ def verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.Dat
                                 "linked_texts": texts})
 
 
-def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES,
-                max_depth: int = MAX_DEPTH, target_recall: float = TARGET_RECALL,
-                chunk_shingles: int = CHUNK_SHINGLES, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
-    """One row per document: ``class_id`` (smallest doc_id of its connected
-    group of links), ``copy_of`` (smallest doc_id with the same shingle set),
-    ``n_links`` (other documents at or above the threshold, copies counted) and
-    ``n_texts`` (other shingle sets at or above it)."""
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), *more)
+
+
+def _classes(docs: DataFrame, threshold: float, trees: int, max_depth: int, target_recall: float,
+             chunk_shingles: int, chunk_texts: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, copies, copy_of, label, class_id, linked_docs,
+    linked_texts) per row; ``label`` numbers the classes, null without words."""
     depth = prefix_depth(threshold, trees, max_depth, target_recall)
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
-    ids = saved(signatures(docs, trees, depth), "ngram-signatures")
-    ids = (ids.groupBy("doc_id")
-           .agg(F.min(F.struct("set_key", "n_shingles", "nodes")).alias("s"))
-           .select("doc_id", "s.*"))
-    ids = saved(ids, "ngram-ids")
+    docs = _keyed(docs, "text")
+    ids = saved(signatures(docs, trees, depth).withColumn("row", F.monotonically_increasing_id()), "ngram-signatures")
+    named = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row")
     reps = (ids.where("n_shingles > 0").groupBy("set_key")
-            .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
-                 F.first("n_shingles").alias("n_shingles"), F.first("nodes").alias("nodes")))
+            .agg(F.min(named).alias("first"), F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"),
+                 F.first("n_shingles").alias("n_shingles"), F.first("nodes").alias("nodes"))
+            .select("set_key", F.col("first.row").alias("rep"), F.col("first.doc_id").alias("doc_id"),
+                    F.col("first.text_key").alias("text_key"), "copy_of", "copies", "n_shingles", "nodes"))
     reps = saved(reps, "ngram-classes")
 
     entries = reps.select("rep", F.explode("nodes").alias("node"))
@@ -162,8 +171,7 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREE
     edges = entries.join(star, "node").select(F.col("rep").alias("a"), "b")
     members = (components(edges, "ngram-candidates").withColumnRenamed("id", "rep")
                .withColumnRenamed("label", "comp")
-               .join(reps.select("rep", "copies", "n_shingles", "set_key"), "rep"))
-    # repeated doc_ids are merged above, so rep identifies one set
+               .join(reps.select("rep", "doc_id", "text_key", "copies", "n_shingles", "set_key"), "rep"))
     members = saved(members, "ngram-members")
     sizes = (members.groupBy("comp")
              .agg(F.sum("n_shingles").alias("s"), F.count("*").alias("n"))
@@ -173,10 +181,12 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREE
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*"),
                         F.coalesce(F.max("chunks"), F.lit(0))).first()
 
-    # the sets of candidates only are made again from their texts
-    want = small_side(members.select("rep", "comp", "copies", "chunks", "set_key"), total[1])
-    texts = docs.join(want, docs["doc_id"] == want["rep"]).select(
-        "rep", "comp", "copies", "chunks", "set_key", "text")
+    # the sets of candidates only are made again from their texts; a row that
+    # is repeated in the table gives the same text several times
+    want = small_side(members.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"),
+                                     "rep", "comp", "copies", "chunks", "set_key"), total[1])
+    texts = (docs.join(want, docs["doc_id"].eqNullSafe(want["of_id"]) & (docs["text_key"] == want["of_text"]))
+             .select("rep", "comp", "copies", "chunks", "set_key", "text").dropDuplicates(["rep"]))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -213,24 +223,63 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREE
                             "ngram-classes-joined")
         counts = (counts.drop("label").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
                   .withColumn("label", F.coalesce("label", "rep")))
-    classes = (reps.select("set_key", "rep", "copies").join(counts, "rep", "left")
-               .select("set_key", "rep", "copies", F.coalesce("label", "rep").alias("label"),
-                       F.coalesce("linked_docs", F.lit(0)).alias("linked_docs"),
-                       F.coalesce("linked_texts", F.lit(0)).alias("linked_texts")))
-    return (ids.where("n_shingles > 0").select("doc_id", "set_key").join(classes, "set_key")
-            .select("doc_id", F.col("label").alias("class_id"), F.col("rep").alias("copy_of"),
-                    (F.col("linked_docs") + F.col("copies") - 1).alias("n_links"),
-                    F.col("linked_texts").alias("n_texts"))
-            .union(ids.where("n_shingles = 0")
-                   .select("doc_id", F.col("doc_id"), F.col("doc_id"),
-                           F.lit(0).cast("long"), F.lit(0).cast("long"))))
-
-
-def one_per_class(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that are not the first of their class;
-    rows without ``doc_id`` stay, a repeated ``doc_id`` stays as often as it was."""
-    drop = ngram_links(docs, **options).where("class_id <> doc_id").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    linked_to = (reps.select("set_key", "rep", "copies", "copy_of").join(counts, "rep", "left")
+                 .select("set_key", "copies", "copy_of", F.coalesce("label", "rep").alias("label"),
+                         F.coalesce("linked_docs", F.lit(0)).alias("linked_docs"),
+                         F.coalesce("linked_texts", F.lit(0)).alias("linked_texts")))
+    names = linked_to.groupBy("label").agg(F.min("copy_of").alias("class_id"))
+    classes = saved(linked_to.join(names, "label"), "ngram-linked")
+    rows = ids.select("doc_id", "text_key", "n_shingles", "set_key")
+    return (rows.where("n_shingles > 0").join(classes, "set_key").drop("set_key")
+            .unionByName(rows.where("n_shingles = 0").select(
+                "doc_id", "text_key", "n_shingles", F.lit(1).cast("long").alias("copies"),
+                F.col("doc_id").alias("copy_of"), F.lit(None).cast("long").alias("label"),
+                F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("linked_docs"),
+                F.lit(0).cast("long").alias("linked_texts"))))
+
+
+def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES,
+                max_depth: int = MAX_DEPTH, target_recall: float = TARGET_RECALL,
+                chunk_shingles: int = CHUNK_SHINGLES, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
+    """One row per row of ``docs``: its ``doc_id``, ``class_id`` (smallest doc_id of
+    its connected group of links), ``copy_of`` (smallest doc_id with the same
+    shingle set), ``n_links`` (other documents at or above the threshold, copies
+    counted) and ``n_texts`` (other shingle sets at or above it)."""
+    return (_classes(docs, threshold, trees, max_depth, target_recall, chunk_shingles, chunk_texts)
+            .select("doc_id", "class_id", "copy_of", (F.col("linked_docs") + F.col("copies") - 1).alias("n_links"),
+                    F.col("linked_texts").alias("n_texts")))
+
+
+def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES,
+                  max_depth: int = MAX_DEPTH, target_recall: float = TARGET_RECALL,
+                  chunk_shingles: int = CHUNK_SHINGLES, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest doc_id (rows
+    without one last, then by the hash of the text); of equal rows any one.
+    Texts without words are in no class and stay."""
+    rows = saved(_classes(docs, threshold, trees, max_depth, target_recall, chunk_shingles, chunk_texts)
+                 .where("label IS NOT NULL").groupBy("label", "doc_id", "text_key")
+                 .agg(F.count("*").alias("n")), "ngram-class-rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    first = rows.groupBy("label").agg(F.min(order).alias("first"))
+    judged = rows.join(first, "label").select("doc_id", "text_key", "n", (order == F.col("first")).alias("stays"))
+    judged = saved(judged, "ngram-judged")
+    gone, repeated = judged.where("NOT stays"), judged.where("stays AND n > 1")
+    n_gone, n_repeated = gone.count(), repeated.count()
+    keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64("text").alias("text_key"))
+
+    def same(side: DataFrame):
+        return (keyed["doc.doc_id"].cast("long").eqNullSafe(side["of_id"])) & (keyed["text_key"] == side["of_text"])
+
+    def keys(side: DataFrame, n: int) -> DataFrame:
+        return small_side(side.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text")), n)
+
+    left = keyed.join(gone_keys := keys(gone, n_gone), same(gone_keys), "left_anti")
+    if n_repeated:
+        again = keys(repeated, n_repeated)
+        once = (left.join(again, same(again), "left_semi")
+                .groupBy(F.col("doc.doc_id").alias("of_id"), "text_key").agg(F.first("doc").alias("doc")))
+        left = left.join(again, same(again), "left_anti").select("doc").unionByName(once.select("doc"))
+    return left.select("doc.*")
 
 
 ship_by_value(__name__)

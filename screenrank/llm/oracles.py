@@ -7,13 +7,13 @@ from screenrank.llm.words import WORD_PATTERN
 _WORDS = f"regexp_extract_all(lower(coalesce(text, '')), '{WORD_PATTERN}')"
 
 NGRAM_JOIN = f"""
-WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
-s AS (SELECT doc_id, list_sort(list_distinct(
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT r, doc_id, list_sort(list_distinct(
         CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
              WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
              ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END)) AS s
       FROM w),
-rep AS (SELECT s, min(doc_id) AS rep, count(*) AS copies FROM s WHERE len(s) > 0 GROUP BY s),
+rep AS (SELECT s, min(r) AS rep, min(doc_id) AS copy_of, count(*) AS copies FROM s WHERE len(s) > 0 GROUP BY s),
 item AS (SELECT rep, copies, len(s) AS n, unnest(s) AS x FROM rep),
 link AS (SELECT a.rep AS a, b.rep AS b, any_value(b.copies) AS copies
          FROM item a JOIN item b ON a.x = b.x AND a.rep <> b.rep
@@ -21,9 +21,10 @@ link AS (SELECT a.rep AS a, b.rep AS b, any_value(b.copies) AS copies
          HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
 reach(a, b) AS (SELECT rep, rep FROM rep
                 UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
-class AS (SELECT a AS rep, min(b) AS class_id FROM reach GROUP BY a),
+class AS (SELECT a AS rep, min(copy_of) AS class_id FROM reach JOIN rep ON rep.rep = reach.b GROUP BY a),
 cnt AS (SELECT a AS rep, sum(copies) AS docs, count(*) AS texts FROM link GROUP BY a)
-SELECT s.doc_id, coalesce(class.class_id, s.doc_id) AS class_id, coalesce(rep.rep, s.doc_id) AS copy_of,
+SELECT s.doc_id, CASE WHEN rep.rep IS NULL THEN s.doc_id ELSE class.class_id END AS class_id,
+       CASE WHEN rep.rep IS NULL THEN s.doc_id ELSE rep.copy_of END AS copy_of,
        CAST(coalesce(cnt.docs, 0) + coalesce(rep.copies, 1) - 1 AS BIGINT) AS n_links,
        CAST(coalesce(cnt.texts, 0) AS BIGINT) AS n_texts
 FROM s LEFT JOIN rep ON rep.s = s.s LEFT JOIN class ON class.rep = rep.rep

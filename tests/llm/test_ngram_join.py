@@ -58,19 +58,35 @@ def test_defined_results_for_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "?! ..."), (4, "one two"), (5, "One, two!"), (6, long_text),
             (7, long_text + " tail"), (None, "one two"), (8, "zwölf Übel über Äpfel öffnen"),
             (9, "ZWÖLF übel ÜBER äpfel Öffnen"), (4, "one two"), (4, "one two")]
-    got = as_dict(ngram_links(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)))
-    assert got == {1: (1, 1, 0, 0), 2: (2, 2, 0, 0), 3: (3, 3, 0, 0), 4: (4, 4, 1, 0), 5: (4, 4, 1, 0),
-                   6: (6, 6, 1, 1), 7: (6, 7, 1, 1), 8: (8, 8, 1, 0), 9: (8, 8, 1, 0)}
-    kept = one_per_class(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA))
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    got = sorted((tuple(r) for r in ngram_links(df).collect()), key=str)
+    assert got == sorted([(1, 1, 1, 0, 0), (2, 2, 2, 0, 0), (3, 3, 3, 0, 0), (5, 4, 4, 4, 0), (None, 4, 4, 4, 0),
+                          (6, 6, 6, 1, 1), (7, 6, 7, 1, 1), (8, 8, 8, 1, 0), (9, 8, 8, 1, 0)] + 3 * [(4, 4, 4, 4, 0)], key=str)
+    kept = one_per_class(df)
     assert kept.columns == ["doc_id", "text", "class_id"]
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "4", "4", "6", "8", "None"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "6", "8"]
+
+
+def test_rows_that_share_an_id_or_have_none_go_by_their_own_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " tail"), (1, c), (None, b), (None, c + " tail"), (None, "only here in this row"),
+            (None, "only here in this row"), (None, None), (3, b.upper()), (4, "clean text of five words"), (None, a)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    got = sorted((tuple(r) for r in ngram_links(df).collect()), key=str)
+    want = [(1, 1, 1, 2, 1), (1, 1, 1, 2, 0), (2, 1, 2, 2, 1), (1, 1, 1, 1, 1), (None, 1, 1, 2, 0), (None, 1, None, 1, 1),
+            (None, None, None, 1, 0), (None, None, None, 1, 0), (None, None, None, 0, 0), (3, 1, 1, 2, 0), (4, 4, 4, 0, 0),
+            (None, 1, 1, 2, 1)]
+    assert got == sorted(want, key=str)
+    kept = sorted(((r.doc_id, r.text) for r in one_per_class(df).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (1, c), (None, "only here in this row"), (None, None),
+                           (4, "clean text of five words")], key=str)
 
 
 def test_empty_table(spark):
     assert ngram_links(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_prefixes_are_shortened_until_the_target_recall():
+def test_label_length_follows_from_the_target_recall():
     assert prefix_depth(0.8, 24, 5, 0.9999) == 5
     assert prefix_depth(0.8, 24, 5, 0.99999) == 4
     with pytest.raises(ValueError):

@@ -10,7 +10,8 @@ under the token constraint of their source: rate = exp(l * size / mean size)
 with one multiplier l per source, at most ``MAX_COPIES``. The convex dual is
 solved by Newton steps, for all sources at once: a step is one grouped sum over
 the counts of (source, size), which hold every document. A step that leaves
-the bracket known so far is replaced by its middle, so convergence is certain.
+the bracket known so far is replaced by its middle, so convergence is certain;
+should the constraint still be missed after ``ROUNDS`` steps, that is an error.
 
 Rates become copies: the whole part, plus one for the documents whose
 reproducible random number, relative to the fraction, is smallest, up to the
@@ -19,8 +20,9 @@ refined once, so a source meets its target to about one document.
 
 Defined results: a null or word-less text has size 0 and takes 0; an empty
 table gives no rows; a null ``doc_id`` counts like any other; rows that repeat
-are separate documents with equal random numbers, all taken or all left at the
-cut; other columns stay in ``doc``.
+are separate documents, numbered among themselves, and each number has its own
+random number (which of the equal rows has it makes no difference); a very long
+text counts whole; other columns stay in ``doc``.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from screenrank.llm.common import saved, small_side
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
-ROUNDS = 30
+ROUNDS = 100
 TOLERANCE = 1e-9
+#: Equal rows that one task numbers.
+EQUAL_ROWS = 100_000
 _BINS = 1024
 _SIZE = r"[^\x20\x09-\x0D]+"
 
@@ -49,8 +53,29 @@ def _key() -> Column:
 
 
 def _random() -> Column:
-    """A reproducible number in (0, 1] per document."""
-    return (F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) + 1) / F.lit(2.0 ** 53)
+    """A reproducible number in (0, 1] per document, from ``same`` (a hash of id and
+    text) and ``nth``, the row's number among equal ones."""
+    h = F.when(F.col("nth") > 0, F.xxhash64("same", "nth")).otherwise(F.col("same"))
+    return (F.shiftrightunsigned(h, 11) + 1) / F.lit(2.0 ** 53)
+
+
+def _numbered(rows: DataFrame, repeated: DataFrame, n_repeated: int) -> DataFrame:
+    """``rows`` with ``nth``: 0, 1, ... among the rows of one ``same``. ``repeated``:
+    (same, n) of those that occur more than once. A large group is numbered in
+    parts of about ``EQUAL_ROWS``, each moved by the size of those before it."""
+    if not n_repeated:
+        return rows.withColumn("nth", F.lit(0).cast("long"))
+    known = small_side(repeated.select("same", F.ceil(F.col("n") / EQUAL_ROWS).alias("parts")), n_repeated)
+    once = rows.join(known, "same", "left_anti").withColumn("nth", F.lit(0).cast("long"))
+    many = saved(rows.withColumn("at", F.monotonically_increasing_id()).join(known, "same")
+                 .withColumn("part", F.pmod("at", "parts")).drop("parts"), "mix-repeated")
+    before = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    moved = many.groupBy("same", "part").agg(F.count("*").alias("n")).select(
+        "same", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("same", "part").orderBy("at")) - 1
+    numbered = (many.withColumn("place", place).join(moved, ["same", "part"])
+                .withColumn("nth", F.col("first") + F.col("place")).drop("at", "part", "place", "first"))
+    return once.unionByName(numbered)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS,
@@ -104,7 +129,8 @@ def balance(counts: DataFrame, targets: DataFrame, limit: float = MAX_COPIES,
         middle = (F.when(F.col("low") == float("-inf"), F.col("high") * 2 - 1)
                   .when(F.col("high") == float("inf"), F.col("low") * 2 + 1)
                   .otherwise((F.col("low") + F.col("high")) / 2))
-        done = F.col("done") | (F.abs(gap) <= tolerance * F.col("source_size"))
+        narrow = high - low <= 1e-15 * F.greatest(F.lit(1.0), F.abs("mult"))  # no number lies between
+        done = F.col("done") | (F.abs(gap) <= tolerance * F.col("source_size")) | F.coalesce(narrow, F.lit(False))
         state = saved(
             state.join(sums, "key", "left")
             .select("key", "source_size", "target", "mean", "mult", "slope", gap.alias("gap"),
@@ -115,6 +141,8 @@ def balance(counts: DataFrame, targets: DataFrame, limit: float = MAX_COPIES,
                     .otherwise(middle).alias("mult"), "low", "high", "done"), f"mix-state-{i}")
         if state.where("NOT done").isEmpty():
             break
+    else:
+        raise RuntimeError(f"a source's token constraint is not met after {rounds} steps")
     return state.select("key", "source_size", "target", "mean", "mult")
 
 
@@ -140,8 +168,11 @@ def _split(df: DataFrame, limit: float) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = MAX_COPIES) -> DataFrame:
     """(doc, size, source_size, target, copies) for every row of ``docs``
     (doc_id, text, source and any others), the row itself as struct ``doc``."""
-    rows = docs.select(_key().alias("key"), n_words().alias("size"), _random().alias("u"))
-    rows = saved(rows, "mix-sizes")
+    same = F.xxhash64("doc_id", "text").alias("same")
+    rows = saved(docs.select(_key().alias("key"), n_words().alias("size"), same), "mix-sizes")
+    repeated = saved(rows.groupBy("same").agg(F.count("*").alias("n")).where("n > 1"), "mix-repeats")
+    n_repeated = repeated.count()
+    rows = _numbered(rows, repeated, n_repeated).withColumn("u", _random())
     counts = saved(rows.groupBy("key", "size").agg(F.count("*").alias("n")), "mix-counts")
     per_source = counts.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     dual = balance(counts, source_targets(per_source, weights, limit), limit)
@@ -168,8 +199,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = MA
         F.coalesce("cut_bin", F.lit(-1)).alias("cut_bin"),
         F.coalesce("cut_cell", F.lit(0)).alias("cut_cell")), "mix-plan")
 
-    named = docs.select(F.struct("*").alias("doc"), _key().alias("key"), n_words().alias("size"),
-                        _random().alias("u"))
+    named = docs.select(F.struct("*").alias("doc"), _key().alias("key"), n_words().alias("size"), same)
+    named = _numbered(named, repeated, n_repeated).withColumn("u", _random())
     out = _split(named.join(small_side(plan, n_sources), "key"), limit)
     extra = ((F.col("bin") < F.col("cut_bin"))
              | ((F.col("bin") == F.col("cut_bin")) & (F.col("cell") < F.col("cut_cell"))))

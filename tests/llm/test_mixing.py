@@ -1,8 +1,12 @@
+import math
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from screenrank.llm.mixing import MAX_COPIES, WEIGHTS, mix, mixed_documents, source_targets
+from screenrank.llm import mixing
+from screenrank.llm.mixing import MAX_COPIES, WEIGHTS, balance, mix, mixed_documents, source_targets
 
 SCHEMA = "doc_id long, text string, source string, copies string"
 
@@ -53,7 +57,46 @@ def test_sources_meet_their_targets(spark):
         assert abs(taken[k] - want[k]) <= 400  # one document
 
 
-def test_rates_are_tilted_by_size_and_reruns_agree(spark):
+def solved(counts, target, mean, limit=3.0):
+    """The multiplier that meets the target, by halving: an independent solution."""
+    low, high = -1e4, 1e4
+    for _ in range(300):
+        mult = (low + high) / 2
+        got = sum(n * s * min(limit, math.exp(min(mult * s / mean, 50.0))) for s, n in counts.items())
+        low, high = (mult, high) if got < target else (low, mult)
+    return mult
+
+
+def test_rates_are_the_solution_of_the_dual(spark):
+    rows = [("a", 1 + (i * 37) % 400) for i in range(500)] + [("b", 1 + i % 7) for i in range(90)] + [("c", 300)] * 40
+    counts = spark.createDataFrame(rows, "key string, size long").groupBy("key", "size").agg(F.count("*").alias("n")).cache()
+    sizes = counts.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
+    share = F.when(F.col("key") == "a", 0.4).when(F.col("key") == "b", 2.5).otherwise(1.7)
+    targets = sizes.withColumn("target", F.col("source_size") * share)
+    for r in balance(counts, targets).collect():
+        mine = Counter(s for k, s in rows if k == r.key)
+        assert r["mean"] == pytest.approx(sum(s * n for s, n in mine.items()) / mine.total())
+        assert r.mult == pytest.approx(solved(mine, r.target, r["mean"]), rel=1e-6, abs=1e-7)
+    with pytest.raises(RuntimeError, match="not met"):
+        balance(counts, targets, rounds=1)
+
+
+@pytest.mark.parametrize("part", [100_000, 30])
+def test_equal_rows_meet_the_target(spark, monkeypatch, part):
+    """200 equal rows without an id: each may be taken or left on its own."""
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", part)
+    rows = ([(None, "w " * 20, "a", "x")] * 200 + [(i, "v " * 30, "b", "x") for i in range(50)]
+            + [(7, "u " * 10, "c", "x")] * 90)
+    out = mix(spark.createDataFrame(rows, SCHEMA)).selectExpr("doc.source AS s", "size", "target", "`copies` AS n").collect()
+    assert len(out) == len(rows) and all(0 <= r.n <= MAX_COPIES for r in out)
+    for s, size in (("a", 20), ("b", 30), ("c", 10)):
+        mine = [r for r in out if r.s == s]
+        assert abs(sum(r.n * r["size"] for r in mine) - mine[0].target) <= size
+    again = mix(spark.createDataFrame(rows[::-1], SCHEMA).repartition(5)).selectExpr("doc.source AS s", "`copies` AS n")
+    assert Counter((r.s, r.n) for r in again.collect()) == Counter((r.s, r.n) for r in out)
+
+
+def test_reruns_agree(spark):
     df = spark.createDataFrame(corpus(), SCHEMA)
     first = sorted((r.doc.doc_id, r.copies) for r in mix(df).collect())
     again = sorted((r.doc.doc_id, r.copies) for r in mix(df.repartition(7)).collect())

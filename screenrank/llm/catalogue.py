@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from screenrank.llm import language, oracles
@@ -86,26 +86,32 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of two tokenizer versions over the distinct texts, reached by
-    deltas: estimates, their revision, deletion of later exact copies (the
-    batch is replayed), and the second version."""
+    """Totals of two word counts, as two tokenizer versions, over the distinct
+    texts, reached by deltas: estimates, their revision, deletion of all but one
+    copy of a text, and the second version. The first batches are folded on the
+    way, and one before and one behind the fold are replayed."""
     text = F.coalesce("text", F.lit(""))
     docs = saved(_table(spark, sf_dir, "documents").select(
-        F.col("doc_id"), "source", "lang", F.md5(text).alias("text_key"),
-        F.floor(F.length(text) / 5).alias("estimate"), n_words().alias("blanks"),
+        F.struct(F.col("doc_id").isNull().alias("none"), "doc_id").alias("id"), "source", "lang",
+        F.md5(text).alias("text_key"), F.floor(F.length(text) / 5).alias("estimate"), n_words().alias("blanks"),
         F.regexp_count(F.lower(text), F.lit(WORD_PATTERN)).alias("letters")), "token-counts")
-    again = (docs.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("text_key", "first"))
-    copies = docs.join(again, "text_key").where("doc_id <> first")
+    # of each text the row of the smallest doc_id stays; a text is one row per source and lang here
+    group = docs.groupBy("text_key", "source", "lang").agg(
+        F.min("id").alias("id"), F.count("*").alias("n"), F.first("blanks").alias("blanks"),
+        F.first("letters").alias("letters"))
+    first = F.row_number().over(Window.partitionBy("text_key").orderBy("id", "source", "lang")) == 1
+    copies = saved(group.withColumn("times", F.col("n") - first.cast("long")).where("times > 0"), "token-copies")
     one, two = F.lit("blanks-1").alias("version"), F.lit("letters-1").alias("version")
     rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
-    rollup.commit(0, docs.select("source", "lang", one, *change("insert", "estimate")))
+    inserted = docs.select("source", "lang", one, *change("insert", "estimate"))
+    rollup.commit(0, inserted)
     rollup.commit(1, docs.select("source", "lang", one, *change("revise", "blanks", "estimate")))
     rollup.commit(3, docs.select("source", "lang", two, *change("insert", "letters")))
-    deleted = (copies.select("source", "lang", one, *change("delete", "blanks"))
-               .union(copies.select("source", "lang", two, *change("delete", "letters"))))
-    for _ in range(2):
-        rollup.commit(2, deleted)
+    deleted = (copies.select("source", "lang", one, "times", *change("delete", "blanks"))
+               .union(copies.select("source", "lang", two, "times", *change("delete", "letters"))))
+    rollup = rollup.fold(1, scratch_path(spark, "token-rollup"))
+    for batch, changes in ((2, deleted), (0, inserted), (2, deleted)):
+        rollup.commit(batch, changes)
     return rollup.totals()
 
 

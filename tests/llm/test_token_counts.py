@@ -1,5 +1,6 @@
 import pytest
 
+from screenrank.llm.catalogue import op8_token_counts
 from screenrank.llm.token_counts import TokenRollup, deltas
 from screenrank.session import scratch_path
 
@@ -30,8 +31,38 @@ def test_batches_are_signed_idempotent_and_in_any_order(spark):
     assert state(second) == want
     folded = first.fold(1, scratch_path(spark, "rollup"))
     assert state(folded) == want
-    folded.commit(2, delete)
-    assert state(folded) == want
+    for batch, changes in ((2, delete), (1, revise), (0, insert)):  # two of them folded
+        folded.commit(batch, changes)
+        assert state(folded) == want
+    again = TokenRollup(spark, folded.path).fold(2, scratch_path(spark, "rollup"))
+    assert again.folded() == {0, 1, 2}
+    for batch, changes in ((2, delete), (1, revise), (0, insert)):
+        again.commit(batch, changes)
+    assert state(again) == want
+
+
+def test_a_batch_that_comes_after_the_fold_is_taken(spark):
+    make = lambda *rows: spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    rollup = TokenRollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit(2, make(("a", "en", "v1", "insert", 5, None)))
+    rollup = rollup.fold(3, scratch_path(spark, "rollup"))  # 0, 1 and 3 weren't there
+    rollup.commit(3, make(("a", "en", "v1", "insert", 7, None)))
+    rollup.commit(0, make(("a", "en", "v1", "insert", 11, None)))
+    rollup.commit(2, make(("a", "en", "v1", "insert", 5, None)))
+    assert state(rollup) == [("a", "en", "v1", 3, 23)]
+    with pytest.raises(ValueError, match="batch ids"):
+        rollup.commit(-1, make(("a", "en", "v1", "insert", 1, None)))
+
+
+def test_query_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids, copies across sources, empty and long texts."""
+    rows = [(None, "a b c", "s", "en"), (None, "a b c", "s", "en"), (5, "a b c", "t", "en"), (5, "a b c", "t", "en"),
+            (6, None, None, None), (7, "", "s", "de"), (8, "w x " * 50_000, "s", "en"), (9, "one, two", "t", "de")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, lang string, times int")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = [(s, l, v, d, t) for v in ("blanks-1", "letters-1") for s, l, d, t in (
+        ("t", "en", 1, 3), (None, None, 1, 0), ("s", "en", 1, 100_000), ("t", "de", 1, 2))]
+    assert sorted((tuple(r) for r in op8_token_counts(spark, str(tmp_path)).collect()), key=str) == sorted(want, key=str)
 
 
 def test_unknown_kinds_are_errors_and_no_changes_no_rows(spark):

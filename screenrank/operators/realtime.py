@@ -58,6 +58,19 @@ def write_similarity_table(edges: DataFrame, path: str, buckets: int = 64) -> No
      .repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
+def neighbour_heads(sim: DataFrame, depth: int, digits: int | None = SCORE_DIGITS) -> DataFrame:
+    """(mid, head_mids, head_scores, complete): each item's ``depth`` best
+    neighbours in the order of ``stream_candidates`` (rounded score, then id), and
+    whether these are all it has."""
+    score = (F.round("score", digits) if digits is not None else F.col("score")).alias("score")
+    ranked = top_n_per_group(sim.select("mid", "sim_mid", score), "mid", [F.desc("score"), F.asc("sim_mid")], depth + 1)
+    lists = ranked.groupBy("mid").agg(F.array_sort(F.collect_list(F.struct("rank", "sim_mid", "score"))).alias("_h"))
+    head = F.slice("_h", 1, depth)
+    return lists.select("mid", F.transform(head, lambda x: x["sim_mid"]).alias("head_mids"),
+                        F.transform(head, lambda x: x["score"]).alias("head_scores"),
+                        (F.size("_h") <= depth).alias("complete"))
+
+
 def _small(df: DataFrame, broadcast: bool) -> DataFrame:
     return F.broadcast(df) if broadcast else df
 

@@ -389,14 +389,16 @@ def run_stream_over_events(spark, d, slices: int = STREAM_SLICES, bootstrap: boo
     restarts included). With ``bootstrap`` the first half of the slices is the
     Rating table that seeds the state, and only the rest is streamed. Returns
     the output log path."""
-    from screenrank.streaming.stateful import ProfileScorer, start_stateful
+    from screenrank.streaming.stateful import ProfileScorer, start_stateful, write_heads
 
     root = scratch_path(spark, "stream")
     ev = fx.event_ratings(spark, d)
     sim_path = os.path.join(root, "sim")
     content.content_similar(fx.part_movies(spark, d), threshold=0.6).write.parquet(sim_path)
     cuts = _time_cuts(ev, slices)
-    handler = ProfileScorer(sim_path=sim_path, out_path=os.path.join(root, "recs"))
+    heads_path = os.path.join(root, "heads")  # once, not at each restart
+    write_heads(spark.read.parquet(sim_path), heads_path)
+    handler = ProfileScorer(sim_path=sim_path, out_path=os.path.join(root, "recs"), heads_path=heads_path)
     src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
     first = slices // 2 if bootstrap else 0
     known = None
@@ -450,6 +452,29 @@ def q_stream_recs_bootstrap(spark, d):
     return unnest_recs(current_recs(spark, out), "uid")
 
 
+@register("recent_list_read", V.with_views(V.EVENT_RATINGS) + """
+SELECT uid, mid, score, rank FROM (
+  SELECT uid, mid, score, CAST(row_number() OVER (
+    PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS INTEGER) AS rank
+  FROM event_ratings) t
+WHERE rank <= 20""")
+def q_recent_list_read(spark, d):
+    """All events through the stream in two runs; then each user's stored recent
+    list is read back from the state store, and its ``mid:score`` entries parsed."""
+    from screenrank.streaming.stateful import StateOnly, recent_lists, start_stateful
+
+    root = scratch_path(spark, "recent-lists")
+    ev = fx.event_ratings(spark, d)
+    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ckpt")
+    cuts = _time_cuts(ev, 2)
+    for i in range(2):
+        part = ev.filter((F.col("timestamp") >= cuts[i]) & (F.col("timestamp") < cuts[i + 1]))
+        text.render_rating_messages(part).write.mode("append").text(src)
+        start_stateful(spark, src, StateOnly(), ckpt, trigger={"availableNow": True}).awaitTermination()
+    lists = recent_lists(spark, ckpt).select("uid", F.posexplode(text.parse_recent_entries("entries")).alias("p", "r"))
+    return lists.select("uid", "r.mid", "r.score", (F.col("p") + 1).alias("rank"))
+
+
 # ------------------------------------------------------- loading and storing
 
 def _through_text(spark, lines, load, schema):

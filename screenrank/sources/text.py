@@ -135,7 +135,8 @@ def render_rating_messages(ratings: DataFrame) -> DataFrame:
 
 
 def parse_recent_entries(entries: Column) -> Column:
-    """S7 list entries ``mid:score`` (array<string>) -> array<struct<mid, score>>."""
+    """S7 list entries ``mid:score`` (array<string>) -> array<struct<mid, score>>; a
+    part that is missing or no number is null."""
     return F.transform(entries, lambda e: F.struct(
-        (jvm_trim(F.split(e, ":")[0])).try_cast("bigint").alias("mid"),
-        (F.split(e, ":")[1]).try_cast("double").alias("score")))
+        (jvm_trim(F.get(F.split(e, ":"), F.lit(0)))).try_cast("bigint").alias("mid"),
+        (F.get(F.split(e, ":"), F.lit(1))).try_cast("double").alias("score")))

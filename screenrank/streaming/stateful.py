@@ -6,16 +6,20 @@ state store, partitioned by user across executors and checkpointed with the
 query: ``transformWithStateInPandas`` keyed by uid keeps
 
 * ``recent``: the user's 20 newest ratings (mid, score, timestamp), one value;
-* ``seen``: every distinct item the user has rated, a list state that only
-  grows by appending, so a batch writes its new items and nothing else,
+* ``seen``: the items the user has rated, a map of bitmaps with one entry per
+  ``2**BUCKET_BITS`` item ids, of which a batch reads and writes only those
+  entries that its items and candidates fall into,
 
 bootstrapped once from the Rating table (``initialState``, merged chunk by
-chunk). Each micro-batch emits per active user the latest item, the recent
-list and the seen items (in rows of at most ``SEEN_PER_ROW`` items), and a
-``foreachBatch`` stage scores those rows with the set-wise operators of
-``operators.realtime`` against the cached similarity table. Per-batch work is
-proportional to the batch's users and their own histories, independent of
-the size of all history.
+chunk). An event carries the ``HEAD`` best neighbours of its item (stream-static
+join), so the candidates are picked where the state is: the best neighbours of
+the user's latest item whose bit is not set. Each micro-batch emits per active
+user the latest item, the recent list and at most 20 candidates, whatever the
+length of the history. Only a user who has rated so much of the head that it
+runs out before 20 candidates are found, while the item has more neighbours, is
+emitted with all seen items as well (in rows of at most ``SEEN_PER_ROW``), and
+their candidates come from the whole similarity table. A ``foreachBatch`` stage
+scores the candidates with the set-wise operators of ``operators.realtime``.
 
 Messages that do not parse fail the query, as in the reference; with
 ``mode="quarantine"`` a second query writes them to a bad-record table.
@@ -45,10 +49,14 @@ from screenrank.streaming.recommender import BROADCAST_MAX_ROWS
 ship_by_value(__name__)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROFILE_SCHEMA = ("uid long, mid long, "
-                  "recent array<struct<mid:bigint,score:double,timestamp:bigint>>, seen array<bigint>")
-# Items per emitted row: a very long history leaves a task in several rows.
+PROFILE_SCHEMA = ("uid long, mid long, recent array<struct<mid:bigint,score:double,timestamp:bigint>>, "
+                  "cand_mids array<bigint>, cand_scores array<double>, deep boolean, seen array<bigint>")
+# Seen items per emitted row: a very long history leaves a task in several rows.
 SEEN_PER_ROW = 50_000
+# Neighbours that an event carries along.
+HEAD = 64
+# Item ids of one bitmap: 2**12 bits are 512 bytes.
+BUCKET_BITS = 12
 
 Rating = tuple[int, float, int]
 
@@ -64,15 +72,15 @@ def _ratings(rows: pd.DataFrame) -> list[Rating]:
 
 
 class UserProfile(StatefulProcessor):
-    """Per-user recent ratings (one value) and seen items (append-only list)."""
+    """Per-user recent ratings (one value) and seen items (a map of bitmaps)."""
 
-    def __init__(self, n_recent: int = realtime.MAX_USER_RATINGS):
-        self.n_recent = n_recent
+    def __init__(self, n_recent: int = realtime.MAX_USER_RATINGS, n_cands: int = realtime.MAX_SIM_MOVIES):
+        self.n_recent, self.n_cands = n_recent, n_cands
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getValueState(
             "recent", "recent array<struct<mid:bigint,score:double,timestamp:bigint>>")
-        self.seen = handle.getListState("seen", "mid bigint")
+        self.seen = handle.getMapState("seen", "bucket bigint", "bits binary")
 
     def _recent(self) -> list[Rating]:
         if not self.recent.exists():
@@ -80,6 +88,33 @@ class UserProfile(StatefulProcessor):
         return [(r["mid"], r["score"], r["timestamp"]) if isinstance(r, dict) else tuple(r)
                 for r in self.recent.get()[0]]
 
+    def _bits(self, bucket: int, known: dict[int, bytearray]) -> bytearray:
+        if bucket not in known:
+            stored = self.seen.getValue((bucket,)) if self.seen.containsKey((bucket,)) else None
+            known[bucket] = bytearray(stored[0]) if stored else bytearray((1 << BUCKET_BITS) // 8)
+        return known[bucket]
+
+    def _has(self, mid: int, known: dict[int, bytearray]) -> bool:
+        at = mid & (1 << BUCKET_BITS) - 1
+        return bool(self._bits(mid >> BUCKET_BITS, known)[at >> 3] >> (at & 7) & 1)
+
+    def _mark(self, mids: list[int], known: dict[int, bytearray]) -> None:
+        changed = set()
+        for mid in mids:
+            if not self._has(mid, known):
+                at = mid & (1 << BUCKET_BITS) - 1
+                known[mid >> BUCKET_BITS][at >> 3] |= 1 << (at & 7)
+                changed.add(mid >> BUCKET_BITS)
+        for bucket in changed:
+            self.seen.updateValue((bucket,), (bytes(known[bucket]),))
+
+    def _all_seen(self) -> list[int]:
+        out = []
+        for (bucket,), (bits,) in self.seen.iterator():
+            base = bucket << BUCKET_BITS
+            out += [base + 8 * i + j for i, byte in enumerate(bits) if byte for j in range(8) if byte >> j & 1]
+        return sorted(out)
+
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         # Called once per chunk of the user's seed rows (``initial_profiles``:
         # the newest ratings have recent = 1, distinct items recent = 0), so
@@ -89,29 +124,38 @@ class UserProfile(StatefulProcessor):
             self.recent.update((_newest(self._recent() + newest, self.n_recent),))
         items = initialState.loc[initialState["recent"] == 0, "mid"].tolist()
         if items:
-            self.seen.appendList([(int(m),) for m in items])
+            self._mark([int(m) for m in items], {})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        recent = self._recent()
-        seen = [m for (m,) in self.seen.get()] if self.seen.exists() else []
-        known, fresh, latest = set(seen), [], []
+        recent, known = self._recent(), {}
+        latest, head = None, ([], [], True)
         for chunk in rows:
             ratings = _ratings(chunk)
             recent = _newest(recent + ratings, self.n_recent)
-            latest = _newest(latest + ratings, 1)
-            for m, _, _ in ratings:
-                if m not in known:
-                    known.add(m)
-                    fresh.append(m)
+            self._mark([m for m, _, _ in ratings], known)
+            at = max(range(len(ratings)), key=lambda i: (ratings[i][2], ratings[i][0], ratings[i][1]))
+            m, s, t = ratings[at]
+            if latest is None or (t, m, s) > (latest[2], latest[0], latest[1]):
+                latest, row = ratings[at], chunk.iloc[at]
+                head = ([], [], True) if row["head_mids"] is None else (
+                    [int(x) for x in row["head_mids"]], [float(x) for x in row["head_scores"]], bool(row["complete"]))
         self.recent.update((recent,))
-        if fresh:
-            self.seen.appendList([(m,) for m in fresh])
-        seen += fresh
-        for at in range(0, len(seen), SEEN_PER_ROW):
+        mids, scores = [], []
+        for m, s in zip(head[0], head[1]):
+            if len(mids) == self.n_cands:
+                break
+            if not self._has(m, known):
+                mids.append(m)
+                scores.append(s)
+        deep = len(mids) < self.n_cands and not head[2]
+        seen = self._all_seen() if deep else []
+        for at in range(0, max(1, len(seen)), SEEN_PER_ROW):
+            first = at == 0
             yield pd.DataFrame({
-                "uid": [int(key[0])], "mid": pd.array([latest[0][0] if at == 0 else None], dtype="Int64"),
-                "recent": [[{"mid": m, "score": s, "timestamp": t} for m, s, t in recent] if at == 0 else []],
-                "seen": [seen[at:at + SEEN_PER_ROW]]})
+                "uid": [int(key[0])], "mid": pd.array([latest[0] if first else None], dtype="Int64"),
+                "recent": [[{"mid": m, "score": s, "timestamp": t} for m, s, t in recent] if first else []],
+                "cand_mids": [mids if first and not deep else []], "cand_scores": [scores if first and not deep else []],
+                "deep": [deep], "seen": [seen[at:at + SEEN_PER_ROW]]})
 
     def close(self) -> None:
         pass
@@ -133,17 +177,22 @@ def initial_profiles(ratings: DataFrame, n_recent: int = realtime.MAX_USER_RATIN
 
 def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.MAX_SIM_MOVIES,
                    gate: float = realtime.SIM_GATE, n_users: int | None = None,
-                   n_recent: int = realtime.MAX_USER_RATINGS) -> DataFrame:
-    """(uid, mid, recent, seen) rows -> (uid, recs), as ``score_events``. A
-    user's first row has the latest item and the recent list, further rows
-    (mid null) hold more seen items."""
-    cur = profiles.select("uid", "mid").where("mid IS NOT NULL")
-    seen = profiles.select("uid", F.explode("seen").alias("mid"))
+                   n_recent: int = realtime.MAX_USER_RATINGS, n_deep: int | None = None) -> DataFrame:
+    """Rows of ``UserProfile`` -> (uid, recs), as ``score_events``. A user's first
+    row has the latest item, the recent list and the candidates; users marked
+    deep (``n_deep`` of them, if that is known) have none, and their candidates
+    are taken from ``sim`` and the seen items of all their rows."""
+    cur = profiles.where("mid IS NOT NULL")
     recent = profiles.select("uid", F.posexplode("recent").alias("_p", "_r")).select(
         "uid", F.col("_r.mid").alias("mid"), F.col("_r.score").alias("score"),
         (F.col("_p") + 1).alias("rank"))
     small = n_users is not None and n_users * n_recent * n_cands <= BROADCAST_MAX_ROWS
-    cands = realtime.stream_candidates(cur, sim, seen, n=n_cands, broadcast=small)
+    cands = cur.select("uid", F.explode(F.arrays_zip("cand_mids", "cand_scores")).alias("_c")).select(
+        "uid", F.col("_c.cand_mids").alias("mid"), F.col("_c.cand_scores").alias("score"))
+    if n_deep is None or n_deep:
+        seen = profiles.where("deep").select("uid", F.explode("seen").alias("mid"))
+        cands = cands.unionByName(realtime.stream_candidates(
+            cur.where("deep").select("uid", "mid"), sim, seen, n=n_cands, broadcast=small).drop("rank"))
     scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)
     nested = nest_recs(ranked, "uid")
@@ -152,6 +201,27 @@ def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.
         "uid", F.coalesce("recs", empty).alias("recs"))
 
 
+HEADS_SCHEMA = "mid long, head_mids array<bigint>, head_scores array<double>, complete boolean"
+
+
+@dataclass
+class StateOnly:
+    """A sink that keeps the users' state up to date and nothing else; the state
+    can be read back with ``recent_lists``."""
+    n_recent: int = realtime.MAX_USER_RATINGS
+
+    def heads(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([], HEADS_SCHEMA)
+
+    def __call__(self, profiles: DataFrame, batch_id: int) -> None:
+        profiles.write.format("noop").mode("overwrite").save()
+
+
+def write_heads(sim: DataFrame, path: str, depth: int = HEAD) -> None:
+    """Store the neighbour lists that the stream's events carry along."""
+    realtime.neighbour_heads(sim.select("mid", "sim_mid", "score"), depth).write.mode("overwrite").parquet(path)
+
+
 @dataclass
 class ProfileScorer:
     """foreachBatch stage after the stateful operator."""
@@ -161,6 +231,14 @@ class ProfileScorer:
     # Every k batches the output log becomes one snapshot of each user's newest
     # row, and the versions it replaces are removed (None: never).
     compact_every: int | None = 100
+    # Neighbour lists of ``write_heads``; without, they are made anew at a start.
+    heads_path: str | None = None
+
+    def heads(self, spark: SparkSession) -> DataFrame:
+        path = self.heads_path or os.path.join(self.out_path, "_heads")
+        if self.heads_path is None:
+            write_heads(spark.read.parquet(self.sim_path), path)
+        return spark.read.schema(HEADS_SCHEMA).parquet(path)
 
     def __call__(self, profiles: DataFrame, batch_id: int) -> None:
         spark = profiles.sparkSession
@@ -174,8 +252,10 @@ class ProfileScorer:
         prof_path = os.path.join(self.out_path, "_profiles")
         profiles.write.mode("overwrite").parquet(prof_path)
         prof = spark.read.schema(PROFILE_SCHEMA).parquet(prof_path)
-        n_users = prof.where("mid IS NOT NULL").count()  # size check of the batch side
-        replace_by_key(score_profiles(prof, sim, n_users=n_users, n_recent=self.n_recent),
+        # size check of the batch side
+        n_users, n_deep = prof.where("mid IS NOT NULL").agg(
+            F.count(F.lit(1)), F.coalesce(F.count_if("deep"), F.lit(0))).first()
+        replace_by_key(score_profiles(prof, sim, n_users=n_users, n_recent=self.n_recent, n_deep=n_deep),
                        self.out_path, batch_id)
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             compact_log(spark, self.out_path, batch_id, key="uid", remove_old=True)
@@ -209,7 +289,16 @@ def _messages(spark: SparkSession, source: str | None, fmt: str, options: dict |
     return reader.load(source) if source else reader.load()
 
 
-def start_stateful(spark: SparkSession, source: str | None, scorer: ProfileScorer, checkpoint: str,
+def recent_lists(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stored recent lists of a stream's users, from its state store (the
+    ``statestore`` source): (uid, entries), an entry ``mid:score`` per rating,
+    newest first, as the reference keeps them."""
+    state = spark.read.format("statestore").option("stateVarName", "recent").load(checkpoint)
+    return state.select(F.col("key.uid").alias("uid"), F.transform(
+        F.col("value.recent"), lambda r: F.concat_ws(":", r["mid"].cast("string"), r["score"].cast("string"))).alias("entries"))
+
+
+def start_stateful(spark: SparkSession, source: str | None, scorer: ProfileScorer | StateOnly, checkpoint: str,
                    initial_ratings: DataFrame | None = None, trigger: dict | None = None,
                    fmt: str = "text", source_options: dict | None = None, mode: str = "fail",
                    bad_path: str | None = None) -> RealtimeQueries:
@@ -230,7 +319,7 @@ def start_stateful(spark: SparkSession, source: str | None, scorer: ProfileScore
     init = None
     if initial_ratings is not None:
         init = initial_profiles(initial_ratings, scorer.n_recent).groupBy("uid")
-    profiles = events.groupBy("uid").transformWithStateInPandas(
+    profiles = events.join(scorer.heads(spark), "mid", "left").groupBy("uid").transformWithStateInPandas(
         statefulProcessor=UserProfile(scorer.n_recent), outputStructType=PROFILE_SCHEMA,
         outputMode="Append", timeMode="None", initialState=init)
     bad_query = None

@@ -28,6 +28,18 @@ def inputs(spark):
     return ev, ev.filter(F.col("timestamp") <= mid_t), ev.filter(F.col("timestamp") > mid_t), sim_path
 
 
+def stored_items(spark, ckpt):
+    """uid -> rated items, from the bitmaps in the state store."""
+    from screenrank.streaming.stateful import BUCKET_BITS
+
+    out = {}
+    for r in spark.read.format("statestore").option("stateVarName", "seen").load(ckpt).collect():
+        base = r.user_map_key.bucket << BUCKET_BITS
+        bits = r.user_map_value.bits
+        out.setdefault(r.key.uid, set()).update(base + i for i in range(8 * len(bits)) if bits[i >> 3] >> (i & 7) & 1)
+    return out
+
+
 def rows(df):
     return sorted(tuple(r) for r in unnest_recs(df, "uid").collect())
 
@@ -61,44 +73,96 @@ def test_bootstrap_in_small_chunks_keeps_the_whole_history(spark, inputs):
         start_stateful(spark, src, sc, os.path.join(root, "ck"), initial_ratings=first,
                        trigger=ONCE).awaitTermination()
         profiles = spark.read.parquet(os.path.join(sc.out_path, "_profiles"))
-        seen = {r.uid: r.n for r in profiles.groupBy("uid").agg(F.sum(F.size("seen")).alias("n")).collect()}
         recent = {r.uid: r.n for r in profiles.groupBy("uid").agg(F.sum(F.size("recent")).alias("n")).collect()}
+        seen = stored_items(spark, os.path.join(root, "ck"))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = {r.uid: (r.items, r.n) for r in ev.join(second.select("uid").distinct(), "uid").groupBy("uid").agg(
         F.count_distinct("mid").alias("items"), F.count("*").alias("n")).collect()}
-    assert seen == {u: items for u, (items, _) in want.items()}
+    assert {u: len(seen[u]) for u in want} == {u: items for u, (items, _) in want.items()}
     assert recent == {u: min(20, n) for u, (_, n) in want.items()}
     assert any(items > 10 for items, _ in want.values())
     assert rows(current_recs(spark, sc.out_path)) == rows(score_events(second, ev, spark.read.parquet(sim_path)))
     sc.close()
 
 
-def test_a_very_long_history_is_kept_and_emitted_in_parts(spark, monkeypatch):
-    from screenrank.streaming import stateful
-
-    monkeypatch.setattr(stateful, "SEEN_PER_ROW", 4000)
-    n = 12_000
+def long_history(spark, n, neighbours, name):
+    """One event of a user with ``n`` rated items 0 .. n - 1: (scorer, checkpoint)."""
     ratings = spark.range(n).selectExpr("1L AS uid", "id AS mid", "4.0D AS score", "1000 + id AS timestamp")
-    sim = spark.createDataFrame([(n + 1, 5, 0.95), (n + 1, n + 7, 0.9), (n + 7, n + 1, 0.9)],
-                                "mid long, sim_mid long, score double")
-    root = scratch_path(spark, "long-history")
+    sim = spark.createDataFrame(neighbours, "mid long, sim_mid long, score double")
+    root = scratch_path(spark, name)
     sim.write.parquet(os.path.join(root, "sim"))
     sc = ProfileScorer(os.path.join(root, "sim"), os.path.join(root, "out"))
     src = os.path.join(root, "in")
-    spark.createDataFrame([(f"1|{n + 1}|5.0|99999",)], "value string").write.text(src)
-    start_stateful(spark, src, sc, os.path.join(root, "ck"), initial_ratings=ratings,
-                   trigger=ONCE).awaitTermination()
+    spark.createDataFrame([(f"1|{10 ** 6}|5.0|99999",)], "value string").write.text(src)
+    start_stateful(spark, src, sc, os.path.join(root, "ck"), initial_ratings=ratings, trigger=ONCE).awaitTermination()
+    return sc, os.path.join(root, "ck")
+
+
+def test_output_of_a_user_does_not_grow_with_the_history(spark):
+    at = 10 ** 6
+    for n in (30, 12_000):
+        sc, ckpt = long_history(spark, n, [(at, 5, 0.95), (at, at + 7, 0.9), (at + 7, at, 0.9)], f"history-{n}")
+        profiles = spark.read.parquet(os.path.join(sc.out_path, "_profiles")).collect()
+        assert len(profiles) == 1 and not profiles[0].deep and not profiles[0].seen
+        assert profiles[0].cand_mids == [at + 7]  # item 5 is already rated
+        assert [x.mid for x in profiles[0].recent] == [at] + list(range(n - 1, n - 20, -1))
+        assert stored_items(spark, ckpt) == {1: {*range(n), at}}
+        assert [(r.mid, r.score) for r in unnest_recs(current_recs(spark, sc.out_path), "uid").collect()] == [(at + 7, 4.5)]
+        sc.close()
+
+
+def test_a_user_who_has_rated_the_head_gets_the_rest_of_the_neighbours(spark, monkeypatch):
+    """More neighbours than an event carries, and all of those are rated: the
+    candidates come from the whole table, and the seen items in parts."""
+    from screenrank.streaming import stateful
+
+    monkeypatch.setattr(stateful, "SEEN_PER_ROW", 40)
+    at = 10 ** 6
+    near = [(at, m, 0.99 - m / 1000) for m in range(100)] + [(at, at + k, 0.8 - k / 100) for k in (1, 2)]
+    sc, _ = long_history(spark, 100, near + [(m, a, x) for a, m, x in near], "deep")
     profiles = spark.read.parquet(os.path.join(sc.out_path, "_profiles")).collect()
-    assert len(profiles) == 4 and sum(len(r.seen) for r in profiles) == n + 1
-    assert len({m for r in profiles for m in r.seen}) == n + 1
-    first = [r for r in profiles if r.mid is not None]
-    assert len(first) == 1 and [x.mid for x in first[0].recent] == [n + 1] + list(range(n - 1, n - 20, -1))
-    # item 5 is already rated, so only n + 7 is recommended
-    assert [(r.mid, r.score) for r in unnest_recs(current_recs(spark, sc.out_path), "uid").collect()] == [(n + 7, 4.5)]
+    assert all(r.deep for r in profiles) and len(profiles) == 3 and sum(len(r.seen) for r in profiles) == 101
+    got = {r.mid for r in unnest_recs(current_recs(spark, sc.out_path), "uid").collect()}
+    assert got == {at + 1, at + 2}
     sc.close()
 
 
+def test_the_trigger_runs_every_five_seconds(spark, inputs):
+    """The default trigger over two batches, as the listener saw them."""
+    import time
+    from datetime import datetime
+
+    from screenrank.streaming.progress import BatchLog
+    from screenrank.streaming.stateful import StateOnly, recent_lists
+
+    _, first, second, _ = inputs
+    root = scratch_path(spark, "trigger")
+    src, ckpt = os.path.join(root, "in"), os.path.join(root, "ck")
+    log = BatchLog()
+    spark.streams.addListener(log)
+    try:
+        render_rating_messages(first).coalesce(1).write.text(src)
+        q = start_stateful(spark, src, StateOnly(), ckpt)
+        run = q.scoring.runId
+        for n, more in ((1, second), (2, None)):
+            end = time.time() + 120
+            while len(log.of(run)) < n and time.time() < end:
+                time.sleep(0.2)
+            if more is not None:
+                render_rating_messages(more).coalesce(1).write.mode("append").text(src)
+        q.stop()
+    finally:
+        spark.streams.removeListener(log)
+    a, b = log.of(run)
+    assert (a.batch_id, b.batch_id) == (0, 1) and (a.input_rows, b.input_rows) == (first.count(), second.count())
+    gap = datetime.fromisoformat(b.started) - datetime.fromisoformat(a.started)
+    late = gap.total_seconds() % 5
+    assert gap.total_seconds() >= 4.9 and (min(late, 5 - late) < 1 or a.millis > 5000) and a.millis > 0
+    users = {r.uid for r in first.unionByName(second).select("uid").distinct().collect()}
+    assert {r.uid for r in recent_lists(spark, ckpt).collect()} == users
+
+
 def test_bad_messages_fail_or_go_to_their_table(spark, inputs):
     _, first, _, sim_path = inputs
     root = scratch_path(spark, "bad")

@@ -1,5 +1,6 @@
 import pytest
 
+from screenrank.sources import text
 from screenrank.sources.text import (parse_movie_lines, parse_rating_lines, parse_rating_messages,
                                      parse_tag_lines, render_rating_messages)
 
@@ -53,3 +54,9 @@ def test_message_round_trip(spark):
     assert msgs.first().value == "7|9|3.5|100"
     good, _ = parse_rating_messages(msgs)
     assert good.first().asDict() == {"uid": 7, "mid": 9, "score": 3.5, "timestamp": 100}
+
+
+def test_recent_entries_parse_like_the_stored_list(spark):
+    df = spark.createDataFrame([(["3:4.5", " 12 :0.5", "x:1.0", "7:", "8"],), ([],)], "e array<string>")
+    got = [r.r for r in df.select(text.parse_recent_entries("e").alias("r")).collect()]
+    assert [(x.mid, x.score) for x in got[0]] == [(3, 4.5), (12, 0.5), (None, 1.0), (7, None), (8, None)] and got[1] == []

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 def recs_to_map(recs: str | Column) -> Column:
     """array<struct<mid, score>> -> map<mid, score> (last entry wins on repeats)."""
     c = F.col(recs) if isinstance(recs, str) else recs
-    mids = F.transform(c, lambda x: x["mid"])
-    last = F.transform(F.array_distinct(mids), lambda m: F.struct(
-        m.alias("mid"), F.element_at(F.filter(c, lambda x: x["mid"] == m), -1)["score"].alias("score")))
-    return F.map_from_entries(last)
+    placed = F.array_sort(F.transform(c, lambda x, i: F.struct(x["mid"].alias("mid"), i.alias("i"),
+                                                               x["score"].alias("score"))))
+
+    def last_of_its_item(x: Column, i: Column) -> Column:
+        following = F.get(placed, i + 1)
+        return following.isNull() | (following["mid"] != x["mid"])
+
+    return F.map_from_entries(F.transform(F.filter(placed, last_of_its_item),
+                                          lambda x: F.struct(x["mid"], x["score"])))
 
 
 def lookup(m: str | Column, key: str | Column, default: float = 0.0) -> Column:

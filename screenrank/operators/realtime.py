@@ -45,19 +45,6 @@ def recent_ratings(ratings: DataFrame, n: int = MAX_USER_RATINGS,
     return top.select("uid", "mid", "score", "rank")
 
 
-def sim_bucket(mid_col, buckets: int):
-    """Storage bucket of a similarity row: lets per-batch lookups read only
-    the buckets of the batch's items (dynamic partition pruning)."""
-    return F.pmod(F.xxhash64(F.col(mid_col) if isinstance(mid_col, str) else mid_col),
-                  F.lit(buckets)).cast("int")
-
-
-def write_similarity_table(edges: DataFrame, path: str, buckets: int = 64) -> None:
-    """Store (mid, sim_mid, score) partitioned by ``bucket`` of mid."""
-    (edges.select("mid", "sim_mid", "score", sim_bucket("mid", buckets).alias("bucket"))
-     .repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
-
-
 def neighbour_heads(sim: DataFrame, depth: int, digits: int | None = SCORE_DIGITS) -> DataFrame:
     """(mid, head_mids, head_scores, complete): each item's ``depth`` best
     neighbours in the order of ``stream_candidates`` (rounded score, then id), and
@@ -77,7 +64,7 @@ def _small(df: DataFrame, broadcast: bool) -> DataFrame:
 
 def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
                       n: int = MAX_SIM_MOVIES, digits: int | None = SCORE_DIGITS,
-                      sim_buckets: int | None = None, broadcast: bool = False) -> DataFrame:
+                      broadcast: bool = False) -> DataFrame:
     """For each (uid, mid) event, the ``n`` most similar items of ``mid``
     the user has not rated yet -> (uid, mid, score, rank).
 
@@ -97,9 +84,7 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
 
     ``broadcast=True`` is for a caller that has checked the events are few
     (a micro-batch): the event side is broadcast and the large tables are only
-    scanned, never shuffled. With ``sim_buckets`` the similarity table is the
-    bucketed layout of ``write_similarity_table`` and only touched buckets
-    are read."""
+    scanned, never shuffled."""
     ev = current.select("uid", F.col("mid").alias("src"))
     users = ev.select("uid").distinct()
     seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
@@ -111,13 +96,8 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
     srcs = need.groupBy("src").agg(F.greatest(doublings, F.lit(0)).alias("_i"))
     levels = sorted(r[0] for r in srcs.select("_i").distinct().collect())  # at most some 30 numbers
     edges = sim.select(F.col("mid").alias("src"), F.col("sim_mid").alias("mid"),
-                       (F.round("score", digits) if digits is not None else F.col("score")).alias("score"),
-                       *(["bucket"] if sim_buckets else []))
-    if sim_buckets:
-        srcs = srcs.withColumn("bucket", sim_bucket("src", sim_buckets))
-        edges = edges.join(_small(srcs, broadcast), ["bucket", "src"]).drop("bucket")
-    else:
-        edges = edges.join(_small(srcs, broadcast), "src")
+                       (F.round("score", digits) if digits is not None else F.col("score")).alias("score"))
+    edges = edges.join(_small(srcs, broadcast), "src")
     if not levels:  # no events
         return edges.select(F.lit(None).cast("bigint").alias("uid"), "mid", "score",
                             F.lit(None).cast("int").alias("rank")).limit(0)
@@ -132,7 +112,7 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
 
 def stream_scores(cands: DataFrame, recent: DataFrame, sim: DataFrame, gate: float = SIM_GATE,
                   like_above: float = LIKE_ABOVE, digits: int | None = SCORE_DIGITS,
-                  sim_buckets: int | None = None, broadcast: bool = False) -> DataFrame:
+                  broadcast: bool = False) -> DataFrame:
     """Priority of each candidate from the user's recent ratings.
 
     score(u, q) = mean over gated r of sim(q, r) * rating(r)
@@ -144,15 +124,10 @@ def stream_scores(cands: DataFrame, recent: DataFrame, sim: DataFrame, gate: flo
     c = cands.select("uid", F.col("mid").alias("q"))
     r = recent.select("uid", F.col("mid").alias("r"), F.col("score").alias("rating"))
     pairs = c.join(r, "uid")  # J10: candidates x recent, within one user
-    s = sim.select(F.col("mid").alias("q"), F.col("sim_mid").alias("r"), F.col("score").alias("sim"),
-                   *(["bucket"] if sim_buckets else []))
-    keys = ["q", "r"]
+    s = sim.select(F.col("mid").alias("q"), F.col("sim_mid").alias("r"), F.col("score").alias("sim"))
     # only the candidates' edges take part in the pair join
     s = s.join(_small(c.select("q").distinct(), broadcast), "q", "left_semi")
-    if sim_buckets:
-        pairs = pairs.withColumn("bucket", sim_bucket("q", sim_buckets))
-        keys = ["bucket", "q", "r"]
-    gated = s.join(_small(pairs, broadcast), keys).filter(F.col("sim") > gate)  # J9 + P10
+    gated = s.join(_small(pairs, broadcast), ["q", "r"]).filter(F.col("sim") > gate)  # J9 + P10
     liked = F.col("rating") > like_above
     agg = gated.groupBy("uid", "q").agg(
         F.avg(F.col("sim") * F.col("rating")).alias("_mean"),

@@ -1,23 +1,24 @@
-"""Line dedup (operator 3): winnowing over line hashes.
+"""Line dedup (operator 3): windows of whole lines joined by their content.
 
 A text is split at line feeds; a line counts by its content without blanks
 around it, and lines without words only by their place. For every line the
 shortest run of lines from it on, and the shortest run back from it, with at
-least ``RUN_WORDS`` words is a window. Winnowing takes the window's line of
-least hash (the last of equal ones) as its fingerprint. Two texts that share a
-run of that many words share the windows in it, and so their fingerprints:
-positions are joined on the fingerprint together with the hashes of what lies
-before and after it in the window, which extends the match both ways up to the
-window's ends; overlapping matches make longer runs. Of each joined group the
-first position (by doc_id, then line) stays and the lines of all later ones
-are deleted; a window that overlaps its own first position stays too.
+least ``RUN_WORDS`` words is a window. All windows are emitted, each under the
+hash of its whole content (the hash of its least line together with those of
+what lies before and after it in the window). This stands in for winnowing: no
+window is left out, and no match has to be extended, since overlapping windows
+make longer runs by themselves. (``passage_dedup`` selects window minima, joins
+them and extends the matches, on words.) Of each joined group the first position
+(by doc_id, then line) stays and the lines of all later ones are deleted; a
+window that overlaps its own first position stays too.
 
 Every line of a repeated run of ``RUN_WORDS`` or more words lies in one of its
 forward or backward windows, so the whole run goes, and nothing else does.
 No pair of positions is ever written out: a group needs its least position
 only, which is aggregated before the shuffle.
 
-Defined results: null texts stay null and have no lines; texts with fewer words
+Defined results: null texts stay null and have no lines; very long texts count
+whole; texts with fewer words
 than a window keep everything; a null ``doc_id`` comes before all others; rows
 that repeat a doc_id and text are one document, rows that repeat a doc_id with
 other texts follow in the order of a hash of the text; an empty table gives no

@@ -181,12 +181,16 @@ def _classes(docs: DataFrame, threshold: float, trees: int, max_depth: int, targ
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*"),
                         F.coalesce(F.max("chunks"), F.lit(0))).first()
 
-    # the sets of candidates only are made again from their texts; a row that
-    # is repeated in the table gives the same text several times
+    # the sets of candidates only are made again from their texts
     want = small_side(members.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"),
                                      "rep", "comp", "copies", "chunks", "set_key"), total[1])
-    texts = (docs.join(want, docs["doc_id"].eqNullSafe(want["of_id"]) & (docs["text_key"] == want["of_text"]))
-             .select("rep", "comp", "copies", "chunks", "set_key", "text").dropDuplicates(["rep"]))
+
+    def wanted(rows: DataFrame) -> DataFrame:
+        return rows.join(want, rows["doc_id"].eqNullSafe(want["of_id"]) & (rows["text_key"] == want["of_text"]))
+
+    texts = wanted(docs).select("rep", "comp", "copies", "chunks", "set_key", "text")
+    if wanted(ids.select("doc_id", "text_key")).count() > total[1]:  # rows that are repeated in the table
+        texts = texts.dropDuplicates(["rep"])
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

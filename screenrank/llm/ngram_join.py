@@ -1,15 +1,20 @@
-"""N-gram Jaccard join (operator 6): MinHash bands, then exact verification.
+"""N-gram Jaccard join (operator 6): MinHash LSH forest, then exact verification.
 
 Every text becomes its set of five-word shingles. Texts with equal sets form
-one class and take part once. Each class gets ``trees`` labels of MinHash values;
-their length is the longest, up to ``max_depth``, at which the chance that a pair
-at the threshold has an equal label in at least one tree reaches
-``target_recall``. (An LSH forest would keep longer labels in sorted tries and
-shorten the matched prefixes by what the data gives; here the length follows
-from the parameters alone, which is banding. README says so.) Classes with an
-equal label form candidate components; within a component every pair is
-verified exactly, in chunks of bounded size, and only counts and local labels
-leave a task. Pairs are therefore never written out.
+one class and take part once. Each class gets one label of ``max_depth`` MinHash
+values per tree. The labels of a tree, in the order of their bytes, are a trie: the
+classes below one node are those that share a prefix of its length. Matching begins
+at the longest prefixes. The classes below a common node form candidate
+components, in which every pair is verified exactly, in chunks of bounded size;
+only counts, local labels and a histogram of the similarities found leave a task,
+so pairs are never written out. The histogram tells how many links the prefixes of
+this length are expected to miss (a link of similarity ``s`` has no common prefix of
+``d`` values in any tree with probability ``(1 - s**d) ** trees``). While that is more
+than ``target_recall`` allows, the prefixes are shortened by one value and the
+components that grew by it are verified; those that did not keep what they have.
+No prefix is shortened beyond the length at which even a link at the threshold is met
+with the target probability (``prefix_depth``), nor does matching end before that
+when there are too few links to tell.
 
 Rows are known by a number given when their signatures are written; texts are
 found again by (doc_id, hash of the text), null ids included.
@@ -34,16 +39,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenrank.llm.common import components, saved, small_side
-from screenrank.llm.words import MinHash, mix, shingles
+from screenrank.llm.words import MinHash, shingles
 from screenrank.session import ship_by_value
 
 THRESHOLD = 0.8
 TREES = 24
-MAX_DEPTH = 5
+MAX_DEPTH = 6
 TARGET_RECALL = 0.99999
 #: Shingles and texts of one verification chunk (2**18 shingles are 2 MB).
 CHUNK_SHINGLES = 1 << 18
 CHUNK_TEXTS = 1024
+#: Width of the histogram of similarities, and bytes of one value of a label.
+SIMILARITY_BINS = 1000
+VALUE_BYTES = 2
 
 
 def prefix_depth(threshold: float, trees: int, max_depth: int, target_recall: float) -> int:
@@ -55,6 +63,23 @@ def prefix_depth(threshold: float, trees: int, max_depth: int, target_recall: fl
     raise ValueError(f"{trees} trees can't reach a recall of {target_recall} at {threshold}")
 
 
+def missed_links(links: dict[int, int], depth: int, threshold: float, trees: int) -> float:
+    """Expected number of links without a common prefix of ``depth`` values, from the
+    verified ones by bin of similarity (each bin at its lower edge), and from one more
+    at the threshold itself, so that few links prove little."""
+    def per_link(similarity: float) -> float:
+        apart = (1 - min(similarity, 1.0) ** depth) ** trees
+        return apart / (1 - apart)
+
+    return per_link(threshold) + sum(n * per_link(max(threshold, b / SIMILARITY_BINS)) for b, n in links.items())
+
+
+def deep_enough(links: dict[int, int], depth: int, threshold: float, trees: int, target_recall: float) -> bool:
+    """Whether prefixes of ``depth`` values find the target share of all links."""
+    missed = missed_links(links, depth, threshold, trees)
+    return missed <= (1 - target_recall) * (sum(links.values()) + missed)
+
+
 def _shingle_sets(text: str | None) -> np.ndarray:
     return np.unique(shingles(text))
 
@@ -63,36 +88,36 @@ def _set_key(items: np.ndarray) -> bytes:
     return hashlib.md5(items.tobytes()).digest()
 
 
-def signatures(docs: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(doc_id, text_key, set_key, n_shingles, nodes) of rows (doc_id, text_key,
-    text): one 64-bit key per tree, of its first ``depth`` values; none for a
-    text without words."""
+def signatures(docs: DataFrame, trees: int, max_depth: int) -> DataFrame:
+    """(doc_id, text_key, set_key, n_shingles, forest) of rows (doc_id, text_key,
+    text): the labels of all trees in turn, ``VALUE_BYTES`` a value, high byte first;
+    empty for a text without words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = MinHash(trees * depth)
-        tree = np.arange(trees, dtype=np.uint64)
+        hasher = MinHash(trees * max_depth)
         for pdf in batches:
-            keys, sizes, nodes = [], [], []
+            keys, sizes, forest = [], [], []
             for text in pdf["text"]:
                 s = _shingle_sets(text)
                 keys.append(_set_key(s))
                 sizes.append(len(s))
-                if len(s):
-                    label = hasher.signature(s).reshape(trees, depth).astype(np.uint64)
-                    node = mix(tree + np.uint64(1))
-                    for level in range(depth):
-                        node = mix(node + label[:, level])
-                    nodes.append(node.view(np.int64))
-                else:
-                    nodes.append(np.empty(0, dtype=np.int64))
+                label = hasher.signature(s) >> np.uint32(32 - 8 * VALUE_BYTES) if len(s) else np.empty(0)
+                forest.append(label.astype(f">u{VALUE_BYTES}").tobytes())
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"], "set_key": keys,
-                                "n_shingles": sizes, "nodes": nodes})
+                                "n_shingles": sizes, "forest": forest})
 
-    return docs.mapInPandas(run, "doc_id long, text_key long, set_key binary, n_shingles int, nodes array<long>")
+    return docs.mapInPandas(run, "doc_id long, text_key long, set_key binary, n_shingles int, forest binary")
 
 
-def linked(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray,
-           threshold: float) -> np.ndarray:
-    """Boolean matrix rows x cols of pairs with Jaccard >= threshold (exact)."""
+def trie_nodes(reps: DataFrame, trees: int, max_depth: int, depth: int) -> DataFrame:
+    """(rep, node): of every label the trie node ``depth`` values below its root."""
+    label = VALUE_BYTES * max_depth
+    return (reps.select("rep", "forest", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+            .select("rep", F.expr(f"xxhash64(tree, substring(forest, tree * {label} + 1, {VALUE_BYTES * depth}))")
+                    .alias("node")))
+
+
+def overlaps(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the intersections and unions of all pairs rows x cols."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count[column] > 1
@@ -109,23 +134,35 @@ def linked(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray,
         x[owner[i:j], column[i:j] - lo] = 1
         both += x[rows] @ x[cols].T
     size = np.array([len(s) for s in sets], dtype=np.float64)
-    union = size[rows][:, None] + size[cols][None, :] - both
+    return both, size[rows][:, None] + size[cols][None, :] - both
+
+
+def linked(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray,
+           threshold: float) -> np.ndarray:
+    """Boolean matrix rows x cols of pairs with Jaccard >= threshold (exact)."""
+    both, union = overlaps(sets, rows, cols)
     return both >= threshold * union - 1e-9
 
 
-def _verify_group(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray],
-                  side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Local label, linked documents and linked classes of every row. ``side``
-    is 0/1 for the two chunks of a pair; only links between them count then."""
-    if side.any():
-        rows, cols = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        adj = np.zeros((len(ids), len(ids)), dtype=bool)
-        adj[np.ix_(rows, cols)] = linked(sets, rows, cols, threshold)
+def _verify_group(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], side: np.ndarray,
+                  threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Local label, linked documents and linked classes of every row, and the links
+    by bin of similarity (bins, counts). ``side`` is 0/1 for the two chunks of a pair;
+    only links between them count then."""
+    two = bool(side.any())
+    rows = np.flatnonzero(side == 0)
+    cols = np.flatnonzero(side == 1) if two else rows
+    both, union = overlaps(sets, rows, cols)
+    hit = both >= threshold * union - 1e-9
+    if not two:
+        np.fill_diagonal(hit, False)
+    bins, pairs = np.unique((both[hit] / union[hit] * SIMILARITY_BINS).astype(np.int32), return_counts=True)
+    adj = np.zeros((len(ids), len(ids)), dtype=bool)
+    adj[np.ix_(rows, cols)] = hit
+    if two:
         adj |= adj.T
     else:
-        every = np.arange(len(ids))
-        adj = linked(sets, every, every, threshold)
-        np.fill_diagonal(adj, False)
+        pairs //= 2  # seen from both ends
     label = ids.copy()
     far = np.iinfo(np.int64).max
     while True:
@@ -133,96 +170,140 @@ def _verify_group(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray],
         if (best == label).all():
             break
         label = best
-    return label, adj @ copies, adj.sum(axis=1)
+    return label, adj @ copies, adj.sum(axis=1), bins, pairs
+
+
+FOUND = ("comp long, texts long, rep long, label long, linked_docs long, linked_texts long, "
+         "bins array<int>, pairs array<long>")
 
 
 def verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for _, g in pdf.drop_duplicates("rep").groupby("comp", sort=False):
+        for comp, g in pdf.drop_duplicates("rep").groupby("comp", sort=False):
             ids = g["rep"].to_numpy(np.int64)
             sets = [np.frombuffer(b, dtype=np.uint64) for b in g["items"]]
-            label, docs, texts = _verify_group(ids, g["copies"].to_numpy(np.int64), sets,
-                                               g["side"].to_numpy(), threshold)
-            yield pd.DataFrame({"rep": ids, "label": label, "linked_docs": docs,
-                                "linked_texts": texts})
+            label, docs, texts, bins, pairs = _verify_group(ids, g["copies"].to_numpy(np.int64), sets,
+                                                            g["side"].to_numpy(), threshold)
+            rest = len(ids) - 1  # the histogram stands with the first row of the group
+            yield pd.DataFrame({"comp": comp, "texts": g["texts"].to_numpy(), "rep": ids, "label": label,
+                                "linked_docs": docs, "linked_texts": texts, "bins": [bins] + [bins[:0]] * rest,
+                                "pairs": [pairs] + [pairs[:0]] * rest})
 
 
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), *more)
 
 
-def _classes(docs: DataFrame, threshold: float, trees: int, max_depth: int, target_recall: float,
-             chunk_shingles: int, chunk_texts: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, copies, copy_of, label, class_id, linked_docs,
-    linked_texts) per row; ``label`` numbers the classes, null without words."""
-    depth = prefix_depth(threshold, trees, max_depth, target_recall)
-    docs = _keyed(docs, "text")
-    ids = saved(signatures(docs, trees, depth).withColumn("row", F.monotonically_increasing_id()), "ngram-signatures")
-    named = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row")
-    reps = (ids.where("n_shingles > 0").groupBy("set_key")
-            .agg(F.min(named).alias("first"), F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"),
-                 F.first("n_shingles").alias("n_shingles"), F.first("nodes").alias("nodes"))
-            .select("set_key", F.col("first.row").alias("rep"), F.col("first.doc_id").alias("doc_id"),
-                    F.col("first.text_key").alias("text_key"), "copy_of", "copies", "n_shingles", "nodes"))
-    reps = saved(reps, "ngram-classes")
-
-    entries = reps.select("rep", F.explode("nodes").alias("node"))
+def _candidates(reps: DataFrame, trees: int, max_depth: int, depth: int, chunk_shingles: int,
+                chunk_texts: int) -> DataFrame:
+    """Members of the components that prefixes of ``depth`` values join: the columns of
+    ``reps`` but the labels, ``comp`` (its smallest rep), ``texts`` (its members) and
+    ``chunks`` (the parts in which it is verified)."""
+    entries = trie_nodes(reps, trees, max_depth, depth)
     star = entries.groupBy("node").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1")
     edges = entries.join(star, "node").select(F.col("rep").alias("a"), "b")
-    members = (components(edges, "ngram-candidates").withColumnRenamed("id", "rep")
-               .withColumnRenamed("label", "comp")
-               .join(reps.select("rep", "doc_id", "text_key", "copies", "n_shingles", "set_key"), "rep"))
-    members = saved(members, "ngram-members")
-    sizes = (members.groupBy("comp")
-             .agg(F.sum("n_shingles").alias("s"), F.count("*").alias("n"))
-             .select("comp", F.greatest(F.ceil(F.col("s") / chunk_shingles),
-                                        F.ceil(F.col("n") / chunk_texts)).alias("chunks")))
-    members = members.join(sizes, "comp")
-    total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*"),
-                        F.coalesce(F.max("chunks"), F.lit(0))).first()
+    members = saved(components(edges, f"ngram-candidates-{depth}").withColumnRenamed("id", "rep")
+                    .withColumnRenamed("label", "comp")
+                    .join(reps.select("rep", "doc_id", "text_key", "copies", "n_shingles", "set_key"), "rep"),
+                    "ngram-members")
+    sizes = (members.groupBy("comp").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("texts"))
+             .select("comp", "texts", F.greatest(F.ceil(F.col("s") / chunk_shingles),
+                                                 F.ceil(F.col("texts") / chunk_texts)).alias("chunks")))
+    return members.join(sizes, "comp")
+
+
+def _verified(members: DataFrame, ids: DataFrame, docs: DataFrame, threshold: float,
+              chunk_shingles: int) -> DataFrame:
+    """Columns ``FOUND`` of the links within each component of ``members``; a member of
+    a component of several chunks has a row for every pair of chunks it is in."""
+    n_shingles, n = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
 
     # the sets of candidates only are made again from their texts
     want = small_side(members.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"),
-                                     "rep", "comp", "copies", "chunks", "set_key"), total[1])
+                                     "rep", "comp", "texts", "copies", "chunks", "set_key"), n)
 
     def wanted(rows: DataFrame) -> DataFrame:
         return rows.join(want, rows["doc_id"].eqNullSafe(want["of_id"]) & (rows["text_key"] == want["of_text"]))
 
-    texts = wanted(docs).select("rep", "comp", "copies", "chunks", "set_key", "text")
-    if wanted(ids.select("doc_id", "text_key")).count() > total[1]:  # rows that are repeated in the table
+    known = ["rep", "comp", "texts", "copies", "chunks"]
+    texts = wanted(docs).select(*known, "set_key", "text")
+    if wanted(ids.select("doc_id", "text_key")).count() > n:  # rows that are repeated in the table
         texts = texts.dropDuplicates(["rep"])
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             made = [_shingle_sets(t) for t in pdf["text"]]
             same = [_set_key(s) == k for s, k in zip(made, pdf["set_key"])]
-            out = pdf[["rep", "comp", "copies", "chunks"]].assign(items=[s.tobytes() for s in made])
-            yield out[same]
+            yield pdf[known].assign(items=[s.tobytes() for s in made])[same]
 
-    sets_of = texts.mapInPandas(sets, "rep long, comp long, copies long, chunks long, items binary")
-    bins = max(1, -(-int(total[0]) // chunk_shingles))
+    sets_of = texts.mapInPandas(sets, "rep long, comp long, texts long, copies long, chunks long, items binary")
+    bins = max(1, -(-int(n_shingles) // chunk_shingles))
     own = F.pmod(F.xxhash64("rep"), F.col("chunks"))
+    rest = ["comp", "texts", "rep", "copies", "items"]
     alone = (sets_of.where("chunks = 1")
              .select(F.pmod(F.xxhash64("comp"), F.lit(bins)).alias("g"), F.lit(-1).alias("i"),
-                     F.lit(-1).alias("j"), F.lit(0).alias("side"), "comp", "rep", "copies", "items"))
+                     F.lit(-1).alias("j"), F.lit(0).alias("side"), *rest))
     dealt = (sets_of.where("chunks > 1").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
              .select(F.col("comp").alias("g"),
                      F.least("own", "other").cast("int").alias("i"),
                      F.greatest("own", "other").cast("int").alias("j"),
-                     (F.col("own") > F.col("other")).cast("int").alias("side"),
-                     "comp", "rep", "copies", "items"))
+                     (F.col("own") > F.col("other")).cast("int").alias("side"), *rest))
 
     def check(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.concat(verify(iter([pdf]), threshold))
 
-    found = (alone.union(dealt).groupBy("g", "i", "j")
-             .applyInPandas(check, "rep long, label long, linked_docs long, linked_texts long"))
-    found = saved(found, "ngram-found")
+    return alone.union(dealt).groupBy("g", "i", "j").applyInPandas(check, FOUND)
+
+
+def match_forest(reps: DataFrame, ids: DataFrame, docs: DataFrame, threshold: float, trees: int, max_depth: int,
+                 target_recall: float, chunk_shingles: int, chunk_texts: int) -> tuple[DataFrame, int, bool]:
+    """The links (columns ``FOUND``) by prefixes shortened from ``max_depth`` until the
+    target recall, the length they came to, and whether a component has several chunks."""
+    least = prefix_depth(threshold, trees, max_depth, target_recall)
+    found = None
+    for depth in range(max_depth, least - 1, -1):
+        members = saved(_candidates(reps, trees, max_depth, depth, chunk_shingles, chunk_texts), "ngram-level")
+        if found is None:
+            found = saved(_verified(members, ids, docs, threshold, chunk_shingles), "ngram-found")
+        else:  # a component of the same first member and size is the same: shorter prefixes only add
+            settled = found.select("comp", "texts").distinct()
+            grown = saved(members.join(settled, ["comp", "texts"], "left_anti"), "ngram-grown")
+            now = members.select("comp", "texts").distinct()
+            found = saved(found.join(now, ["comp", "texts"], "left_semi").select(found.columns)
+                          .unionByName(_verified(grown, ids, docs, threshold, chunk_shingles)), "ngram-found")
+        links = {r["bin"]: r["n"] for r in
+                 found.select(F.explode(F.arrays_zip("bins", "pairs")).alias("x"))
+                 .groupBy(F.col("x.bins").alias("bin")).agg(F.sum("x.pairs").alias("n")).collect()}
+        if deep_enough(links, depth, threshold, trees, target_recall):
+            break
+    return found, depth, not members.where("chunks > 1").isEmpty()
+
+
+def _labelled(docs: DataFrame, trees: int, max_depth: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their labels and numbers, and one row of each set of shingles."""
+    ids = saved(signatures(docs, trees, max_depth).withColumn("row", F.monotonically_increasing_id()), "ngram-signatures")
+    named = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row")
+    reps = (ids.where("n_shingles > 0").groupBy("set_key")
+            .agg(F.min(named).alias("first"), F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"),
+                 F.first("n_shingles").alias("n_shingles"), F.first("forest").alias("forest"))
+            .select("set_key", F.col("first.row").alias("rep"), F.col("first.doc_id").alias("doc_id"),
+                    F.col("first.text_key").alias("text_key"), "copy_of", "copies", "n_shingles", "forest"))
+    return ids, saved(reps, "ngram-classes")
+
+
+def _classes(docs: DataFrame, threshold: float, trees: int, max_depth: int, target_recall: float,
+             chunk_shingles: int, chunk_texts: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, copies, copy_of, label, class_id, linked_docs,
+    linked_texts) per row; ``label`` numbers the classes, null without words."""
+    docs = _keyed(docs, "text")
+    ids, reps = _labelled(docs, trees, max_depth)
+    found, _, chunked = match_forest(reps, ids, docs, threshold, trees, max_depth, target_recall,
+                                     chunk_shingles, chunk_texts)
     counts = found.groupBy("rep").agg(F.sum("linked_docs").alias("linked_docs"),
                                       F.sum("linked_texts").alias("linked_texts"),
                                       F.min("label").alias("label"))
-    if total[2] > 1:  # a component of several chunks: join its local labels
+    if chunked:  # a component of several chunks: join its local labels
         joined = components(found.select(F.col("rep").alias("a"), F.col("label").alias("b")),
                             "ngram-classes-joined")
         counts = (counts.drop("label").join(joined.withColumnRenamed("id", "rep"), "rep", "left")

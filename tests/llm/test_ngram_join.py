@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from screenrank.llm import ngram_join
-from screenrank.llm.ngram_join import linked, ngram_links, one_per_class, prefix_depth
+from screenrank.llm.ngram_join import (_keyed, _labelled, deep_enough, linked, match_forest, missed_links,
+                                       ngram_links, one_per_class, prefix_depth, trie_nodes)
 from screenrank.llm.words import shingles
 
 SCHEMA = "doc_id long, text string, class_id string"
@@ -86,13 +87,46 @@ def test_empty_table(spark):
     assert ngram_links(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_label_length_follows_from_the_target_recall():
+def test_shortest_prefix_follows_from_the_target_recall():
     assert prefix_depth(0.8, 24, 5, 0.9999) == 5
-    assert prefix_depth(0.8, 24, 5, 0.99999) == 4
+    assert prefix_depth(0.8, 24, 6, 0.99999) == 4
     with pytest.raises(ValueError):
         prefix_depth(0.1, 2, 5, 0.99999)
 
 
+def test_missed_links_are_those_a_simulation_misses():
+    rng = np.random.default_rng(3)
+    common = rng.random((40_000, 4, 3)) < 0.85  # 4 trees, 3 values each
+    met = common.all(axis=2).any(axis=1).sum()
+    least = missed_links({}, 3, 0.8, 4)
+    assert missed_links({850: int(met)}, 3, 0.8, 4) - least == pytest.approx(40_000 - met, rel=0.1)
+    assert not deep_enough({}, 6, 0.8, 24, 0.99999)  # no links, no evidence
+    assert deep_enough({990: 1000}, 6, 0.8, 24, 0.99999)
+    assert not deep_enough({990: 1000, 800: 200}, 6, 0.8, 24, 0.99999)
+
+
+def _forest(spark, rows):
+    docs = _keyed(spark.createDataFrame(rows, "doc_id long, text string"), "text")
+    ids, reps = _labelled(docs, 24, 6)
+    return reps, match_forest(reps, ids, docs, 0.8, 24, 6, 0.99999, 1 << 18, 1024)
+
+
+def test_prefixes_shorten_only_as_far_as_the_similarities_ask(spark):
+    def group(g, n, step):  # texts of 200 words of which each has changed one, ``step`` words from the last
+        base = [f"g{g}w{i}" for i in range(200)]
+        return [" ".join(base[:k * step] + [f"new{k}"] + base[k * step + 1:]) for k in range(1, n)]
+
+    close = [t for g in range(4) for t in group(g, 12, 1)]
+    reps, (found, depth, chunked) = _forest(spark, list(enumerate(close)))
+    assert (depth, chunked) == (6, False)
+    far = [" ".join(f"f{g}w{i + s}" for i in range(60)) for g in range(60) for s in (0, 6)]  # Jaccard 50 / 62
+    _, (found, depth, _) = _forest(spark, list(enumerate(close + far)))
+    assert depth < 6
+    assert found.agg({"linked_texts": "sum"}).first()[0] == 4 * 11 * 10 + 2 * 60
+    nodes = [{(r.rep, r.node) for r in trie_nodes(reps, 24, 6, d).collect()} for d in (6, 4)]
+    assert len({n for _, n in nodes[0]}) > len({n for _, n in nodes[1]})  # shorter prefixes, fewer nodes
+
+
 def test_linked_counts_exactly_across_column_slices():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 9000, 6000).astype(np.uint64)) for _ in range(6)]

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from screenrank.llm.line_dedup import dedup_lines
+from screenrank.llm.line_dedup import blocks, dedup_lines, fingerprints, windows
 
 SCHEMA = "doc_id long, text string, removed string"
 
@@ -69,6 +69,44 @@ def test_equals_all_common_runs(spark, seed):
     assert got == want and any(want[i] != t for i, t in docs)
 
 
+def by_windows(docs, run_words):
+    """doc_id -> kept text: every window against the first place of its content."""
+    first, spans = {}, {}
+    for i, t in docs:
+        lines, _, found = windows(t, run_words)
+        text = t.split("\n")
+        spans[i] = [(tuple(text[n].strip() for n in lines[s:e]), lines[s], lines[e - 1]) for s, e, _ in found]
+        for content, a, b in spans[i]:
+            first[content] = min(first.get(content, (i, a, b)), (i, a, b))
+    out = {}
+    for i, t in docs:
+        gone = {n for c, a, b in spans[i] if first[c][0] != i or a > first[c][2] for n in range(a, b + 1)}
+        out[i] = "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone)
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_equals_every_window_also_where_documents_repeat_themselves(spark, seed):
+    rng = random.Random(seed)
+    docs = corpus(seed) + [(100 + i, "\n".join(rng.choice(["tick tock", "tick tock", "one two three", "last"])
+                                              for _ in range(40))) for i in range(6)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], SCHEMA)
+    assert {r.doc_id: r.text for r in dedup_lines(df, run_words=12).collect()} == by_windows(docs, 12)
+
+
+def test_fingerprints_are_fewer_than_windows_and_equal_windows_share_them(spark):
+    rng = random.Random(9)
+    passage = [f"line {k} of a passage" for k in range(60)]
+    docs = [(i, "\n".join([f"own {i} {rng.random()}"] * 3 + passage[rng.randint(0, 9):] + [f"end {i}"])) for i in range(8)]
+    for _, text in docs:
+        found = blocks(text, 50)
+        spans = windows(text, 50)[2]
+        assert len(found) < len(spans) / 3 and sum(len(b[4]) for b in found) == len(spans)
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], SCHEMA)
+    marks = fingerprints(df).groupBy("mark").count().collect()
+    assert max(r["count"] for r in marks) >= len(docs)
+
+
 def test_repeats_within_a_document_and_odd_rows(spark):
     long_line = "word " * 60
     rows = [(1, None), (2, ""), (3, "\n \n"), (4, f"{long_line}\nown\n{long_line}"), (5, f"a\n{long_line}"),

@@ -10,8 +10,9 @@ only counts, local labels and a histogram of the similarities found leave a task
 so pairs are never written out. The histogram tells how many links the prefixes of
 this length are expected to miss (a link of similarity ``s`` has no common prefix of
 ``d`` values in any tree with probability ``(1 - s**d) ** trees``). While that is more
-than ``target_recall`` allows, the prefixes are shortened by one value and the
-components that grew by it are verified; those that did not keep what they have.
+than ``target_recall`` allows, the prefixes are shortened to the first length that
+would do for the links known so far, and the components that grew by it are verified;
+those that did not keep what they have.
 No prefix is shortened beyond the length at which even a link at the threshold is met
 with the target probability (``prefix_depth``), nor does matching end before that
 when there are too few links to tell.
@@ -261,8 +262,8 @@ def match_forest(reps: DataFrame, ids: DataFrame, docs: DataFrame, threshold: fl
     """The links (columns ``FOUND``) by prefixes shortened from ``max_depth`` until the
     target recall, the length they came to, and whether a component has several chunks."""
     least = prefix_depth(threshold, trees, max_depth, target_recall)
-    found = None
-    for depth in range(max_depth, least - 1, -1):
+    found, depth = None, max_depth
+    while True:
         members = saved(_candidates(reps, trees, max_depth, depth, chunk_shingles, chunk_texts), "ngram-level")
         if found is None:
             found = saved(_verified(members, ids, docs, threshold, chunk_shingles), "ngram-found")
@@ -275,8 +276,11 @@ def match_forest(reps: DataFrame, ids: DataFrame, docs: DataFrame, threshold: fl
         links = {r["bin"]: r["n"] for r in
                  found.select(F.explode(F.arrays_zip("bins", "pairs")).alias("x"))
                  .groupBy(F.col("x.bins").alias("bin")).agg(F.sum("x.pairs").alias("n")).collect()}
-        if deep_enough(links, depth, threshold, trees, target_recall):
+        if depth == least or deep_enough(links, depth, threshold, trees, target_recall):
             break
+        # the next length is the first that would do for the links known so far
+        depth = next((d for d in range(depth - 1, least, -1)
+                      if deep_enough(links, d, threshold, trees, target_recall)), least)
     return found, depth, not members.where("chunks > 1").isEmpty()
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenrank.functions.scalar import log10_int
+from screenrank.operators.similarity import nearest_items
 from screenrank.operators.topk import top_n_per_group
 
 # The reference's real-time settings (recent ratings read,
@@ -58,13 +59,56 @@ def neighbour_heads(sim: DataFrame, depth: int, digits: int | None = SCORE_DIGIT
                         (F.size("_h") <= depth).alias("complete"))
 
 
+def vector_heads(rep_edges: DataFrame, members: DataFrame, depth: int,
+                 digits: int | None = SCORE_DIGITS) -> DataFrame:
+    """(rid, head_mids, head_scores, complete): ``neighbour_heads`` once per vector
+    instead of once per item (``factored_similarity``). Items that share a vector
+    have the same list but for themselves: it is one longer, and names them too."""
+    ranked = nearest_items(rep_edges, members, depth + 2, digits=digits)
+    lists = ranked.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("rank", "id", "score"))).alias("_h"))
+    head = F.slice("_h", 1, depth + 1)
+    return lists.select("rid", F.transform(head, lambda x: x["id"]).alias("head_mids"),
+                        F.transform(head, lambda x: x["score"]).alias("head_scores"),
+                        (F.size("_h") <= depth + 1).alias("complete"))
+
+
 def _small(df: DataFrame, broadcast: bool) -> DataFrame:
     return F.broadcast(df) if broadcast else df
 
 
+def _levels(need: DataFrame, key: str, n: int) -> tuple[DataFrame, list[int]]:
+    """(key, _i): the smallest n * 2**i that covers the deepest probe ``_k`` of the
+    key; and the values of i, at most some 30 numbers."""
+    doublings = F.ceil(F.log2(F.max("_k") / F.lit(float(n))) - 1e-9).cast("int")
+    of_key = need.groupBy(key).agg(F.greatest(doublings, F.lit(0)).alias("_i"))
+    return of_key, sorted(r[0] for r in of_key.select("_i").distinct().collect())
+
+
+def _factored_candidates(ev: DataFrame, rep_edges: DataFrame, members: DataFrame, seen: DataFrame, n: int,
+                         digits: int | None, broadcast: bool) -> DataFrame:
+    """``stream_candidates`` on the edges between distinct vectors."""
+    vector_of = members.select(F.col("id").alias("src"), "rid")
+    seen_u = seen.select("uid", "mid").join(_small(ev.select("uid").distinct(), broadcast), "uid", "left_semi")
+    seen_n = seen_u.groupBy("uid").agg(F.count(F.lit(1)).alias("_s"))
+    need = (_small(ev, broadcast).join(vector_of, "src").join(seen_n, "uid", "left")
+            .select("uid", "src", "rid", (F.lit(n + 1) + F.coalesce(F.col("_s"), F.lit(0))).cast("int").alias("_k")))
+    classes, levels = _levels(need, "rid", n)
+    if not levels:  # no events, or none of an item that has a vector
+        return ev.select("uid", F.col("src").alias("mid"), F.lit(None).cast("double").alias("score"),
+                         F.lit(None).cast("int").alias("rank")).limit(0)
+    ranked = reduce(DataFrame.unionByName, [
+        nearest_items(rep_edges, members, n * 2 ** i, classes.where(F.col("_i") == i), digits, rank_col="_r")
+        for i in levels])
+    probes = need.select("uid", "src", "rid", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_r"))
+    cands = (ranked.join(probes, ["rid", "_r"]).filter(F.col("id") != F.col("src"))
+             .select("uid", F.col("id").alias("mid"), "score"))
+    fresh = cands.join(seen_u, ["uid", "mid"], "left_anti")
+    return top_n_per_group(fresh, "uid", [F.desc("score"), F.asc("mid")], n)
+
+
 def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
                       n: int = MAX_SIM_MOVIES, digits: int | None = SCORE_DIGITS,
-                      broadcast: bool = False) -> DataFrame:
+                      broadcast: bool = False, members: DataFrame | None = None) -> DataFrame:
     """For each (uid, mid) event, the ``n`` most similar items of ``mid``
     the user has not rated yet -> (uid, mid, score, rank).
 
@@ -84,17 +128,20 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
 
     ``broadcast=True`` is for a caller that has checked the events are few
     (a micro-batch): the event side is broadcast and the large tables are only
-    scanned, never shuffled."""
+    scanned, never shuffled.
+
+    ``members`` (id, rid, size): ``sim`` then holds the edges (ra, rb, score) between
+    distinct vectors (``factored_similarity``), never expanded to items. The ranked
+    lists are one per vector, and one deeper, since an item finds itself in its own."""
     ev = current.select("uid", F.col("mid").alias("src"))
+    if members is not None:
+        return _factored_candidates(ev, sim, members, seen, n, digits, broadcast)
     users = ev.select("uid").distinct()
     seen_u = seen.select("uid", "mid").join(_small(users, broadcast), "uid", "left_semi")
     seen_n = seen_u.groupBy("uid").agg(F.count(F.lit(1)).alias("_s"))
     need = ev.join(seen_n, "uid", "left").select(
         "uid", "src", (F.lit(n) + F.coalesce(F.col("_s"), F.lit(0))).cast("int").alias("_k"))
-    # smallest n * 2**i that covers the deepest probe of the item
-    doublings = F.ceil(F.log2(F.max("_k") / F.lit(float(n))) - 1e-9).cast("int")
-    srcs = need.groupBy("src").agg(F.greatest(doublings, F.lit(0)).alias("_i"))
-    levels = sorted(r[0] for r in srcs.select("_i").distinct().collect())  # at most some 30 numbers
+    srcs, levels = _levels(need, "src", n)
     edges = sim.select(F.col("mid").alias("src"), F.col("sim_mid").alias("mid"),
                        (F.round("score", digits) if digits is not None else F.col("score")).alias("score"))
     edges = edges.join(_small(srcs, broadcast), "src")
@@ -112,7 +159,7 @@ def stream_candidates(current: DataFrame, sim: DataFrame, seen: DataFrame,
 
 def stream_scores(cands: DataFrame, recent: DataFrame, sim: DataFrame, gate: float = SIM_GATE,
                   like_above: float = LIKE_ABOVE, digits: int | None = SCORE_DIGITS,
-                  broadcast: bool = False) -> DataFrame:
+                  broadcast: bool = False, members: DataFrame | None = None) -> DataFrame:
     """Priority of each candidate from the user's recent ratings.
 
     score(u, q) = mean over gated r of sim(q, r) * rating(r)
@@ -120,14 +167,31 @@ def stream_scores(cands: DataFrame, recent: DataFrame, sim: DataFrame, gate: flo
     where gated r are recent ratings with sim(q, r) > gate, liked means
     rating > like_above. Candidates with no gated rating produce no row.
     -> (uid, mid, score). ``broadcast``: the caller has bounded the
-    candidate x recent pairs (<= 20 x 20 per user) to a broadcastable size."""
+    candidate x recent pairs (<= 20 x 20 per user) to a broadcastable size.
+    ``members``: as for ``stream_candidates``; a pair of items is looked up by the
+    pair of their vectors."""
     c = cands.select("uid", F.col("mid").alias("q"))
     r = recent.select("uid", F.col("mid").alias("r"), F.col("score").alias("rating"))
+    if members is not None:
+        vector_of = members.select("id", "rid")
+        c = _small(c, broadcast).join(vector_of.withColumnsRenamed({"id": "q", "rid": "_q"}), "q")
+        r = _small(r, broadcast).join(vector_of.withColumnsRenamed({"id": "r", "rid": "_r"}), "r")
     pairs = c.join(r, "uid")  # J10: candidates x recent, within one user
+    if members is not None:
+        pairs = pairs.filter(F.col("q") != F.col("r")).select(
+            "uid", "q", "rating", F.least("_q", "_r").alias("ra"), F.greatest("_q", "_r").alias("rb"))
+        edges = sim.select("ra", "rb", F.col("score").alias("sim"))
+        gated = edges.join(_small(pairs, broadcast), ["ra", "rb"]).filter(F.col("sim") > gate)  # J9 + P10
+        return _mean_scores(gated, like_above, digits)
     s = sim.select(F.col("mid").alias("q"), F.col("sim_mid").alias("r"), F.col("score").alias("sim"))
     # only the candidates' edges take part in the pair join
     s = s.join(_small(c.select("q").distinct(), broadcast), "q", "left_semi")
     gated = s.join(_small(pairs, broadcast), ["q", "r"]).filter(F.col("sim") > gate)  # J9 + P10
+    return _mean_scores(gated, like_above, digits)
+
+
+def _mean_scores(gated: DataFrame, like_above: float, digits: int | None) -> DataFrame:
+    """A9 over the gated pairs (uid, q, sim, rating) -> (uid, mid, score)."""
     liked = F.col("rating") > like_above
     agg = gated.groupBy("uid", "q").agg(
         F.avg(F.col("sim") * F.col("rating")).alias("_mean"),

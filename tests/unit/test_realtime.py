@@ -75,3 +75,43 @@ def test_recent_ratings_cut_and_order(spark):
     r = spark.createDataFrame(rows, R + ", event_id long")
     got = realtime.recent_ratings(r, n=20).orderBy("rank").collect()
     assert [x.mid for x in got] == list(range(29, 9, -1))
+
+
+def test_factored_similarity_gives_the_same_candidates_and_scores(spark):
+    """Items that share vectors, users with long histories, items without a vector."""
+    import random
+
+    from screenrank.operators.similarity import factored_similarity, similar_items_sparse
+    rnd = random.Random(3)
+    shapes = [[(k, rnd.choice([1.0, 2.0])) for k in rnd.sample(range(6), 3)] for _ in range(12)]
+    long = spark.createDataFrame([(m, k, w) for m in range(90) for k, w in shapes[m * m % 12]],
+                                 "id long, idx int, w double")
+    rows = [(u, rnd.randrange(95), float(rnd.randrange(1, 6)), t) for u in range(12) for t in range(4 + 12 * (u % 6))]
+    ratings = spark.createDataFrame(rows, R)
+    edges = similar_items_sparse(long, 0.3)
+    rep_edges, members = factored_similarity(long, 0.3)
+    cur = realtime.latest_per_user(ratings, ("timestamp",))
+    seen = ratings.select("uid", "mid")
+    recent = realtime.recent_ratings(ratings, order=("timestamp", "mid", "score"))
+    want = realtime.stream_candidates(cur, edges, seen)
+    got = realtime.stream_candidates(cur, rep_edges, seen, members=members)
+    assert sorted(want.collect()) == sorted(got.collect()) and want.count()
+    none = spark.createDataFrame([], "uid long, mid long")  # not even the item itself is seen
+    assert sorted(realtime.stream_candidates(cur, edges, none).collect()) == \
+        sorted(realtime.stream_candidates(cur, rep_edges, none, members=members).collect())
+    a = {(r.uid, r.mid): r.score for r in realtime.stream_scores(want, recent, edges).collect()}
+    b = {(r.uid, r.mid): r.score for r in realtime.stream_scores(got, recent, rep_edges, members=members).collect()}
+    assert a and a == pytest.approx(b)
+
+
+def test_stream_queries_do_not_expand_the_similarity(spark, monkeypatch):
+    from screenrank.operators import similarity
+    from screenrank.plans.catalogue import QUERIES
+    from tests.conftest import SF_SMALL
+
+    def expanded(*args, **kw):
+        raise AssertionError("edges between items")
+
+    monkeypatch.setattr(similarity, "expand_factored", expanded)
+    for name in ("stream_candidates", "stream_scores"):
+        assert QUERIES[name](spark, SF_SMALL).count()

@@ -177,11 +177,13 @@ def initial_profiles(ratings: DataFrame, n_recent: int = realtime.MAX_USER_RATIN
 
 def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.MAX_SIM_MOVIES,
                    gate: float = realtime.SIM_GATE, n_users: int | None = None,
-                   n_recent: int = realtime.MAX_USER_RATINGS, n_deep: int | None = None) -> DataFrame:
+                   n_recent: int = realtime.MAX_USER_RATINGS, n_deep: int | None = None,
+                   members: DataFrame | None = None) -> DataFrame:
     """Rows of ``UserProfile`` -> (uid, recs), as ``score_events``. A user's first
     row has the latest item, the recent list and the candidates; users marked
     deep (``n_deep`` of them, if that is known) have none, and their candidates
-    are taken from ``sim`` and the seen items of all their rows."""
+    are taken from ``sim`` and the seen items of all their rows. ``members``: ``sim``
+    has the edges between distinct vectors, as in ``realtime.stream_candidates``."""
     cur = profiles.where("mid IS NOT NULL")
     recent = profiles.select("uid", F.posexplode("recent").alias("_p", "_r")).select(
         "uid", F.col("_r.mid").alias("mid"), F.col("_r.score").alias("score"),
@@ -192,8 +194,9 @@ def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.
     if n_deep is None or n_deep:
         seen = profiles.where("deep").select("uid", F.explode("seen").alias("mid"))
         cands = cands.unionByName(realtime.stream_candidates(
-            cur.where("deep").select("uid", "mid"), sim, seen, n=n_cands, broadcast=small).drop("rank"))
-    scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small)
+            cur.where("deep").select("uid", "mid"), sim, seen, n=n_cands, broadcast=small,
+            members=members).drop("rank"))
+    scores = realtime.stream_scores(cands, recent, sim, gate=gate, broadcast=small, members=members)
     ranked = realtime.top_n_per_group(scores, "uid", [F.desc("score"), F.asc("mid")], None)
     nested = nest_recs(ranked, "uid")
     empty = F.array().cast("array<struct<mid:bigint,score:double>>")
@@ -202,6 +205,7 @@ def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.
 
 
 HEADS_SCHEMA = "mid long, head_mids array<bigint>, head_scores array<double>, complete boolean"
+VECTOR_HEADS_SCHEMA = HEADS_SCHEMA.replace("mid long", "rid long")
 
 
 @dataclass
@@ -210,8 +214,9 @@ class StateOnly:
     can be read back with ``recent_lists``."""
     n_recent: int = realtime.MAX_USER_RATINGS
 
-    def heads(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([], HEADS_SCHEMA)
+    def with_heads(self, events: DataFrame) -> DataFrame:
+        return events.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("head_mids", "array<bigint>"), ("head_scores", "array<double>"), ("complete", "boolean"))])
 
     def __call__(self, profiles: DataFrame, batch_id: int) -> None:
         profiles.write.format("noop").mode("overwrite").save()
@@ -222,9 +227,16 @@ def write_heads(sim: DataFrame, path: str, depth: int = HEAD) -> None:
     realtime.neighbour_heads(sim.select("mid", "sim_mid", "score"), depth).write.mode("overwrite").parquet(path)
 
 
+def write_vector_heads(rep_edges: DataFrame, members: DataFrame, path: str, depth: int = HEAD) -> None:
+    """The same, one list per distinct vector."""
+    realtime.vector_heads(rep_edges, members, depth).write.mode("overwrite").parquet(path)
+
+
 @dataclass
 class ProfileScorer:
-    """foreachBatch stage after the stateful operator."""
+    """foreachBatch stage after the stateful operator. ``sim_path`` has the edges
+    between items (mid, sim_mid, score) or, with ``members_path``, those between
+    distinct vectors (ra, rb, score), and that table their items (id, rid, size)."""
     sim_path: str
     out_path: str
     n_recent: int = realtime.MAX_USER_RATINGS
@@ -234,18 +246,36 @@ class ProfileScorer:
     # Neighbour lists of ``write_heads``; without, they are made anew at a start.
     heads_path: str | None = None
 
-    def heads(self, spark: SparkSession) -> DataFrame:
-        path = self.heads_path or os.path.join(self.out_path, "_heads")
+    # Items of the distinct vectors, if ``sim_path`` is between those.
+    members_path: str | None = None
+
+    def _sim(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.sim_path).select(
+            *(("mid", "sim_mid", "score") if self.members_path is None else ("ra", "rb", "score")))
+
+    def _members(self, spark: SparkSession) -> DataFrame | None:
+        return None if self.members_path is None else spark.read.parquet(self.members_path).select("id", "rid", "size")
+
+    def with_heads(self, events: DataFrame) -> DataFrame:
+        """The events with the neighbour lists of their items."""
+        spark = events.sparkSession
+        path, members = self.heads_path or os.path.join(self.out_path, "_heads"), self._members(spark)
         if self.heads_path is None:
-            write_heads(spark.read.parquet(self.sim_path), path)
-        return spark.read.schema(HEADS_SCHEMA).parquet(path)
+            if members is None:
+                write_heads(self._sim(spark), path)
+            else:
+                write_vector_heads(self._sim(spark), members, path)
+        if members is None:
+            return events.join(spark.read.schema(HEADS_SCHEMA).parquet(path), "mid", "left")
+        vector_of = members.where("id IS NOT NULL").select(F.col("id").alias("mid"), "rid")
+        return (events.join(vector_of, "mid", "left")
+                .join(spark.read.schema(VECTOR_HEADS_SCHEMA).parquet(path), "rid", "left").drop("rid"))
 
     def __call__(self, profiles: DataFrame, batch_id: int) -> None:
         spark = profiles.sparkSession
         sim = getattr(self, "_sim_df", None)
         if sim is None:
-            sim = spark.read.parquet(self.sim_path).select("mid", "sim_mid", "score") \
-                .persist(StorageLevel.MEMORY_AND_DISK)
+            sim = self._sim(spark).persist(StorageLevel.MEMORY_AND_DISK)
             self._sim_df = sim
         # Materialise the batch's profiles once (they feed several joins); the
         # next batch overwrites them.
@@ -255,7 +285,8 @@ class ProfileScorer:
         # size check of the batch side
         n_users, n_deep = prof.where("mid IS NOT NULL").agg(
             F.count(F.lit(1)), F.coalesce(F.count_if("deep"), F.lit(0))).first()
-        replace_by_key(score_profiles(prof, sim, n_users=n_users, n_recent=self.n_recent, n_deep=n_deep),
+        replace_by_key(score_profiles(prof, sim, n_users=n_users, n_recent=self.n_recent, n_deep=n_deep,
+                                      members=self._members(spark)),
                        self.out_path, batch_id)
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             compact_log(spark, self.out_path, batch_id, key="uid", remove_old=True)
@@ -319,7 +350,7 @@ def start_stateful(spark: SparkSession, source: str | None, scorer: ProfileScore
     init = None
     if initial_ratings is not None:
         init = initial_profiles(initial_ratings, scorer.n_recent).groupBy("uid")
-    profiles = events.join(scorer.heads(spark), "mid", "left").groupBy("uid").transformWithStateInPandas(
+    profiles = scorer.with_heads(events).groupBy("uid").transformWithStateInPandas(
         statefulProcessor=UserProfile(scorer.n_recent), outputStructType=PROFILE_SCHEMA,
         outputMode="Append", timeMode="None", initialState=init)
     bad_query = None

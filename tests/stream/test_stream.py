@@ -201,3 +201,33 @@ def test_source_options_compaction_and_removal_of_old_versions(spark, inputs):
     assert sorted(os.listdir(os.path.join(sc.out_path, "_snapshots"))) == ["upto=3", "upto=5"]
     assert rows(current_recs(spark, sc.out_path)) == rows(score_events(ev, ev, spark.read.parquet(sim_path)))
     sc.close()
+
+
+def test_factored_tables_give_the_same_lists_without_expanded_edges(spark, inputs, monkeypatch):
+    from screenrank.operators import similarity
+    from screenrank.operators.content import content_factored
+    from screenrank.streaming import stateful
+
+    ev, _, _, sim_path = inputs
+    want = rows(score_events(ev, ev, spark.read.parquet(sim_path)))
+    root = scratch_path(spark, "factored")
+    rep_edges, members = content_factored(fx.part_movies(spark, SF_SMALL))
+    rep_edges.write.parquet(os.path.join(root, "sim"))
+    members.write.parquet(os.path.join(root, "members"))
+    src = os.path.join(root, "in")
+    render_rating_messages(ev).write.text(src)
+    monkeypatch.setattr(similarity, "expand_factored", None)
+    monkeypatch.setattr(stateful.write_vector_heads, "__defaults__", (25,))  # some users run out of it
+    sc = ProfileScorer(os.path.join(root, "sim"), os.path.join(root, "out"),
+                       members_path=os.path.join(root, "members"))
+    start_stateful(spark, src, sc, os.path.join(root, "ck"), trigger=ONCE).awaitTermination()
+    assert rows(current_recs(spark, sc.out_path)) == want and want
+    sc.close()
+
+
+def test_stream_queries_do_not_expand_the_similarity(spark, monkeypatch):
+    from screenrank.operators import similarity
+    from screenrank.plans.catalogue import QUERIES
+
+    monkeypatch.setattr(similarity, "expand_factored", None)
+    assert QUERIES["stream_recs_bootstrap"](spark, SF_SMALL).count()

@@ -94,7 +94,8 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, ridge: float = 1e-4,
     """Weights (features x machines) and offsets; ``targets`` (rows x machines)
     are 1, -1, or 0 where a row doesn't concern a machine."""
     share = np.abs(targets) / np.maximum(np.abs(targets).sum(axis=0), 1)
-    step = 1.0 / (2 * float((x * x).sum(axis=1).max(initial=0) + 1) + ridge)
+    longest = max((float((x[i:i + 256] * x[i:i + 256]).sum(axis=1).max()) for i in range(0, len(x), 256)), default=0.0)
+    step = 1.0 / (2 * float(x.dtype.type(longest) + 1) + ridge)
     w = np.zeros((x.shape[1], targets.shape[1]), dtype=np.float32)
     b = np.zeros(targets.shape[1], dtype=np.float32)
     w_old, b_old = w, b
@@ -109,9 +110,10 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, ridge: float = 1e-4,
 
 
 class LanguageModel:
-    """Family machines, then pair machines within each family."""
+    """Family machines, then pair machines within each family. ``overwrite``: ``x``
+    is centred in place, so that the sample is in memory once."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]) -> None:
+    def __init__(self, x: np.ndarray, langs: list[str], overwrite: bool = False) -> None:
         self.langs = sorted(set(langs))
         self.families = sorted({family_of(k) for k in self.langs})
         self.members = [[i for i, k in enumerate(self.langs) if family_of(k) == f] for f in self.families]
@@ -121,7 +123,8 @@ class LanguageModel:
         targets = [np.where(family == f, 1.0, -1.0) for f in range(len(self.families))]
         targets += [(at == i) * 1.0 - (at == j) * 1.0 for i, j in self.pairs]
         self.mean = x.mean(axis=0) if len(x) else np.zeros(WIDTH, dtype=np.float32)
-        self.weights, self.offsets = (fit_machines(x - self.mean, np.stack(targets, axis=1))
+        x = np.subtract(x, self.mean, out=x if overwrite else None)
+        self.weights, self.offsets = (fit_machines(x, np.stack(targets, axis=1))
                                       if targets else (np.zeros((WIDTH, 0)), np.zeros(0)))
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,16 +181,19 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
               .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
               .select("doc_id").distinct())
     got = (usable.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", packed("text").alias("x"))
-           .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())  # at most sample_rows
-    langs, rows = [], []
-    for r in got:
+           .dropDuplicates(["doc_id"]).orderBy(F.desc("doc_id")).collect())  # at most sample_rows, taken from the end
+    langs, used = [], 0
+    x = np.zeros((len(got), WIDTH), dtype=np.float32)
+    while got:
+        r = got.pop()
         n = len(r["x"]) // 6
         if n:
             c = np.zeros(WIDTH)
             c[np.frombuffer(r["x"], dtype="<u2", count=n)] = np.frombuffer(r["x"], dtype="<u4", offset=2 * n)
             langs.append(r["lang"])
-            rows.append(_normal(c))
-    return LanguageModel(np.stack(rows) if rows else np.zeros((0, WIDTH), dtype=np.float32), langs)
+            x[used] = _normal(c)
+            used += 1
+    return LanguageModel(x[:used], langs, overwrite=True)
 
 
 def detector(model: LanguageModel, step: int = 256) -> Callable[[str], Column]:

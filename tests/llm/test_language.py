@@ -45,3 +45,15 @@ def test_machines_separate_and_families_come_first():
     model = language.LanguageModel(x, [["en", "de", "fr"][i % 3] for i in range(300)])
     assert model.families == ["germanic", "romance"] and model.pairs == [(0, 1)]
     assert len(language._FAMILY) == sum(len(v.split()) for v in language.FAMILIES.values())
+
+
+def test_a_fit_holds_its_sample_once():
+    import tracemalloc
+
+    x = np.random.default_rng(1).random((2000, language.WIDTH), dtype=np.float32)
+    langs = [["en", "de", "fr"][i % 3] for i in range(2000)]
+    tracemalloc.start()
+    language.LanguageModel(x, langs, overwrite=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.nbytes / 2

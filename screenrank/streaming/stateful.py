@@ -3,15 +3,17 @@
 The reference reads each user's recent list and rated items from outside
 stores per event. Here that per-user data lives in Structured Streaming's
 state store, partitioned by user across executors and checkpointed with the
-query: ``transformWithStateInPandas`` keyed by uid keeps
+query: ``transformWithState`` keyed by uid keeps
 
 * ``recent``: the user's 20 newest ratings (mid, score, timestamp), one value;
 * ``seen``: the items the user has rated, a map of bitmaps with one entry per
   ``2**BUCKET_BITS`` item ids, of which a batch reads and writes only those
   entries that its items and candidates fall into,
 
-bootstrapped once from the Rating table (``initialState``, merged chunk by
-chunk). An event carries the ``HEAD`` best neighbours of its item (stream-static
+bootstrapped once from the Rating table (``initialState``, merged row by row).
+Rows and not pandas frames, as a user has few events a batch, and a frame costs
+more than they do; each request to the state is a round trip, so none is made
+whose answer is known. An event carries the ``HEAD`` best neighbours of its item (stream-static
 join), so the candidates are picked where the state is: the best neighbours of
 the user's latest item whose bit is not set. Each micro-batch emits per active
 user the latest item, the recent list and at most 20 candidates, whatever the
@@ -32,9 +34,8 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -55,6 +56,8 @@ PROFILE_SCHEMA = ("uid long, mid long, recent array<struct<mid:bigint,score:doub
 SEEN_PER_ROW = 50_000
 # Neighbours that an event carries along.
 HEAD = 64
+# Ratings of one user and batch that are held at a time; then only the newest stay.
+TRIM_AT = 1024
 # Item ids of one bitmap: 2**12 bits are 512 bytes.
 BUCKET_BITS = 12
 
@@ -66,11 +69,6 @@ def _newest(ratings: list[Rating], n: int) -> list[Rating]:
     return heapq.nlargest(n, ratings, key=lambda r: (r[2], r[0], r[1]))
 
 
-def _ratings(rows: pd.DataFrame) -> list[Rating]:
-    return list(zip(rows["mid"].astype("int64").tolist(), rows["score"].astype("float64").tolist(),
-                    rows["timestamp"].astype("int64").tolist()))
-
-
 class UserProfile(StatefulProcessor):
     """Per-user recent ratings (one value) and seen items (a map of bitmaps)."""
 
@@ -82,26 +80,26 @@ class UserProfile(StatefulProcessor):
             "recent", "recent array<struct<mid:bigint,score:double,timestamp:bigint>>")
         self.seen = handle.getMapState("seen", "bucket bigint", "bits binary")
 
-    def _recent(self) -> list[Rating]:
-        if not self.recent.exists():
-            return []
-        return [(r["mid"], r["score"], r["timestamp"]) if isinstance(r, dict) else tuple(r)
-                for r in self.recent.get()[0]]
+    def _recent(self) -> list[Rating] | None:
+        """None: the user has no state yet."""
+        stored = self.recent.get()
+        return None if stored is None else [
+            (r["mid"], r["score"], r["timestamp"]) if isinstance(r, dict) else tuple(r) for r in stored[0]]
 
-    def _bits(self, bucket: int, known: dict[int, bytearray]) -> bytearray:
+    def _bits(self, bucket: int, known: dict[int, bytearray], new: bool) -> bytearray:
         if bucket not in known:
-            stored = self.seen.getValue((bucket,)) if self.seen.containsKey((bucket,)) else None
+            stored = None if new else self.seen.getValue((bucket,))
             known[bucket] = bytearray(stored[0]) if stored else bytearray((1 << BUCKET_BITS) // 8)
         return known[bucket]
 
-    def _has(self, mid: int, known: dict[int, bytearray]) -> bool:
+    def _has(self, mid: int, known: dict[int, bytearray], new: bool) -> bool:
         at = mid & (1 << BUCKET_BITS) - 1
-        return bool(self._bits(mid >> BUCKET_BITS, known)[at >> 3] >> (at & 7) & 1)
+        return bool(self._bits(mid >> BUCKET_BITS, known, new)[at >> 3] >> (at & 7) & 1)
 
-    def _mark(self, mids: list[int], known: dict[int, bytearray]) -> None:
+    def _mark(self, mids: list[int], known: dict[int, bytearray], new: bool = False) -> None:
         changed = set()
         for mid in mids:
-            if not self._has(mid, known):
+            if not self._has(mid, known, new):
                 at = mid & (1 << BUCKET_BITS) - 1
                 known[mid >> BUCKET_BITS][at >> 3] |= 1 << (at & 7)
                 changed.add(mid >> BUCKET_BITS)
@@ -115,64 +113,67 @@ class UserProfile(StatefulProcessor):
             out += [base + 8 * i + j for i, byte in enumerate(bits) if byte for j in range(8) if byte >> j & 1]
         return sorted(out)
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        # Called once per chunk of the user's seed rows (``initial_profiles``:
-        # the newest ratings have recent = 1, distinct items recent = 0), so
-        # each call merges with what earlier chunks have stored.
-        newest = _ratings(initialState[initialState["recent"] == 1])
-        if newest:
-            self.recent.update((_newest(self._recent() + newest, self.n_recent),))
-        items = initialState.loc[initialState["recent"] == 0, "mid"].tolist()
-        if items:
-            self._mark([int(m) for m in items], {})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        # Called once per row of the user's seed (``initial_profiles``: one with
+        # the newest ratings, others with items of one bitmap each); a call
+        # merges with what earlier ones have stored.
+        if initialState["newest"]:
+            newest = [(r["mid"], r["score"], r["timestamp"]) for r in initialState["newest"]]
+            self.recent.update((_newest((self._recent() or []) + newest, self.n_recent),))
+        if initialState["items"]:
+            self._mark(initialState["items"], {})
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         recent, known = self._recent(), {}
-        latest, head = None, ([], [], True)
-        for chunk in rows:
-            ratings = _ratings(chunk)
-            recent = _newest(recent + ratings, self.n_recent)
-            self._mark([m for m, _, _ in ratings], known)
-            at = max(range(len(ratings)), key=lambda i: (ratings[i][2], ratings[i][0], ratings[i][1]))
-            m, s, t = ratings[at]
-            if latest is None or (t, m, s) > (latest[2], latest[0], latest[1]):
-                latest, row = ratings[at], chunk.iloc[at]
-                head = ([], [], True) if row["head_mids"] is None else (
-                    [int(x) for x in row["head_mids"]], [float(x) for x in row["head_scores"]], bool(row["complete"]))
+        new = recent is None
+        ratings, latest, last = [], None, None
+        mids_seen = set()
+        for row in rows:
+            rating = (row["mid"], row["score"], row["timestamp"])
+            ratings.append(rating)
+            mids_seen.add(rating[0])
+            if len(ratings) >= TRIM_AT:
+                ratings = _newest(ratings, self.n_recent)
+            if latest is None or (rating[2], rating[0], rating[1]) > (latest[2], latest[0], latest[1]):
+                latest, last = rating, row
+        recent = _newest((recent or []) + ratings, self.n_recent)
+        self._mark(sorted(mids_seen), known, new)
         self.recent.update((recent,))
+        head_mids, head_scores, complete = ([], [], True) if last["head_mids"] is None else (
+            last["head_mids"], last["head_scores"], last["complete"])
         mids, scores = [], []
-        for m, s in zip(head[0], head[1]):
+        for m, s in zip(head_mids, head_scores):
             if len(mids) == self.n_cands:
                 break
-            if not self._has(m, known):
+            if not self._has(m, known, new):
                 mids.append(m)
                 scores.append(s)
-        deep = len(mids) < self.n_cands and not head[2]
+        deep = len(mids) < self.n_cands and not complete
         seen = self._all_seen() if deep else []
         for at in range(0, max(1, len(seen)), SEEN_PER_ROW):
             first = at == 0
-            yield pd.DataFrame({
-                "uid": [int(key[0])], "mid": pd.array([latest[0] if first else None], dtype="Int64"),
-                "recent": [[{"mid": m, "score": s, "timestamp": t} for m, s, t in recent] if first else []],
-                "cand_mids": [mids if first and not deep else []], "cand_scores": [scores if first and not deep else []],
-                "deep": [deep], "seen": [seen[at:at + SEEN_PER_ROW]]})
+            yield Row(uid=key[0], mid=latest[0] if first else None,
+                      recent=[{"mid": m, "score": s, "timestamp": t} for m, s, t in recent] if first else [],
+                      cand_mids=mids if first and not deep else [], cand_scores=scores if first and not deep else [],
+                      deep=deep, seen=seen[at:at + SEEN_PER_ROW])
 
     def close(self) -> None:
         pass
 
 
 def initial_profiles(ratings: DataFrame, n_recent: int = realtime.MAX_USER_RATINGS) -> DataFrame:
-    """Rating table -> the rows that seed each user's state: the ``n_recent``
-    newest ratings (top-k window, cut before its shuffle) and one row per
-    distinct rated item (an aggregate, combined map-side). A user's seed is
-    bounded by n_recent + their distinct items, however many ratings they have."""
+    """Rating table -> the rows that seed each user's state (uid, newest, items):
+    one with the ``n_recent`` newest ratings (top-k window, cut before its
+    shuffle) and one per bitmap with the user's distinct items in it (at most
+    ``2**BUCKET_BITS``), however many ratings they have."""
     r = ratings.select(*[F.col(f.name).cast(f.dataType) for f in RATING.fields])
-    recent = realtime.top_n_per_group(r, "uid", [F.desc(c) for c in ("timestamp", "mid", "score")],
-                                      n_recent).drop("rank").withColumn("recent", F.lit(1))
-    seen = r.select("uid", "mid").distinct().select(
-        "uid", "mid", F.lit(None).cast("double").alias("score"),
-        F.lit(None).cast("bigint").alias("timestamp"), F.lit(0).alias("recent"))
-    return recent.unionByName(seen)
+    rating = F.struct("mid", "score", "timestamp")
+    recent = realtime.top_n_per_group(r, "uid", [F.desc(c) for c in ("timestamp", "mid", "score")], n_recent)
+    recent = recent.groupBy("uid").agg(F.collect_list(rating).alias("newest")).withColumn(
+        "items", F.lit(None).cast("array<bigint>"))
+    items = r.groupBy("uid", F.shiftright("mid", BUCKET_BITS).alias("bucket")).agg(
+        F.collect_set("mid").alias("items"))
+    return recent.unionByName(items.select("uid", F.lit(None).cast(recent.schema["newest"].dataType).alias("newest"), "items"))
 
 
 def score_profiles(profiles: DataFrame, sim: DataFrame, n_cands: int = realtime.MAX_SIM_MOVIES,
@@ -350,7 +351,7 @@ def start_stateful(spark: SparkSession, source: str | None, scorer: ProfileScore
     init = None
     if initial_ratings is not None:
         init = initial_profiles(initial_ratings, scorer.n_recent).groupBy("uid")
-    profiles = scorer.with_heads(events).groupBy("uid").transformWithStateInPandas(
+    profiles = scorer.with_heads(events).groupBy("uid").transformWithState(
         statefulProcessor=UserProfile(scorer.n_recent), outputStructType=PROFILE_SCHEMA,
         outputMode="Append", timeMode="None", initialState=init)
     bad_query = None

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenrank.session import scratch_path
+from screenrank.sinks.tables import _fs_path
 
 #: Rows up to which a narrow side (a few numbers a row) is broadcast, after
 #: counting it; 1M rows of ids and hashes stay below some tens of MB.
@@ -20,8 +24,31 @@ def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path, compression=compression)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_in = path
+    return out
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what runs meanwhile go when it ends, not when the driver
+    happens to collect its garbage; a stage that needs them again makes them anew."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the folders of what ``saved`` returned; nothing may read them any more."""
+    for df in tables:
+        fs, path = _fs_path(df.sparkSession, df.saved_in)
+        fs.delete(path, True)
 
 
 def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -41,7 +68,9 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 50)
     e = edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct()
     state = None
     for i in range(max_rounds):
-        e = saved(_small_star(_large_star(e)) if i else _small_star(e), f"{name}-{i}")
+        before, e = e, saved(_small_star(_large_star(e)) if i else _small_star(e), f"{name}-{i}")
+        if i:
+            dropped(before)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

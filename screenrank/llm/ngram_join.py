@@ -5,8 +5,12 @@ one class and take part once. Each class gets one label of ``max_depth`` MinHash
 values per tree. The labels of a tree, in the order of their bytes, are a trie: the
 classes below one node are those that share a prefix of its length. Matching begins
 at the longest prefixes. The classes below a common node form candidate
-components, in which every pair is verified exactly, in chunks of bounded size;
-only counts, local labels and a histogram of the similarities found leave a task,
+components, in which every pair is verified exactly, in chunks of bounded size.
+A component of several chunks is mostly one that chance prefixes have strung together;
+it is joined anew by those pairs below a node whose whole labels agree as often as
+those of a link do (``least_agreeing``, which leaves out a link once in a hundred
+million). A text is copied once per group of chunks it has to meet. Only counts, local
+labels and a histogram of the similarities found leave a task,
 so pairs are never written out. The histogram tells how many links the prefixes of
 this length are expected to miss (a link of similarity ``s`` has no common prefix of
 ``d`` values in any tree with probability ``(1 - s**d) ** trees``). While that is more
@@ -32,6 +36,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +44,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenrank.llm.common import components, saved, small_side
+from screenrank.llm.common import components, dropped, saved, small_side
 from screenrank.llm.words import MinHash, shingles
 from screenrank.session import ship_by_value
 
@@ -50,6 +55,14 @@ TARGET_RECALL = 0.99999
 #: Shingles and texts of one verification chunk (2**18 shingles are 2 MB).
 CHUNK_SHINGLES = 1 << 18
 CHUNK_TEXTS = 1024
+#: A component is dealt in ``SPREAD`` groups of chunks, in more when they would have over
+#: ``GROUP_CHUNKS``; two groups meet in a task, so a text has as many copies as there are groups.
+SPREAD, GROUP_CHUNKS = 4, 8
+#: Share of links that comparing whole labels may leave out; the most texts of a component
+#: whose labels one task compares (29 MB), and of a node of a larger component: of more,
+#: all stay candidates.
+LABEL_MISS = 1e-8
+LABEL_TEXTS, NODE_TEXTS = 100_000, 8192
 #: Width of the histogram of similarities, and bytes of one value of a label.
 SIMILARITY_BINS = 1000
 VALUE_BYTES = 2
@@ -81,6 +94,17 @@ def deep_enough(links: dict[int, int], depth: int, threshold: float, trees: int,
     return missed <= (1 - target_recall) * (sum(links.values()) + missed)
 
 
+def least_agreeing(threshold: float, values: int, miss: float = LABEL_MISS) -> int:
+    """How many of ``values`` MinHash values agree at least between two sets of similarity
+    ``threshold`` or more, but for a share ``miss`` of them."""
+    below = 0.0
+    for k in range(values + 1):
+        below += math.comb(values, k) * threshold ** k * (1 - threshold) ** (values - k)
+        if below > miss:
+            return k
+    return values
+
+
 def _shingle_sets(text: str | None) -> np.ndarray:
     return np.unique(shingles(text))
 
@@ -101,7 +125,9 @@ def signatures(docs: DataFrame, trees: int, max_depth: int) -> DataFrame:
                 s = _shingle_sets(text)
                 keys.append(_set_key(s))
                 sizes.append(len(s))
-                label = hasher.signature(s) >> np.uint32(32 - 8 * VALUE_BYTES) if len(s) else np.empty(0)
+                # mixed first: the least values of a long text all begin with zeros
+                label = (hasher.signature(s) * np.uint32(0x9E3779B1) >> np.uint32(32 - 8 * VALUE_BYTES)
+                         if len(s) else np.empty(0))
                 forest.append(label.astype(f">u{VALUE_BYTES}").tobytes())
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"], "set_key": keys,
                                 "n_shingles": sizes, "forest": forest})
@@ -174,7 +200,39 @@ def _verify_group(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], s
     return label, adj @ copies, adj.sum(axis=1), bins, pairs
 
 
-FOUND = ("comp long, texts long, rep long, label long, linked_docs long, linked_texts long, "
+def _verify_chunks(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], chunk: np.ndarray,
+                   side: np.ndarray, two: bool, threshold: float) -> tuple[np.ndarray, ...]:
+    """As ``_verify_group`` for a component, or for ``two`` groups of its chunks, of which
+    one may be empty: the pairs of chunks in turn, so that the matrices stay small."""
+    parts = [[np.flatnonzero((side == x) & (chunk == c)) for c in np.unique(chunk[side == x])] for x in (0, 1)]
+    meet = ([(a, b) for a in parts[0] for b in parts[1]] if two else
+            [(a, b) for i, a in enumerate(parts[0]) for b in [None, *parts[0][i + 1:]]])
+    docs, texts = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
+    found: dict[int, int] = {}
+    ends: list[tuple[np.ndarray, np.ndarray]] = []
+    for a, b in meet:
+        at = a if b is None else np.concatenate([a, b])
+        label, d, t, bins, pairs = _verify_group(ids[at], copies[at], [sets[i] for i in at],
+                                                 np.arange(len(at)) >= len(a), threshold)
+        docs[at] += d
+        texts[at] += t
+        for x, n in zip(bins.tolist(), pairs.tolist()):
+            found[x] = found.get(x, 0) + n
+        order = np.argsort(ids[at])
+        ends.append((at, at[order[np.searchsorted(ids[at], label, sorter=order)]]))
+    label = ids.copy()
+    while True:
+        best = label.copy()
+        for x, y in ends:
+            np.minimum.at(best, x, best[y])
+            np.minimum.at(best, y, best[x])
+        if (best == label).all():
+            return (label, docs, texts, np.fromiter(found, np.int32, len(found)),
+                    np.fromiter(found.values(), np.int64, len(found)))
+        label = best
+
+
+FOUND = ("comp long, whole long, rep long, label long, linked_docs long, linked_texts long, "
          "bins array<int>, pairs array<long>")
 
 
@@ -183,10 +241,11 @@ def verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.Dat
         for comp, g in pdf.drop_duplicates("rep").groupby("comp", sort=False):
             ids = g["rep"].to_numpy(np.int64)
             sets = [np.frombuffer(b, dtype=np.uint64) for b in g["items"]]
-            label, docs, texts, bins, pairs = _verify_group(ids, g["copies"].to_numpy(np.int64), sets,
-                                                            g["side"].to_numpy(), threshold)
+            label, docs, texts, bins, pairs = _verify_chunks(ids, g["copies"].to_numpy(np.int64), sets,
+                                                             g["own"].to_numpy(), g["side"].to_numpy(),
+                                                             bool(g["i"].iloc[0] != g["j"].iloc[0]), threshold)
             rest = len(ids) - 1  # the histogram stands with the first row of the group
-            yield pd.DataFrame({"comp": comp, "texts": g["texts"].to_numpy(), "rep": ids, "label": label,
+            yield pd.DataFrame({"comp": comp, "whole": g["whole"].to_numpy(), "rep": ids, "label": label,
                                 "linked_docs": docs, "linked_texts": texts, "bins": [bins] + [bins[:0]] * rest,
                                 "pairs": [pairs] + [pairs[:0]] * rest})
 
@@ -195,38 +254,127 @@ def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), *more)
 
 
-def _candidates(reps: DataFrame, trees: int, max_depth: int, depth: int, chunk_shingles: int,
+def close_edges(reps: np.ndarray, labels: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Edges that join the rows of ``labels`` as all pairs that agree in ``least`` values do."""
+    rest, edges = np.arange(len(reps)), []
+    while len(rest):
+        todo, rest = [rest[0]], rest[1:]
+        while todo and len(rest):
+            at = todo.pop()
+            near = (labels[rest] == labels[at]).sum(axis=1) >= least
+            edges += [(int(reps[at]), int(reps[i])) for i in rest[near]]
+            todo += rest[near].tolist()
+            rest = rest[~near]
+    return edges
+
+
+def close_below_nodes(reps: np.ndarray, labels: np.ndarray, trees: int, depth: int, least: int) -> list[tuple[int, int]]:
+    """Edges that join the rows of ``labels`` as all pairs do that share a node ``depth``
+    values below the root of a tree and agree in ``least`` values."""
+    n, width = labels.shape[0], labels.shape[1] // trees
+    root, edges = np.arange(n), []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for t in range(trees):
+        while (root[root] != root).any():
+            root = root[root]
+        node = np.unique(labels[:, t * width:t * width + depth], axis=0, return_inverse=True)[1].ravel()
+        order = np.argsort(node, kind="stable")
+        first = np.flatnonzero(np.diff(node[order], prepend=-1))
+        apart = np.minimum.reduceat(root[order], first) != np.maximum.reduceat(root[order], first)
+        for lo, hi in zip(first[apart], np.append(first[1:], n)[apart]):
+            at = order[lo:hi]
+            for i, j in close_edges(at, labels[at], least):
+                if top(i) != top(j):
+                    root[top(j)] = top(i)
+                    edges.append((int(reps[i]), int(reps[j])))
+    return edges
+
+
+def _close(reps: DataFrame, trees: int, max_depth: int, depth: int, threshold: float) -> DataFrame:
+    """(a, b): edges that join the classes below one node whose labels agree as those of
+    links do. ``reps``: (rep, forest, comp, texts), components joined by nodes alone."""
+    values = trees * max_depth
+    least = least_agreeing(threshold, values)
+
+    def of_bytes(forests: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(forests), dtype=f">u{VALUE_BYTES}").reshape(-1, values).astype(np.uint16)
+
+    def frame(edges: list[tuple[int, int]]) -> pd.DataFrame:
+        return pd.DataFrame(edges, columns=["a", "b"], dtype=np.int64).drop_duplicates()
+
+    def in_component(pdf: pd.DataFrame) -> pd.DataFrame:
+        return frame(close_below_nodes(pdf["rep"].to_numpy(np.int64), of_bytes(pdf["forest"].tolist()), trees, depth, least))
+
+    def in_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield frame([e for r, f in zip(pdf["reps"], pdf["forests"])
+                         for e in close_edges(np.asarray(r), of_bytes(list(f)), least)])
+
+    few = (reps.where(F.col("texts") <= LABEL_TEXTS).select("comp", "rep", "forest")
+           .groupBy("comp").applyInPandas(in_component, "a long, b long"))
+    many = reps.where(F.col("texts") > LABEL_TEXTS)
+    if many.isEmpty():
+        return few
+    entries = trie_nodes(many, trees, max_depth, depth)
+    star = entries.groupBy("node").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1")
+    entries = entries.join(star, "node")
+    below = (entries.where(F.col("n") <= NODE_TEXTS).join(many.select("rep", "forest"), "rep").groupBy("node")
+             .agg(F.collect_list("rep").alias("reps"), F.collect_list("forest").alias("forests")))
+    return few.unionByName(below.mapInPandas(in_nodes, "a long, b long")).unionByName(
+        entries.where(F.col("n") > NODE_TEXTS).select(F.col("rep").alias("a"), "b"))
+
+
+def _candidates(reps: DataFrame, trees: int, max_depth: int, depth: int, threshold: float, chunk_shingles: int,
                 chunk_texts: int) -> DataFrame:
     """Members of the components that prefixes of ``depth`` values join: the columns of
-    ``reps`` but the labels, ``comp`` (its smallest rep), ``texts`` (its members) and
-    ``chunks`` (the parts in which it is verified)."""
+    ``reps`` but the labels, ``comp`` (its smallest rep), ``whole`` (a hash of its members)
+    and ``chunks`` (the parts in which it is verified)."""
+    known = reps.select("rep", "doc_id", "text_key", "copies", "n_shingles", "set_key")
+
+    def joined(edges: DataFrame) -> DataFrame:
+        found = components(edges, f"ngram-candidates-{depth}")
+        members = saved(found.withColumnRenamed("id", "rep").withColumnRenamed("label", "comp").join(known, "rep"),
+                        "ngram-members")
+        sizes = (members.groupBy("comp").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("texts"),
+                                             F.bit_xor(F.xxhash64("rep")).alias("whole"))
+                 .select("comp", "whole", "texts", F.greatest(F.ceil(F.col("s") / chunk_shingles),
+                                                     F.ceil(F.col("texts") / chunk_texts)).alias("chunks")))
+        out = saved(members.join(sizes, "comp"), "ngram-level")
+        dropped(members)
+        return out
+
     entries = trie_nodes(reps, trees, max_depth, depth)
     star = entries.groupBy("node").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1")
-    edges = entries.join(star, "node").select(F.col("rep").alias("a"), "b")
-    members = saved(components(edges, f"ngram-candidates-{depth}").withColumnRenamed("id", "rep")
-                    .withColumnRenamed("label", "comp")
-                    .join(reps.select("rep", "doc_id", "text_key", "copies", "n_shingles", "set_key"), "rep"),
-                    "ngram-members")
-    sizes = (members.groupBy("comp").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("texts"))
-             .select("comp", "texts", F.greatest(F.ceil(F.col("s") / chunk_shingles),
-                                                 F.ceil(F.col("texts") / chunk_texts)).alias("chunks")))
-    return members.join(sizes, "comp")
+    level = joined(entries.join(star, "node").select(F.col("rep").alias("a"), "b"))
+    large = level.where("chunks > 1")
+    if large.isEmpty():
+        return level
+    # written once: which of the possible edges are given depends on the order of rows
+    again = saved(_close(reps.select("rep", "forest").join(large.select("rep", "comp", "texts"), "rep"),
+                         trees, max_depth, depth, threshold), "ngram-close")
+    return level.where("chunks = 1").unionByName(joined(again))
 
 
 def _verified(members: DataFrame, ids: DataFrame, docs: DataFrame, threshold: float,
               chunk_shingles: int) -> DataFrame:
     """Columns ``FOUND`` of the links within each component of ``members``; a member of
-    a component of several chunks has a row for every pair of chunks it is in."""
+    a component of several groups of chunks has a row for every pair of them it is in."""
     n_shingles, n = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
 
     # the sets of candidates only are made again from their texts
     want = small_side(members.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"),
-                                     "rep", "comp", "texts", "copies", "chunks", "set_key"), n)
+                                     "rep", "comp", "whole", "copies", "chunks", "set_key"), n)
 
     def wanted(rows: DataFrame) -> DataFrame:
         return rows.join(want, rows["doc_id"].eqNullSafe(want["of_id"]) & (rows["text_key"] == want["of_text"]))
 
-    known = ["rep", "comp", "texts", "copies", "chunks"]
+    known = ["rep", "comp", "whole", "copies", "chunks"]
     texts = wanted(docs).select(*known, "set_key", "text")
     if wanted(ids.select("doc_id", "text_key")).count() > n:  # rows that are repeated in the table
         texts = texts.dropDuplicates(["rep"])
@@ -237,19 +385,20 @@ def _verified(members: DataFrame, ids: DataFrame, docs: DataFrame, threshold: fl
             same = [_set_key(s) == k for s, k in zip(made, pdf["set_key"])]
             yield pdf[known].assign(items=[s.tobytes() for s in made])[same]
 
-    sets_of = texts.mapInPandas(sets, "rep long, comp long, texts long, copies long, chunks long, items binary")
+    sets_of = (texts.mapInPandas(sets, "rep long, comp long, whole long, copies long, chunks long, items binary")
+               .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks"))))
     bins = max(1, -(-int(n_shingles) // chunk_shingles))
-    own = F.pmod(F.xxhash64("rep"), F.col("chunks"))
-    rest = ["comp", "texts", "rep", "copies", "items"]
+    rest = ["comp", "whole", "rep", "copies", "own", "items"]
     alone = (sets_of.where("chunks = 1")
              .select(F.pmod(F.xxhash64("comp"), F.lit(bins)).alias("g"), F.lit(-1).alias("i"),
                      F.lit(-1).alias("j"), F.lit(0).alias("side"), *rest))
-    dealt = (sets_of.where("chunks > 1").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    groups = F.least("chunks", F.greatest(F.lit(SPREAD), F.ceil(F.col("chunks") / GROUP_CHUNKS)))
+    dealt = (sets_of.where("chunks > 1").withColumn("group", F.pmod("own", groups))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), groups - 1)))
              .select(F.col("comp").alias("g"),
-                     F.least("own", "other").cast("int").alias("i"),
-                     F.greatest("own", "other").cast("int").alias("j"),
-                     (F.col("own") > F.col("other")).cast("int").alias("side"), *rest))
+                     F.least("group", "other").cast("int").alias("i"),
+                     F.greatest("group", "other").cast("int").alias("j"),
+                     (F.col("group") > F.col("other")).cast("int").alias("side"), *rest))
 
     def check(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.concat(verify(iter([pdf]), threshold))
@@ -260,19 +409,21 @@ def _verified(members: DataFrame, ids: DataFrame, docs: DataFrame, threshold: fl
 def match_forest(reps: DataFrame, ids: DataFrame, docs: DataFrame, threshold: float, trees: int, max_depth: int,
                  target_recall: float, chunk_shingles: int, chunk_texts: int) -> tuple[DataFrame, int, bool]:
     """The links (columns ``FOUND``) by prefixes shortened from ``max_depth`` until the
-    target recall, the length they came to, and whether a component has several chunks."""
+    target recall, the length they came to, and whether a component has several groups of them."""
     least = prefix_depth(threshold, trees, max_depth, target_recall)
-    found, depth = None, max_depth
+    found, members, depth = None, None, max_depth
     while True:
-        members = saved(_candidates(reps, trees, max_depth, depth, chunk_shingles, chunk_texts), "ngram-level")
+        members = _candidates(reps, trees, max_depth, depth, threshold, chunk_shingles, chunk_texts)
         if found is None:
             found = saved(_verified(members, ids, docs, threshold, chunk_shingles), "ngram-found")
-        else:  # a component of the same first member and size is the same: shorter prefixes only add
-            settled = found.select("comp", "texts").distinct()
-            grown = saved(members.join(settled, ["comp", "texts"], "left_anti"), "ngram-grown")
-            now = members.select("comp", "texts").distinct()
-            found = saved(found.join(now, ["comp", "texts"], "left_semi").select(found.columns)
-                          .unionByName(_verified(grown, ids, docs, threshold, chunk_shingles)), "ngram-found")
+        else:  # a component of the same members is the same
+            settled = found.select("comp", "whole").distinct()
+            grown = saved(members.join(settled, ["comp", "whole"], "left_anti"), "ngram-grown")
+            now = members.select("comp", "whole").distinct()
+            before, found = found, saved(
+                found.join(now, ["comp", "whole"], "left_semi").select(found.columns)
+                .unionByName(_verified(grown, ids, docs, threshold, chunk_shingles)), "ngram-found")
+            dropped(before, grown)
         links = {r["bin"]: r["n"] for r in
                  found.select(F.explode(F.arrays_zip("bins", "pairs")).alias("x"))
                  .groupBy(F.col("x.bins").alias("bin")).agg(F.sum("x.pairs").alias("n")).collect()}
@@ -307,7 +458,7 @@ def _classes(docs: DataFrame, threshold: float, trees: int, max_depth: int, targ
     counts = found.groupBy("rep").agg(F.sum("linked_docs").alias("linked_docs"),
                                       F.sum("linked_texts").alias("linked_texts"),
                                       F.min("label").alias("label"))
-    if chunked:  # a component of several chunks: join its local labels
+    if chunked:  # a component of several groups of chunks: join its local labels
         joined = components(found.select(F.col("rep").alias("a"), F.col("label").alias("b")),
                             "ngram-classes-joined")
         counts = (counts.drop("label").join(joined.withColumnRenamed("id", "rep"), "rep", "left")

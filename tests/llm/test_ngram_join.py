@@ -146,3 +146,58 @@ def test_joined_local_labels_need_several_rounds(spark):
     got = {r.id: r.label for r in components(chain).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
     assert ngram_join.CHUNK_TEXTS > 1
+
+
+def test_labels_join_what_all_pairs_below_a_node_join():
+    rng = np.random.default_rng(5)
+    least = ngram_join.least_agreeing(0.8, 144)
+    assert 80 < least < 100
+    base = rng.integers(0, 60_000, (4, 144))
+    labels = base[rng.integers(0, 4, 90)]
+    changed = rng.random((90, 144)) < rng.choice([0.02, 0.1, 0.3, 0.45], (90, 1))
+    labels[changed] = rng.integers(0, 60_000, changed.sum())
+    labels = labels.astype(np.uint16)
+
+    def classes(edges):
+        root = list(range(90))
+        for a, b in edges:
+            root = [root[a] if r == root[b] else r for r in root]
+        return sorted(sorted(i for i in range(90) if root[i] == r) for r in set(root))
+
+    alike = labels[:, None] == labels[None]
+    node = alike.reshape(90, 90, 24, 6)[..., :4].all(axis=3).any(axis=2)
+    want = classes(np.argwhere(node & (alike.sum(axis=2) >= least)).tolist())
+    got = ngram_join.close_below_nodes(np.arange(90), labels, 24, 4, least)
+    assert classes(got) == want and len(want) > 4
+
+
+def test_texts_strung_together_by_chance_are_not_dealt_as_one_component(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"new{i}x{k}" if rng.random() < 0.08 else f"w{k}" for k in range(120))) for i in range(200)]
+    rows += [(200 + i, rows[i][1].replace("w60 ", f"other{i} ")) for i in range(5)]
+    df = spark.createDataFrame([(i, t, None) for i, t in rows], SCHEMA)
+    _, reps = _labelled(_keyed(df, "text"), 24, 6)
+    sizes = ngram_join._candidates(reps, 24, 6, 4, 0.8, 1 << 18, 50).groupBy("comp").count()
+    assert max(r["count"] for r in sizes.collect()) < 20  # nodes alone join most of the 205
+    want = brute(rows)
+    assert as_dict(ngram_links(df, chunk_texts=50)) == want
+    monkeypatch.setattr(ngram_join, "LABEL_TEXTS", 10)  # larger components: compared node by node
+    assert as_dict(ngram_links(df, chunk_texts=50)) == want
+    assert as_dict(ngram_links(df, chunk_texts=3)) == want
+
+
+def test_what_is_no_longer_read_leaves_the_disk(spark):
+    from screenrank.llm.common import components, dropped, saved
+
+    def folders(name):
+        fs = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir"))
+        return [s.getPath().getName() for s in fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(fs)
+                if s.getPath().getName().startswith(name)]
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"), "rounds-of-a-chain")
+    assert len(folders("rounds-of-a-chain")) == 1
+    table = saved(spark.range(3), "to-be-dropped")
+    dropped(table)
+    assert folders("to-be-dropped") == [] and spark.conf.get(key, None) == before

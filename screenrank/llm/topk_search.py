@@ -3,7 +3,9 @@
 Components become integers floor(1024 * x); the score of two vectors of equal
 length is their inner product. Queries and candidates are packed into blocks
 of bounded size, and every query block meets every candidate block in a task
-that scores all its pairs as one matrix product. Only counts leave the task:
+that scores all its pairs as one matrix product. The copies of the query blocks, one
+per group of candidate blocks, are shuffled: Spark, which doesn't count copies in its
+estimates, would send all of them through the driver as a broadcast. Only counts leave the task:
 per query, how many scores fall into each of ``BINS`` bins of its bracket. The
 counts, summed over all candidate blocks, tell in which bin the k-th score
 lies; that bin is the next bracket, until it is one score wide. A last pass
@@ -30,13 +32,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenrank.llm.common import saved
+from screenrank.llm.common import dropped, saved
 from screenrank.session import ship_by_value
 
 K = 10
 SCALE = 1024
 BINS = 1 << 12
 QUERY_ROWS, CANDIDATE_ROWS = 512, 4096
+#: Groups that the candidate blocks are dealt in (more where one would hold over
+#: ``GROUP_BLOCKS``): a query block is copied once per group, not once per block.
+GROUPS, GROUP_BLOCKS = 64, 64
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
@@ -55,6 +60,8 @@ def _blocks(rows: DataFrame, n: int, side: str) -> DataFrame:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         values = np.array(pdf["v"].tolist(), dtype=np.int64).reshape(len(pdf), -1)
+        if np.abs(values).max(initial=0) < 2 ** 31:
+            values = values.astype(np.int32)
         return pd.DataFrame({"dim": [pdf["dim"].iloc[0]], f"{side}_block": [pdf["block"].iloc[0]],
                              f"{side}_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
                              f"{side}_values": [values.tobytes()]})
@@ -65,12 +72,16 @@ def _blocks(rows: DataFrame, n: int, side: str) -> DataFrame:
             .applyInPandas(pack, f"dim int, {side}_block int, {side}_ids binary, {side}_values binary"))
 
 
+def _matrix(values: bytes, rows: int, dim: int) -> np.ndarray:
+    wide = len(values) == 8 * rows * dim
+    return np.frombuffer(values, dtype=np.int64 if wide else np.int32).reshape(rows, dim).astype(np.int64, copy=False)
+
+
 def _scores(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, candidate ids, integer scores and the mask of pairs that count."""
     q_ids = np.frombuffer(row["q_ids"], dtype=np.int64)
     c_ids = np.frombuffer(row["c_ids"], dtype=np.int64)
-    q = np.frombuffer(row["q_values"], dtype=np.int64).reshape(len(q_ids), -1)
-    c = np.frombuffer(row["c_values"], dtype=np.int64).reshape(len(c_ids), -1)
+    q, c = _matrix(row["q_values"], len(q_ids), row["dim"]), _matrix(row["c_values"], len(c_ids), row["dim"])
     top = int(np.abs(q).max(initial=0)) * int(np.abs(c).max(initial=0)) * max(1, q.shape[1])
     if top < 2 ** 53:  # exact in doubles
         s = (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
@@ -132,7 +143,8 @@ def exact_topk(vectors: DataFrame, queries: Column, k: int = K, bins: int = BINS
                          F.coalesce(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)),
                                     F.lit(0.0))).first()
     c_blocks, q_blocks = max(1, -(-n // CANDIDATE_ROWS)), max(1, -(-m // QUERY_ROWS))
-    candidates = saved(_blocks(rows, c_blocks, "c"), "topk-candidates")
+    groups = min(c_blocks, max(GROUPS, 4 * vectors.sparkSession.sparkContext.defaultParallelism, -(-c_blocks // GROUP_BLOCKS)))
+    candidates = saved(_blocks(rows, c_blocks, "c").withColumn("c_group", F.col("c_block") % groups), "topk-candidates")
     asked_blocks = saved(_blocks(asked, q_blocks, "q"), "topk-queries")
 
     # |score| <= |query| * |candidate|: the first bracket
@@ -148,9 +160,9 @@ def exact_topk(vectors: DataFrame, queries: Column, k: int = K, bins: int = BINS
         per_block = (todo.groupBy("dim", "q_block")
                      .agg(F.collect_list(F.struct("vec_id", "low", "width", "above")).alias("state")))
         dealt = (asked_blocks.join(per_block, ["dim", "q_block"])
-                 .withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(int(c_blocks - 1))))))
-        return (dealt.join(candidates, ["dim", "c_block"])
-                .select("q_ids", "q_values", "c_ids", "c_values",
+                 .withColumn("c_group", F.explode(F.sequence(F.lit(0), F.lit(int(groups - 1))))))
+        return (dealt.hint("merge").join(candidates.hint("merge"), ["dim", "c_group"])
+                .select("dim", "q_ids", "q_values", "c_ids", "c_values",
                         F.transform("state", lambda x: F.array(x["vec_id"], x["low"], x["width"],
                                                                x["above"])).alias("state")))
 
@@ -173,7 +185,8 @@ def exact_topk(vectors: DataFrame, queries: Column, k: int = K, bins: int = BINS
                          (F.col("above") + F.coalesce("hit.over", F.lit(0))).alias("above"),
                          (F.col("hit").isNull() | (F.col("width") == 1)).alias("done"))
                  .select("vec_id", "dim", "q_block", "low", F.col("next").alias("width"), "above", "done"))
-        state = saved(state.where("done").unionByName(moved), f"topk-state-{i}")
+        before, state = state, saved(state.where("done").unionByName(moved), f"topk-state-{i}")
+        dropped(before)
         i += 1
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (meet(state).mapInPandas(_list(k), "query_id long, vec_id long, score long")

@@ -54,3 +54,19 @@ def test_no_candidates_and_empty_table(spark):
     assert run(spark, [(0, [1.0], 0)], 10) == []
     assert run(spark, [], 10) == []
     assert run(spark, [(1, [1.0], 0), (2, [1.0], 0)], 10) == []
+
+
+def test_copies_of_the_query_blocks_are_not_broadcast(spark, monkeypatch):
+    from screenrank.llm import topk_search
+
+    monkeypatch.setattr(topk_search, "CANDIDATE_ROWS", 8)
+    monkeypatch.setattr(topk_search, "GROUPS", 4)
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)], 0) for i in range(200)]
+    rows[30] = (30, [1e6, -1e6, 0.5, 1.0], 0)  # needs 64-bit values
+    df = exact_topk(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=5)
+    assert sorted(tuple(r) for r in df.collect()) == brute(rows, 5, 10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("BroadcastExchange")[1:]:
+        assert "Generate" not in part.split("\n")[1]
+    assert "SortMergeJoin" in plan
